@@ -32,4 +32,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from ratecraft.plans import (  # noqa: F401
-        q_core, q_windows, q_text, q_recommend, q_stream)
+        q_core, q_recommend, q_stream, q_text, q_windows)
