@@ -1 +1,172 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: streams drained from ordered slices of the events.
+
+Each query writes the events (joined to item and user attributes, as the
+page service does) as JSON message payloads in four ordered slices under
+the shared checkpoint folder, streams them with ``availableNow`` and one
+slice per micro-batch, and returns a view of what the stream wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ratecraft.functions import columns as C
+from ratecraft.plans.catalog import query
+from ratecraft.plans.q_core import GENRES_LIST_SQL, genres_col
+from ratecraft.session import work_dir
+from ratecraft.sources.tables import (EVENTS_SQL, ITEMS_SQL, USERS_SQL, events_view,
+                                      items_view, users_view)
+from ratecraft.streaming import pipeline as P
+from ratecraft.streaming import stateful as ST
+
+N_SLICES = 4
+
+EV_ENR = (f"(SELECT e.seq, e.item_id, e.user_id, e.rating, date_trunc('second', e.ts) AS ts, i.title, "
+          f"array_to_string({GENRES_LIST_SQL}, ',') AS genres_text, u.age, u.gender, u.occupation "
+          f"FROM {EVENTS_SQL} e JOIN {ITEMS_SQL} i ON e.item_id = i.item_id "
+          f"JOIN {USERS_SQL} u ON e.user_id = u.user_id)")
+
+
+def event_messages(spark, sf):
+    """events ⋈ items ⋈ users as nested records (P2) carrying ``seq``."""
+    ev = events_view(spark, sf)
+    it = items_view(spark, sf).select("item_id", "title", genres_col().alias("genres"))
+    us = users_view(spark, sf).select("user_id", "age", "gender", "occupation")
+    e = ev.join(it, "item_id").join(us, "user_id")
+    rec = C.nest_record(
+        user={"userId": "user_id", "age": "age", "gender": "gender", "occupation": "occupation"},
+        movie={"movieId": "item_id", "title": "title", "genres": "genres"},
+        rating="rating", timestamp=F.unix_seconds(F.col("ts").cast("timestamp")))
+    rec = F.struct(*[rec.getField(f).alias(f) for f in ("user", "movie", "rating", "timestamp")],
+                   F.col("seq").cast("string").alias("seq"))
+    return e.select("seq", rec.alias("record"))
+
+
+def _slices(spark, sf, name):
+    base = work_dir(spark, name)
+    msgs = event_messages(spark, sf)
+    payload = msgs.select("seq", F.to_json("record").cast("binary").alias("value"))
+    P.write_slices(payload, ["seq"], N_SLICES, f"{base}/in", files_per_slice=1)
+    return base
+
+
+def _run_rating_stream(spark, sf, name):
+    base = _slices(spark, sf, name)
+    tables = P.RatingTables(spark, f"{base}/out")
+    q = P.start_rating_stream(P.message_stream(spark, f"{base}/in"), tables, f"{base}/ckpt")
+    P.drain(q)
+    return tables
+
+
+@query("R1_K2_stream_movie_state", f"""
+SELECT item_id, any_value(title) AS title, any_value(genres_text) AS genres_text,
+       count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
+def r1_movies(spark, sf):
+    s = _run_rating_stream(spark, sf, "r1m").item_stats()
+    return s.select("item_id", "title", F.array_join("genres", ",").alias("genres_text"),
+                    "rating_count", "rating_avg")
+
+
+@query("R1_K2_stream_user_state", f"""
+SELECT user_id, any_value(age) AS age, any_value(gender) AS gender, any_value(occupation) AS occupation,
+       count(*) AS activity_count FROM {EV_ENR} GROUP BY user_id""")
+def r1_users(spark, sf):
+    return _run_rating_stream(spark, sf, "r1u").user_stats()
+
+
+@query("R5_K1_stream_reviews_latest", f"""
+SELECT review_id, rating, ts, seq FROM (
+  SELECT CAST(user_id AS VARCHAR) || '_' || CAST(item_id AS VARCHAR) AS review_id, rating, ts, seq,
+         row_number() OVER (PARTITION BY user_id, item_id ORDER BY seq DESC) AS rn FROM {EV_ENR}) WHERE rn = 1""")
+def r5(spark, sf):
+    return _run_rating_stream(spark, sf, "r5").review_table().select("review_id", "rating", "ts", "seq")
+
+
+@query("R3_stream_running_item_stats", f"""
+SELECT seq, item_id, count(*) OVER w AS rating_count, avg(rating) OVER w AS rating_avg
+FROM {EV_ENR} WINDOW w AS (PARTITION BY item_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def r3(spark, sf):
+    return _run_rating_stream(spark, sf, "r3").running()
+
+
+@query("R4_R7_restart_and_replay_idempotent", f"""
+SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
+def r4(spark, sf):
+    """Stop after two slices, re-run an already committed batch (as a retry
+    after a lost executor would), restart from the checkpoint for the rest:
+    the movie state equals one clean pass."""
+    base = work_dir(spark, "r4")
+    msgs = event_messages(spark, sf).select("seq", F.to_json("record").cast("binary").alias("value"))
+    staged = P.write_slices(msgs, ["seq"], N_SLICES, f"{base}/staged", files_per_slice=1)
+    tables = P.RatingTables(spark, f"{base}/out")
+    ckpt = f"{base}/ckpt"
+    inbox = f"{base}/in"
+    # first run: two slices arrive
+    for p in staged[:2]:
+        spark.read.parquet(p).write.mode("overwrite").parquet(f"{inbox}/{p.rsplit('/', 1)[1]}")
+    P.drain(P.start_rating_stream(P.message_stream(spark, inbox), tables, ckpt))
+    # a retried batch: batch 1 processed again from its input
+    P.process_batch(tables, spark.read.parquet(staged[1]), 1)
+    # restart: the rest arrives; the checkpoint skips what was committed
+    for p in staged[2:]:
+        spark.read.parquet(p).write.mode("overwrite").parquet(f"{inbox}/{p.rsplit('/', 1)[1]}")
+    P.drain(P.start_rating_stream(P.message_stream(spark, inbox), tables, ckpt))
+    return tables.item_stats().select("item_id", "rating_count", "rating_avg")
+
+
+@query("R2_state_store_item_stats", f"""
+SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
+def r2(spark, sf):
+    """The same per-movie state kept by Spark's state store (update mode),
+    upserted into a keyed table each batch."""
+    base = _slices(spark, sf, "r2")
+    out = ST.start_state_store_counts(P.message_stream(spark, f"{base}/in"), f"{base}/out",
+                                      f"{base}/ckpt")
+    P.drain(out.query)
+    return out.table.current().select("item_id", "rating_count", "rating_avg")
+
+
+@query("K3_memory_sink_flatten", f"""
+SELECT CAST(item_id AS VARCHAR) AS movieId, title, genres_text, CAST(rating AS VARCHAR) AS rating,
+       CAST(user_id AS VARCHAR) AS userId, CAST(age AS VARCHAR) AS age, gender, occupation FROM {EV_ENR}""")
+def k3(spark, sf):
+    base = _slices(spark, sf, "k3")
+    name = "k3_" + base.rsplit("-", 1)[1]
+    flat = ST.flatten_stream(P.message_stream(spark, f"{base}/in"))
+    q = flat.writeStream.format("memory").queryName(name).outputMode("append") \
+        .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    P.drain(q)
+    got = spark.table(name)
+    return got.select("movieId", "title", F.array_join("genres", ",").alias("genres_text"), "rating",
+                      "userId", "age", "gender", "occupation")
+
+
+@query("S7_S9_R8_replay_all_rows_once", f"SELECT seq, item_id, user_id, rating FROM {EV_ENR}")
+def s9(spark, sf):
+    """Ordered slices replayed through a file stream: every row arrives once."""
+    base = _slices(spark, sf, "s9")
+    parsed = P.parse_messages(P.message_stream(spark, f"{base}/in"))
+    q = (parsed.select("seq", "item_id", "user_id", "rating").writeStream.format("parquet")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    P.drain(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("W3_K1_upsert_latest_per_pair", f"""
+SELECT review_id, rating, seq FROM (
+  SELECT CAST(user_id AS VARCHAR) || '_' || CAST(item_id AS VARCHAR) AS review_id, rating, seq,
+         row_number() OVER (PARTITION BY user_id, item_id ORDER BY seq DESC) AS rn FROM {EVENTS_SQL}) WHERE rn = 1""")
+def k1(spark, sf):
+    """Batch upsert: each contiguous fold of the events is one upsert batch."""
+    from ratecraft.operators.windows import contiguous_kfold
+    from ratecraft.streaming.keyed import LatestTable
+    ev = contiguous_kfold(events_view(spark, sf), ["seq"], N_SLICES)
+    t = LatestTable(spark, work_dir(spark, "k1"), ["review_id"], ["seq"])
+    rows = ev.select(C.composite_key("user_id", "item_id").alias("review_id"), "rating", "seq", "fold")
+    for b in range(1, N_SLICES + 1):
+        t.write_batch(rows.filter(F.col("fold") == b).drop("fold"), b)
+        if b == 2:
+            t.compact(2)
+    return t.current().select("review_id", "rating", "seq")
+
