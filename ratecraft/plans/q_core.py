@@ -132,7 +132,7 @@ def s11(spark, sf):
 
 
 # --- projections --------------------------------------------------------------------
-@query("P1_one_hot_to_genres", f"SELECT item_id, {GENRES_SQL} AS genres_text, len({GENRES_LIST_SQL}) AS n_genres FROM {I}")
+@query("P1_one_hot_to_genres", f"SELECT item_id, {GENRES_SQL} AS genres_text, CAST(len({GENRES_LIST_SQL}) AS INTEGER) AS n_genres FROM {I}")
 def p1(spark, sf):
     g = genres_col()
     return items_view(spark, sf).select("item_id", F.array_join(g, ",").alias("genres_text"),
