@@ -105,7 +105,7 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = j.withColumn(count_col, F.col("_c_in") + F.col("_c_off"))
     if value:
         n = F.col("_n_in") + F.col("_n_off")
-        s = F.col("_s_in") + F.col("_s_off")
+        s = F.when(n > 0, F.coalesce(F.col("_s_in"), F.lit(0.0)) + F.col("_s_off"))
         out = out.withColumn(sum_col, s)
         if mean_col:
             out = out.withColumn(mean_col, F.when(n > 0, s / n))
