@@ -39,6 +39,20 @@ def item_stats(df: DataFrame, item: str = "item_id", rating: str = "rating",
     return out
 
 
+def item_stats_enriched(ratings: DataFrame, items: DataFrame, users: DataFrame,
+                        item: str = "item_id", user: str = "user_id", rating: str = "rating",
+                        item_attrs: Sequence[str] = ("title",)) -> DataFrame:
+    """A1 over ratings ⋈ items ⋈ users, planned aggregate-first: ratings of
+    known users (semi join, no row growth) are hash-aggregated per item, and
+    only the per-item rows meet the item attributes.  The same result as
+    grouping the fully joined rows, with one row per item in the last join."""
+    known = ratings.join(users.select(user), user, "left_semi")
+    stats = known.groupBy(item).agg(F.count(rating).alias("rating_count"),
+                                    F.avg(F.col(rating).cast("double")).alias("rating_avg"))
+    return stats.join(items.select(item, *item_attrs), item, "inner").select(
+        item, *item_attrs, "rating_count", "rating_avg")
+
+
 # A2 ----------------------------------------------------------------------------
 def user_activity(df: DataFrame, user: str = "user_id", attrs: Sequence[str] = (),
                   order: Sequence[str] | None = None) -> DataFrame:
@@ -50,6 +64,14 @@ def user_activity(df: DataFrame, user: str = "user_id", attrs: Sequence[str] = (
     return out
 
 
+def user_activity_profile(ratings: DataFrame, users: DataFrame, user: str = "user_id",
+                          attrs: Sequence[str] = ("age", "gender", "occupation")) -> DataFrame:
+    """A2 with the profile taken from the user table, aggregate-first: counts
+    per user (hash aggregate), then one join row per user."""
+    counts = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("activity_count"))
+    return counts.join(users.select(user, *attrs), user, "inner").select(user, *attrs, "activity_count")
+
+
 # A3 ----------------------------------------------------------------------------
 def page_totals(df: DataFrame, per_page: int = 10) -> DataFrame:
     """Total rows and pages = ceil(n / per_page); per_page must be >= 1 (Q13)."""

@@ -43,7 +43,7 @@ def epoch_seconds(c: str = "ts") -> F.Column:
 SELECT item_id, title, count(rating) AS rating_count, avg(rating) AS rating_avg
 FROM {ENR} GROUP BY item_id, title""")
 def a1_item_stats_enriched(spark, sf):
-    return A.item_stats(enriched(spark, sf), attrs=["title"])
+    return A.item_stats_enriched(ratings_view(spark, sf), items_view(spark, sf), users_view(spark, sf))
 
 
 @query("J1_J2_enrich_ratings", f"SELECT user_id, item_id, rating, ts, title, age, gender, occupation FROM {ENR}")
@@ -326,8 +326,7 @@ def a2(spark, sf):
 SELECT r.user_id, u.age, u.gender, u.occupation, count(*) AS activity_count
 FROM {R} r JOIN {U} u ON r.user_id = u.user_id GROUP BY r.user_id, u.age, u.gender, u.occupation""")
 def a2b(spark, sf):
-    e = enriched(spark, sf)
-    return A.user_activity(e, attrs=["age", "gender", "occupation"])
+    return A.user_activity_profile(ratings_view(spark, sf), users_view(spark, sf))
 
 
 @query("A3_page_totals", f"SELECT count(*) AS total_items, CAST(ceil(count(*) / 10) AS BIGINT) AS total_pages FROM {ENR}")
