@@ -25,11 +25,12 @@ from ratecraft.operators.windows import latest_per_key
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - touches the folder
-        return True
-    except Exception:  # noqa: BLE001 - absent or empty folder
-        return False
+    """True if ``path`` holds at least one entry (a file-system call on the
+    driver, no Spark job and no footer reads)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
 
 class _ChangeLog:
