@@ -168,6 +168,32 @@ def p2_p6(spark, sf):
                        "rating", "timestamp", "userId", "age", "gender", "occupation")
 
 
+@query("T2_A3_K7_page_response", f"""
+WITH e AS (SELECT r.user_id, r.item_id, r.rating, r.ts, i.title, u.age, u.gender, u.occupation,
+                  r.l_orderkey, r.l_linenumber, r.l_suppkey, r.l_quantity, r.l_extendedprice,
+                  r.l_discount, r.l_tax, r.l_returnflag, r.l_linestatus, {GENRES_LIST_SQL} AS genres
+           FROM {R} r JOIN {I} i ON r.item_id = i.item_id JOIN {U} u ON r.user_id = u.user_id),
+p AS (SELECT *, row_number() OVER (ORDER BY {'user_id, item_id, ts, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus'}) - 1 AS pos FROM e)
+SELECT CAST(7 AS BIGINT) AS page, CAST(ceil((SELECT count(*) FROM e) / 10) AS BIGINT) AS total_pages, pos - 60 + 1 AS position,
+       json_object('user', json_object('userId', CAST(user_id AS VARCHAR), 'age', CAST(age AS VARCHAR),
+                                        'gender', gender, 'occupation', occupation),
+                   'movie', json_object('movieId', CAST(item_id AS VARCHAR), 'title', title, 'genres', genres),
+                   'rating', CAST(rating AS VARCHAR), 'timestamp', CAST({EPOCH} AS VARCHAR))::VARCHAR AS json
+FROM p WHERE pos >= 60 AND pos < 70""")
+def t2_page_response(spark, sf):
+    """Page 7 (10 per page) of the page service: records in total order."""
+    from ratecraft.plans.pages import page_response
+    r = ratings_view(spark, sf, with_order=True)
+    it = items_view(spark, sf).select("item_id", "title", genres_col().alias("genres"))
+    us = users_view(spark, sf).select("user_id", "age", "gender", "occupation")
+    e = r.join(it, "item_id").join(us, "user_id")
+    rec = C.nest_record(
+        user={"userId": "user_id", "age": "age", "gender": "gender", "occupation": "occupation"},
+        movie={"movieId": "item_id", "title": "title", "genres": "genres"},
+        rating="rating", timestamp=epoch_seconds())
+    return page_response(e, PAGE_ORDER, rec, page=7, per_page=10)
+
+
 @query("K7_json_records", f"""
 SELECT json_object('user', json_object('userId', CAST(user_id AS VARCHAR), 'age', CAST(age AS VARCHAR),
                                         'gender', gender, 'occupation', occupation),
