@@ -83,6 +83,12 @@ class _ChangeLog:
         return out
 
     def compact(self, upto: int) -> None:
+        """Fold all batches <= upto into ``snapshots/upto=<upto>``.  A snapshot
+        at or past ``upto`` already holds the same content (batches are
+        idempotent), so it is kept: a folder being read is never rewritten."""
+        _, latest = self._snapshot()
+        if latest >= upto:
+            return
         cur = self.current(before=upto + 1)
         if cur is None:
             return

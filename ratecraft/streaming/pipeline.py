@@ -154,8 +154,10 @@ class RatingTables:
 
 
 def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
-                  emit_running: bool = True) -> None:
-    """The body of ``foreachBatch``: every write replaces this batch's partition."""
+                  emit_running: bool = True, compact_every: int | None = None) -> None:
+    """The body of ``foreachBatch``: every write replaces this batch's partition.
+    With ``compact_every`` the keyed tables fold their logs into a snapshot
+    every that many batches, so views read one snapshot plus recent batches."""
     parsed = parse_messages(batch).persist()
     try:
         good, bad = split_quarantine(parsed)
@@ -183,6 +185,9 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
 
         if emit_running:
             _emit_running(tables, good, batch_id)
+        if compact_every and (int(batch_id) + 1) % compact_every == 0:
+            for t in (tables.movies, tables.users, tables.reviews):
+                t.compact(int(batch_id))
     finally:
         parsed.unpersist()
 
@@ -208,10 +213,11 @@ def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
 
 def start_rating_stream(stream: DataFrame, tables: RatingTables, checkpoint: str, *,
                         available_now: bool = True, processing_time: str | None = None,
-                        emit_running: bool = True, query_name: str | None = None):
+                        emit_running: bool = True, compact_every: int | None = None,
+                        query_name: str | None = None):
     """Start the one query that feeds all outputs (decision Q8)."""
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, emit_running)))
+         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, emit_running, compact_every)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:
