@@ -1,8 +1,9 @@
 """The page service: ratings ⋈ items ⋈ users as nested JSON
 records, page *n* of a total order, with the page count (T2 + A3 + P2 + K7).
 
-The joined rows get distributed positions (no single-task sort), the page
-is a range filter on them, and the page count is one scalar aggregate.  A
+The page is cut by ``paginate`` (a bounded global top-k for shallow pages,
+distributed positions for deep ones) and the page count is one scalar
+aggregate.  A
 page past the last one (or page 0) yields no rows — the service answers
 "not found" from that (decision Q13 validates ``per_page``).
 """
@@ -11,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.operators.aggregates import page_totals
-from ratecraft.operators.windows import row_index
+from ratecraft.operators.topk import paginate
 
 
 def page_response(rows: DataFrame, order: Sequence[str], record: Column, page: int,
@@ -23,15 +24,10 @@ def page_response(rows: DataFrame, order: Sequence[str], record: Column, page: i
     """(page, total_pages, position, json) for one page; position is 1-based
     within the page."""
     total_pages = page_totals(rows, per_page).first()["total_pages"]
-    if page < 1:
-        page_rows = rows.limit(0)
-        lo = 0
-    else:
-        lo = (page - 1) * per_page
-        page_rows = rows
-    idx = row_index(page_rows.select(*order, record.alias("_record")), order, name="_pos")
-    got = idx.filter((F.col("_pos") >= lo) & (F.col("_pos") < lo + per_page))
+    got = paginate(rows.select(*order, record.alias("_record")), order, page, per_page)
+    # numbering inside one page: at most per_page rows, already cut by the limit
+    pos = F.row_number().over(Window.orderBy(*order))
     return got.select(F.lit(page).cast("long").alias("page"),
                       F.lit(total_pages).cast("long").alias("total_pages"),
-                      (F.col("_pos") - F.lit(lo) + 1).alias("position"),
+                      pos.cast("long").alias("position"),
                       F.to_json("_record").alias("json"))

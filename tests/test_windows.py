@@ -80,3 +80,13 @@ def test_latest_per_key(spark):
                                "k long, seq long, v double")
     got = {r.k: r.v for r in W.latest_per_key(df, ["k"], ["seq"], ["v"]).collect()}
     assert got == {1: 4.0, 2: 1.0}
+
+
+def test_paginate_shallow_and_deep_agree(spark):
+    from ratecraft.operators.topk import paginate
+    df = _events(spark, n=700)
+    for page in (1, 7, 70, 71):
+        a = [r.seq for r in paginate(df, ["seq"], page, 10).collect()]
+        b = [r.seq for r in paginate(df, ["seq"], page, 10, shallow_rows=0).collect()]
+        assert sorted(a) == sorted(b)
+    assert paginate(df, ["seq"], 71, 10).count() == 0 and paginate(df, ["seq"], 0, 10).count() == 0
