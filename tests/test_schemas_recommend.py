@@ -67,3 +67,11 @@ def test_contract_keys_and_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0 and set(df.columns) == {"item_id", "title", "rating_count", "rating_avg"}
     assert F is not None
+
+
+def test_index_ids_dense_and_distributed(spark):
+    df = spark.createDataFrame([("u-b", 1), ("u-a", 2), ("u-b", 3), ("u-c", 4)], "uid string, x int")
+    out, mapping = M.index_ids(df, "uid", "user_id")
+    m = {r.uid: r.user_id for r in mapping.collect()}
+    assert sorted(m.values()) == [0, 1, 2] and m["u-a"] < m["u-b"] < m["u-c"]
+    assert out.count() == 4 and dict(out.dtypes)["user_id"] == "int"
