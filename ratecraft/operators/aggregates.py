@@ -1,8 +1,9 @@
 """Aggregations.
 
-All of these are hash aggregates with a map-side partial step, so a key
-holding a third of the rows contributes one partial row per input task to
-the shuffle.  No aggregate here collects rows into a list.
+All of these aggregate with a map-side partial step (hash aggregates for
+counts and sums; sort aggregates when a ``max_by`` buffer holds strings),
+so a key holding a third of the rows contributes one partial row per input
+task to the shuffle.  No aggregate here collects rows into a list.
 """
 
 from __future__ import annotations
