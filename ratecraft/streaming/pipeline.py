@@ -195,7 +195,7 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
 def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
     """Per event: (count, mean) of its movie as of that event = stored totals
     of earlier batches + the in-batch running values (skew-safe prefix)."""
-    prior = tables.movies.current(before=batch_id)
+    prior = tables.movies.current(before=batch_id, sums_only=True)
     inb = running_stats(good.select("seq", "ts", "item_id", "rating"), ["item_id"], ["ts", "seq"],
                         "rating")
     if prior is None:
