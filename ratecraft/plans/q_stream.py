@@ -16,7 +16,7 @@ from ratecraft.plans.q_core import GENRES_LIST_SQL, genres_col
 from ratecraft.session import work_dir
 from ratecraft.sources.tables import (EVENTS_SQL, ITEMS_SQL, USERS_SQL, events_view,
                                       items_view, users_view)
-from ratecraft.streaming import pipeline as P
+from ratecraft.streaming import fanout as P
 from ratecraft.streaming import stateful as ST
 
 N_SLICES = 4

@@ -60,12 +60,17 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a folder of our own is created
-    and registered, so ``DataFrame.checkpoint()`` works everywhere.
+    On a cluster this setting points at shared storage and is used as is (and
+    a cluster without it is refused).  Only a local master with the setting
+    unset (local runs, tests) gets a folder of our own, registered so that
+    ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder on shared storage; "
+                             "a machine-local folder would be lost with its executor")
         root = tempfile.mkdtemp(prefix="ratecraft-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

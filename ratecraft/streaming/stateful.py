@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ratecraft.schemas import EVENT_SCHEMA
 from ratecraft.functions import columns as C
 from ratecraft.streaming.keyed import LatestTable
-from ratecraft.streaming.pipeline import parse_messages, split_quarantine
+from ratecraft.streaming.fanout import parse_messages, split_quarantine
 
 
 @dataclass

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.operators import aggregates as A
 from ratecraft.operators import windows as W
-from ratecraft.streaming import pipeline as P
+from ratecraft.streaming import fanout as P
 from ratecraft.streaming.keyed import LatestTable
 
 
