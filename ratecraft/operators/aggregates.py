@@ -84,8 +84,11 @@ def page_totals(df: DataFrame, per_page: int = 10) -> DataFrame:
 
 
 # A4 ----------------------------------------------------------------------------
-def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact distinct count per column (one two-phase aggregate each)."""
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx_rsd: float | None = None) -> DataFrame:
+    """Distinct count per column: exact (a two-phase aggregate each), or with
+    ``approx_rsd`` a HyperLogLog++ sketch (one pass, fixed memory per column)."""
+    if approx_rsd:
+        return df.agg(*[F.approx_count_distinct(c, approx_rsd).alias(f"distinct_{c}") for c in cols])
     return df.agg(*[F.count_distinct(c).alias(f"distinct_{c}") for c in cols])
 
 

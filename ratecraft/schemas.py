@@ -87,3 +87,18 @@ def drop_table(spark: SparkSession, name: str) -> bool:
     """Drop if present; returns True if the table is gone afterwards."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return not spark.catalog.tableExists(name)
+
+
+def create_tables_from_mappings(spark: SparkSession, folder: str | Path,
+                                location_root: str | None = None) -> dict[str, bool]:
+    """One table per ``*.json`` mapping in ``folder`` (table name = file stem);
+    tables that exist already are left alone."""
+    out = {}
+    for f in sorted(Path(folder).glob("*.json")):
+        loc = f"{location_root.rstrip('/')}/{f.stem}" if location_root else None
+        out[f.stem] = create_table_if_absent(spark, f.stem, load_mapping(f), loc)
+    return out
+
+
+def drop_tables_from_mappings(spark: SparkSession, folder: str | Path) -> dict[str, bool]:
+    return {f.stem: drop_table(spark, f.stem) for f in sorted(Path(folder).glob("*.json"))}

@@ -73,3 +73,21 @@ def test_index_ids_dense_and_distributed(spark):
     m = {r.uid: r.user_id for r in mapping.collect()}
     assert sorted(m.values()) == [0, 1, 2] and m["u-a"] < m["u-b"] < m["u-c"]
     assert out.count() == 4 and dict(out.dtypes)["user_id"] == "int"
+
+
+def test_tables_for_every_mapping_file(spark, tmp):
+    import json
+    for name in ("rc_movies", "rc_users"):
+        with open(f"{tmp}/{name}.json", "w") as f:
+            json.dump({"mappings": {"properties": {"id": {"type": "keyword"}, "n": {"type": "integer"}}}}, f)
+    assert S.create_tables_from_mappings(spark, tmp) == {"rc_movies": True, "rc_users": True}
+    assert S.create_tables_from_mappings(spark, tmp) == {"rc_movies": True, "rc_users": True}
+    assert S.drop_tables_from_mappings(spark, tmp) == {"rc_movies": True, "rc_users": True}
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from ratecraft.operators import aggregates as A
+    df = spark.range(20000).selectExpr("id % 5000 AS u")
+    exact = A.distinct_counts(df, ["u"]).first()[0]
+    approx = A.distinct_counts(df, ["u"], approx_rsd=0.02).first()[0]
+    assert exact == 5000 and abs(approx - exact) < 0.1 * exact
