@@ -62,3 +62,20 @@ def test_match_any_is_or_monotone(spark, q1, q2):
     small = {r.id for r in X.match_any(docs, "text", " ".join(q1)).collect()}
     big = {r.id for r in X.match_any(docs, "text", " ".join(q1 + q2)).collect()}
     assert small <= big
+
+
+@settings(max_examples=4, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(seed=st.integers(0, 10_000), k=st.integers(1, 6), depth=st.integers(1, 8))
+def test_pruned_search_equals_brute_force(spark, seed, k, depth):
+    import random
+    rnd = random.Random(seed)
+    vocab = ["the"] * 40 + ["of"] * 20 + [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 30)))) for i in range(120)]
+    docs += [(200 + i, docs[i][1]) for i in range(5)]  # exact copies
+    qs = [(q, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 15)))) for q in range(12)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    q = spark.createDataFrame(qs, "qid long, text string")
+    got = sorted(tuple(r) for r in X.search_top_k(q, d, k, depth=max(depth, k)).collect())
+    exp = sorted(tuple(r) for r in X.search_top_k_brute(q, d, k).collect())
+    assert got == exp
