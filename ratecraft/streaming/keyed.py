@@ -95,6 +95,30 @@ class _ChangeLog:
         cur.withColumn("batch_id", F.lit(int(upto)).cast("long")).write.mode("overwrite").parquet(
             f"{self.snapshots_path}/upto={int(upto)}")
 
+    def vacuum(self) -> list[int]:
+        """Delete the change partitions that the latest snapshot already holds
+        and return their batch ids.  Views never read them again (they read
+        the snapshot plus later batches); a reader that listed them before
+        the delete fails its task and is retried by Spark.  After a vacuum the
+        table can no longer be viewed as of a batch inside the snapshot
+        (``current(before=b)`` with ``b <= upto``), so replaying such a batch is
+        no longer supported: vacuum only past the replay horizon."""
+        _, upto = self._snapshot()
+        if upto < 0 or not _exists(self.spark, self.changes_path):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.changes_path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        gone = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("batch_id="):
+                bid = int(name.split("=", 1)[1])
+                if bid <= upto:
+                    fs.delete(st.getPath(), True)
+                    gone.append(bid)
+        return sorted(gone)
+
     def current(self, before: int | None = None) -> DataFrame | None:  # pragma: no cover
         raise NotImplementedError
 

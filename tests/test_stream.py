@@ -120,3 +120,15 @@ def test_compaction_during_stream_keeps_results(spark, tmp):
     # replaying a compacted batch changes nothing
     P.process_batch(tables, spark.read.parquet(f"{tmp}/in/slice=000002"), 1, compact_every=2)
     assert {r.item_id: r.rating_count for r in tables.item_stats().collect()} == exp
+
+
+def test_vacuum_after_compaction(spark, tmp):
+    t = LatestTable(spark, tmp, ["k"], ["seq"])
+    for b in range(1, 5):
+        t.write_batch(spark.createDataFrame([(b % 2, b, f"v{b}")], "k long, seq long, v string"), b)
+    before = sorted(tuple(r) for r in t.current().collect())
+    assert t.vacuum() == []          # nothing compacted yet, nothing removed
+    t.compact(3)
+    assert t.vacuum() == [1, 2, 3]
+    assert sorted(tuple(r) for r in t.current().collect()) == before
+    assert spark.read.parquet(t.changes_path).select("batch_id").distinct().count() == 1
