@@ -196,6 +196,14 @@ def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
     """Per event: (count, mean) of its movie as of that event = stored totals
     of earlier batches + the in-batch running values (skew-safe prefix)."""
     prior = tables.movies.current(before=batch_id, sums_only=True)
+    if prior is not None:
+        # running values "as of each event" need events in sequence order
+        # across batches; fail the batch rather than emit wrong values
+        seen = tables.movies.rows(before=batch_id).agg(F.max("seq")).first()[0]
+        first = good.agg(F.min("seq")).first()[0]
+        if seen is not None and first is not None and first <= seen:
+            raise ValueError(f"batch {batch_id} holds seq {first} <= {seen} seen before: "
+                             "running values need batches in sequence order")
     inb = running_stats(good.select("seq", "ts", "item_id", "rating"), ["item_id"], ["ts", "seq"],
                         "rating")
     if prior is None:

@@ -132,3 +132,15 @@ def test_vacuum_after_compaction(spark, tmp):
     assert t.vacuum() == [1, 2, 3]
     assert sorted(tuple(r) for r in t.current().collect()) == before
     assert spark.read.parquet(t.changes_path).select("batch_id").distinct().count() == 1
+
+
+def test_out_of_order_batch_fails_instead_of_emitting_wrong_values(spark, tmp):
+    msgs = _messages(spark, 40)
+    tables = P.RatingTables(spark, f"{tmp}/out")
+    late = msgs.filter("seq >= 20").select("value")
+    early = msgs.filter("seq < 20").select("value")
+    P.process_batch(tables, late, 0)
+    with pytest.raises(ValueError):
+        P.process_batch(tables, early, 1)
+    P.process_batch(tables, early, 1, emit_running=False)  # state and upserts do not depend on order
+    assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 40
