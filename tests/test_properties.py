@@ -79,3 +79,27 @@ def test_pruned_search_equals_brute_force(spark, seed, k, depth):
     got = sorted(tuple(r) for r in X.search_top_k(q, d, k, depth=max(depth, k)).collect())
     exp = sorted(tuple(r) for r in X.search_top_k_brute(q, d, k).collect())
     assert got == exp
+
+
+@settings(max_examples=4, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(batches=st.lists(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 99)), min_size=1, max_size=6),
+                        min_size=1, max_size=4),
+       replays=st.lists(st.integers(0, 3), max_size=3))
+def test_upsert_idempotent_under_replay(spark, tmp_path_factory, batches, replays):
+    from ratecraft.streaming.keyed import LatestTable
+    t = LatestTable(spark, str(tmp_path_factory.mktemp("up")), ["k"], ["seq"])
+    frames = []
+    for b, rows in enumerate(batches):
+        data = [(k, b * 1000 + i, v) for i, (k, v) in enumerate(rows)]
+        frames.append(spark.createDataFrame(data, "k long, seq long, v long"))
+        t.write_batch(frames[-1], b)
+    for r in replays:  # a retried batch writes the same rows again
+        if r < len(frames):
+            t.write_batch(frames[r], r)
+    got = {row.k: row.v for row in t.current().collect()}
+    exp = {}
+    for b, rows in enumerate(batches):
+        for i, (k, v) in enumerate(rows):
+            exp[k] = v  # later batch, later position wins
+    assert got == exp
