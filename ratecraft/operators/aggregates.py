@@ -29,8 +29,19 @@ def _latest_attrs(attrs: Sequence[str], order: Sequence[str] | None) -> list[Col
 
 # A1 ----------------------------------------------------------------------------
 def item_stats(df: DataFrame, item: str = "item_id", rating: str = "rating",
-               attrs: Sequence[str] = (), order: Sequence[str] | None = None) -> DataFrame:
-    """Per item: rating_count, rating_avg and the latest ``attrs``."""
+               attrs: Sequence[str] = (), order: Sequence[str] | None = None, *,
+               per_pair_latest: bool = False, user: str = "user_id") -> DataFrame:
+    """Per item: rating_count, rating_avg and the latest ``attrs``.
+
+    By default every rating event counts (the reference's meaning, Q7).  With
+    ``per_pair_latest`` a re-review replaces the user's earlier rating of the
+    item: only the latest rating per (user, item) by ``order`` counts."""
+    if per_pair_latest:
+        if not order:
+            raise ValueError("per_pair_latest needs an order")
+        from ratecraft.operators.windows import latest_per_key
+        keep = [c for c in dict.fromkeys([rating, *attrs, *order]) if c not in (user, item)]
+        df = latest_per_key(df, [user, item], order, keep)
     aggs = [F.count(rating).alias("rating_count"), F.avg(F.col(rating).cast("double")).alias("rating_avg")]
     aggs += _latest_attrs(attrs, order)
     out = df.groupBy(item).agg(*aggs)

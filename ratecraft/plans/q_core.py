@@ -342,6 +342,15 @@ def a1b(spark, sf):
     return A.item_stats(events_view(spark, sf), attrs=["event_type"], order=["seq"])
 
 
+@query("A1_Q7_item_stats_latest_review_per_pair", f"""
+SELECT item_id, count(rating) AS rating_count, avg(rating) AS rating_avg FROM (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY seq DESC) AS rn FROM {E})
+  WHERE rn = 1) GROUP BY item_id""")
+def a1_q7(spark, sf):
+    """Decision Q7's option: a re-review replaces the earlier rating."""
+    return A.item_stats(events_view(spark, sf), order=["seq"], per_pair_latest=True)
+
+
 @query("A2_user_activity", f"""
 SELECT user_id, arg_max(event_type, seq) AS event_type, count(*) AS activity_count FROM {E} GROUP BY user_id""")
 def a2(spark, sf):

@@ -144,3 +144,17 @@ def test_out_of_order_batch_fails_instead_of_emitting_wrong_values(spark, tmp):
         P.process_batch(tables, early, 1)
     P.process_batch(tables, early, 1, emit_running=False)  # state and upserts do not depend on order
     assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 40
+
+
+def test_per_pair_latest_option(spark, tmp):
+    rows = [(0, _record(0, 1, 9, 5)), (1, _record(1, 2, 9, 1)), (2, _record(2, 1, 9, 3))]  # user 1 re-reviews
+    msgs = spark.createDataFrame(rows, "seq long, json string").select(F.col("json").cast("binary").alias("value"))
+    tables = P.RatingTables(spark, f"{tmp}/out")
+    P.process_batch(tables, msgs, 0)
+    events = tables.item_stats().first()
+    latest = tables.item_stats_latest_reviews().first()
+    assert (events.rating_count, events.rating_avg) == (3, 3.0)      # every event counts (Q7 default)
+    assert (latest.rating_count, latest.rating_avg) == (2, 2.0)      # re-review replaces
+    parsed, _ = P.split_quarantine(P.parse_messages(msgs))
+    b = A.item_stats(parsed, order=["seq"], per_pair_latest=True).first()
+    assert (b.rating_count, b.rating_avg) == (2, 2.0)
