@@ -47,7 +47,7 @@ def test_row_index_is_a_permutation_in_order(spark):
     assert [r.row_idx for r in got] == list(range(1500))
 
 
-def _allbut(rows, start, stop, max_test):
+def _leave_n_out_rule(rows, start, stop, max_test):
     """Plain Python statement of the leave-n-out rule, in file order."""
     cnt, test, out = {}, 0, []
     for seq, user in rows:
@@ -66,7 +66,7 @@ def test_leave_n_out_matches_rule_with_and_without_cap(spark):
     df = spark.createDataFrame(rows, "seq long, user_id long")
     for start, stop, cap in [(1, 10, 0), (11, 20, 100), (1, 10, 100000)]:
         got = W.leave_n_out(df, "user_id", ["seq"], start, stop, cap, min_chunks=12)
-        assert sorted((r.seq, r.is_test) for r in got.collect()) == _allbut(rows, start, stop, cap)
+        assert sorted((r.seq, r.is_test) for r in got.collect()) == _leave_n_out_rule(rows, start, stop, cap)
 
 
 def test_contiguous_kfold_blocks(spark):
