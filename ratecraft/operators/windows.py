@@ -91,6 +91,9 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if value:
         aggs += [F.sum(val).alias("_s_tot"), F.count(val).alias("_n_tot")]
     totals = base.groupBy(*keys, "_chunk").agg(*aggs)
+    # Offsets run over the per-(key, chunk) totals, one row per chunk: with no
+    # key this window sees only the chunk count (rows / rows_per_chunk), never
+    # the rows themselves.
     w_off = Window.orderBy("_chunk") if not keys else Window.partitionBy(*keys).orderBy("_chunk")
     w_off = w_off.rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(
