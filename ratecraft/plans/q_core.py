@@ -92,7 +92,8 @@ def s4(spark, sf):
     # the list is small (one row per distinct type); an index over it is a
     # single sorted partition of a handful of rows
     lst = names.select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("idx"))
-    blank = names.limit(1).select(F.lit("").alias("name"), F.lit(None).cast("int").alias("idx"))
+    # one trailing blank line, as lookup files carry (a global aggregate: one row)
+    blank = names.agg(F.max(F.lit("")).alias("name"), F.max(F.lit(None).cast("int")).alias("idx"))
     path = FS.write_delimited(lst.unionByName(blank), work_dir(spark, "s4") + "/lookup", "|")
     return FS.read_lookup(spark, path)
 
