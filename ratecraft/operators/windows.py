@@ -44,23 +44,33 @@ def _order_number(df: DataFrame, name: str) -> Column:
     return None  # strings and others: a single chunk
 
 
+def chunk_plan(df: DataFrame, first_order: str, *, rows_per_chunk: int | None = None,
+               min_chunks: int | None = None) -> tuple[Column, int]:
+    """(chunk id column, row count) from one tiny aggregate:
+    chunk id = floor((o - min) / width), width sized for ``rows_per_chunk``."""
+    num = _order_number(df, first_order)
+    if num is None:  # not orderable as a number: one chunk, count separately
+        return F.lit(0).cast("long"), df.select(F.count(F.lit(1))).first()[0]
+    spark = df.sparkSession
+    rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+    if min_chunks is None:
+        min_chunks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    lo, hi, n = df.select(F.min(num), F.max(num), F.count(F.lit(1))).first()
+    if lo is None:
+        return F.lit(0).cast("long"), n
+    n_chunks = max(min_chunks, math.ceil(n / rows_per_chunk), 1)
+    width = max(1, math.ceil((hi - lo + 1) / n_chunks))
+    return F.floor((num - F.lit(lo)) / F.lit(width)).cast("long"), n
+
+
 def chunk_column(df: DataFrame, first_order: str, *, rows_per_chunk: int | None = None,
                  min_chunks: int | None = None, width: int | None = None) -> Column:
     """Chunk id = floor((o - min) / width); width from one tiny aggregate."""
+    if width is None:
+        return chunk_plan(df, first_order, rows_per_chunk=rows_per_chunk, min_chunks=min_chunks)[0]
     num = _order_number(df, first_order)
     if num is None:
         return F.lit(0).cast("long")
-    if width is None:
-        spark = df.sparkSession
-        rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
-        if min_chunks is None:
-            min_chunks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        lo, hi, n = df.select(F.min(num), F.max(num), F.count(F.lit(1))).first()
-        if lo is None:
-            return F.lit(0).cast("long")
-        n_chunks = max(min_chunks, math.ceil(n / rows_per_chunk), 1)
-        width = max(1, math.ceil((hi - lo + 1) / n_chunks))
-        return F.floor((num - F.lit(lo)) / F.lit(width)).cast("long")
     return F.floor(num / F.lit(width)).cast("long")
 
 
@@ -68,7 +78,7 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   value: str | None = None, *, count_col: str = "run_count",
                   sum_col: str = "run_sum", mean_col: str | None = "run_mean",
                   rows_per_chunk: int | None = None, min_chunks: int | None = None,
-                  chunk_width: int | None = None) -> DataFrame:
+                  chunk_width: int | None = None, chunk: Column | None = None) -> DataFrame:
     """Per key, the count (and sum/mean of ``value``) of rows up to and
     including the current one in ``order`` (ties broken by the full order).
 
@@ -76,8 +86,9 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     keys = list(keys)
     order = list(order)
-    chunk = chunk_column(df, order[0], rows_per_chunk=rows_per_chunk,
-                         min_chunks=min_chunks, width=chunk_width)
+    if chunk is None:
+        chunk = chunk_column(df, order[0], rows_per_chunk=rows_per_chunk,
+                             min_chunks=min_chunks, width=chunk_width)
     base = df.withColumn("_chunk", chunk)
     w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -165,8 +176,9 @@ def leave_n_out(df: DataFrame, user: str, order: Sequence[str], start: int, stop
 def contiguous_kfold(df: DataFrame, order: Sequence[str], k: int, *, fold_col: str = "fold",
                      **kw) -> DataFrame:
     """Fold i (1..k) = the i-th contiguous block of about N/k rows in ``order``."""
-    idx = row_index(df, order, name="_idx", **kw)
-    n = df.select(F.count(F.lit(1))).first()[0]
+    chunk, n = chunk_plan(df, order[0], rows_per_chunk=kw.get("rows_per_chunk"),
+                          min_chunks=kw.get("min_chunks"))
+    idx = row_index(df, order, name="_idx", chunk=chunk)
     if n == 0:
         return df.withColumn(fold_col, F.lit(1))
     fold = (F.floor(F.col("_idx") * F.lit(k) / F.lit(n)) + F.lit(1)).cast("int")
