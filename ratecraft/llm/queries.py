@@ -14,7 +14,7 @@ from ratecraft.session import work_dir
 
 from . import (bpe, chat, embedding_dedup, langid, packing, simhash, threshold_topk, token_counts, token_files,
                toxicity)
-from .common import held_out, saved, table
+from .common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,13 +100,13 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "op8_threshold_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT a.vec_id AS query_id, b.vec_id,
-         list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
@@ -115,7 +115,7 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS x, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
   FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
   WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.95),

@@ -7,6 +7,8 @@ block's scores, so blocks that cannot hold one of the k nearest are never read.
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -19,6 +21,7 @@ from .common import as_bytes_batches, hash_unit, ragged, saved
 from .langid import words_of
 
 BLOCK = 64
+LONG_WORD = 8  # letters
 FIRST_BLOCKS = 4
 SLACK = 1e-9  # rounding of sums; bounds are raised by it
 
@@ -78,16 +81,16 @@ def vote(near: np.ndarray, toxic: np.ndarray, base: float, k: int) -> float:
     return float((weight @ toxic + 0.02 * k * base) / (weight.sum() + 0.02 * k))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, float]:
-    """Slope and intercept of a logistic fit, lightly held to 0; a falling fit becomes flat."""
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Slope and intercept of a logistic fit, held to (1, 0); a falling fit becomes flat."""
     a, b = 1.0, 0.0
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
         w = p * (1 - p) + 1e-9
-        g = np.array([((p - y) * x).sum() + 1e-2 * a, (p - y).sum() + 1e-4 * b])
-        h = np.array([[(w * x * x).sum() + 1e-2, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-4]])
-        step = np.linalg.solve(h, g)
-        a, b = a - np.clip(step[0], -5, 5), b - np.clip(step[1], -5, 5)
+        g = np.array([((p - y) * x).sum() + (a - 1), (p - y).sum() + 0.1 * b])
+        h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.1]])
+        step = np.clip(np.linalg.solve(h, g), -0.5, 0.5)
+        a, b = a - step[0], b - step[1]
     return max(float(a), 0.0), float(b)
 
 
@@ -125,7 +128,8 @@ class Model:
         if len(full) and 0 < toxic[full].sum() < len(full):
             self.slope, self.intercept = logistic(_logit(np.array(votes)), toxic[full].astype(float))
         else:
-            self.slope, self.intercept = 0.0, float(_logit(np.array([self.base]))[0])
+            rate = (toxic[full].sum() + self.base) / (len(full) + 1)  # one label only: nothing to calibrate on
+            self.slope, self.intercept = 0.0, float(_logit(np.array([rate]))[0])
 
     def score(self, row: np.ndarray, tf: np.ndarray) -> tuple[float, list, list, list]:
         if self.index is None or not len(row):
@@ -136,27 +140,46 @@ class Model:
                 self.index.toxic[best].tolist())
 
 
+def _signature(words: set[str]) -> int:
+    """A hash of the three long words with the smallest hashes: near copies mostly share it,
+    other texts, though they share some words, do not."""
+    some = [w for w in words if len(w) >= LONG_WORD]
+    some = some if len(some) >= 3 else words
+    low = heapq.nsmallest(3, ((zlib.crc32(w.encode()), w) for w in some))
+    return zlib.crc32(" ".join(w for _, w in low).encode())
+
+
 def _distinct_words(df: DataFrame) -> DataFrame:
-    """(word, toxic), once per document, of (text, toxic) rows."""
+    """(word, group, toxic), once per document, of (text, toxic) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(0)):
                 sets = [set(words_of(t)) for t in batch.column(0).slice(lo, hi - lo).to_pylist()]
-                toxic = np.repeat(batch.column(1).to_numpy()[lo:hi], list(map(len, sets)))
-                yield pa.RecordBatch.from_arrays([pa.array(chain.from_iterable(sets), pa.string()),
-                                                  pa.array(toxic, pa.int32())], names=["word", "toxic"])
-    return df.mapInArrow(run, "word string, toxic int")
+                sizes = list(map(len, sets))
+                group = np.repeat([_signature(s) for s in sets], sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chain.from_iterable(sets), pa.string()), pa.array(group, pa.int64()),
+                     pa.array(np.repeat(batch.column(1).to_numpy()[lo:hi], sizes), pa.int32())],
+                    names=["word", "group", "toxic"])
+    return df.mapInArrow(run, "word string, group long, toxic int")
 
 
 def telling_terms(examples: DataFrame, max_terms: int, min_chi2: float, max_share: float) -> list[str]:
-    """The vocabulary: words whose presence depends most on the label (chi-squared), too common ones left out."""
-    n, t = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    """The vocabulary: words whose presence depends most on the label, too common ones left out.
+
+    Chi-squared with continuity correction.  Documents of one group of copies
+    count once per word, else every word of a copied document would tell.
+    """
+    found = saved(_distinct_words(examples.select("text", "toxic")).groupBy("word", "group")
+                  .agg(F.max("toxic").alias("toxic")), "words")
+    n, t = (found.groupBy("group").agg(F.max("toxic").alias("toxic"))
+            .agg(F.count("*").cast("double"), F.coalesce(F.sum("toxic"), F.lit(0)).cast("double")).first())
     if not 0 < t < n:
         return []
-    counts = _distinct_words(examples.select("text", "toxic")).groupBy("word").agg(
-        F.count("*").cast("double").alias("df"), F.sum("toxic").cast("double").alias("a"))
-    gap = F.col("a") * F.lit(float(n)) - F.col("df") * F.lit(float(t))
-    chi2 = gap * gap * F.lit(float(n)) / (F.lit(float(t)) * F.lit(float(n - t)) * F.col("df") * (F.lit(float(n)) - F.col("df")))
+    counts = found.groupBy("word").agg(F.count("*").cast("double").alias("df"),
+                                       F.sum("toxic").cast("double").alias("a"))
+    gap = F.greatest(F.abs(F.col("a") * n - F.col("df") * t) - n / 2, F.lit(0.0))
+    chi2 = gap * gap * n / (t * (n - t) * F.col("df") * (n - F.col("df")))
     top = (counts.where((F.col("df") >= 2) & (F.col("df") <= max_share * n)).select("word", chi2.alias("chi2"))
            .where(F.col("chi2") >= min_chi2).orderBy(F.col("chi2").desc(), "word").limit(max_terms))
     return [r["word"] for r in top.collect()]
