@@ -26,9 +26,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Unicode white space, as \s above matches it.
 SPACE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
                           0x205F, 0x3000)))
-# No pre-token holds a non-space before a space, so a text can be cut there and
-# each piece encoded by itself.
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+# Letters that are letters in every Unicode version (other scripts are cut less often).
+LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+# No pre-token goes on from a non-space to a space or from a letter to a
+# non-letter, so a text can be cut there and each piece encoded by itself.
+PIECE = re.compile(f"[{SPACE}]*[^{SPACE}{LETTER}]*[{LETTER}]+|[{SPACE}]*[^{SPACE}{LETTER}]+|[{SPACE}]+")
 NONE = np.int64(1) << 40
 
 
@@ -62,7 +64,6 @@ class Vocabulary:
         at = np.argsort(keys, kind="stable")
         self.keys, self.rank = keys[at], at.astype(np.int64)
         self.merged = np.array([ids[a + b] for a, b in merges], dtype=np.int64)[at]
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.split = regex.compile(PATTERN)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -131,28 +132,46 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode_texts(texts: list[str], memo: WordMemo, special: dict[str, int], cut) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, ids per text): special strings become their id, the rest goes through ``memo`` piece by piece."""
-    pieces, counts, marks = [], [], []  # marks: (text, pieces before it in the text, id)
-    for i, text in enumerate(texts):
-        n = len(pieces)
-        if cut is not None and any(s in text for s in special):
-            for part in cut.split(text):
-                if part in special:
-                    marks.append((i, len(pieces), special[part]))
-                else:
-                    pieces += PIECE.findall(part)
-        else:
-            pieces += PIECE.findall(text)
-        counts.append(len(pieces) - n)
-    flat, lens = memo.values(memo.index(pieces)) if pieces else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    total = np.concatenate([[0], np.cumsum(lens)])
-    ends = np.cumsum(np.asarray(counts, dtype=np.int64))
-    per_text = np.diff(total[np.concatenate([[0], ends])])
-    if marks:
-        flat = np.insert(flat, [total[p] for _, p, _ in marks], [x for _, _, x in marks])
-        per_text = per_text + np.bincount([i for i, _, _ in marks], minlength=len(texts))
-    return flat, per_text
+class Encoder:
+    """Texts to ids through a bounded memo of pieces.
+
+    ``solve`` turns pieces into (ids one after another, ids per piece).
+    """
+
+    def __init__(self, solve, special: dict[str, int]):
+        self.memo = WordMemo(solve)
+        self.special = special
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, ids per text); a special string in a text becomes its id."""
+        pieces, counts, marks = [], [], []  # marks: (text, pieces before it, id)
+        for i, text in enumerate(texts):
+            n = len(pieces)
+            if self.cut is not None and any(s in text for s in self.special):
+                for part in self.cut.split(text):
+                    if part in self.special:
+                        marks.append((i, len(pieces), self.special[part]))
+                    else:
+                        pieces += PIECE.findall(part)
+            else:
+                pieces += PIECE.findall(text)
+            counts.append(len(pieces) - n)
+        flat, lens = self.memo.values(self.memo.index(pieces)) if pieces else (np.zeros(0, np.int64),) * 2
+        total = np.concatenate([[0], np.cumsum(lens)])
+        ends = np.cumsum(np.asarray(counts, dtype=np.int64))
+        per_text = np.diff(total[np.concatenate([[0], ends])])
+        if marks:
+            flat = np.insert(flat, [total[p] for _, p, _ in marks], [x for _, _, x in marks])
+            per_text = per_text + np.bincount([i for i, _, _ in marks], minlength=len(texts))
+        return flat, per_text
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process, shared by its tasks."""
+    vocab = vocabulary(path)
+    return Encoder(vocab.solve, vocab.special)
 
 
 def id_lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -169,12 +188,10 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     as int lists; ``path`` must name the vocabulary file on every machine.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        memo = WordMemo(vocab.solve)
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(1)):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                flat, counts = encode_texts(texts, memo, vocab.special, vocab.cut)
+                flat, counts = encoder(path).encode(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), id_lists(flat, counts)],
                                                  names=["id", "ids"])
 

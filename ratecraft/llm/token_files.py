@@ -11,54 +11,55 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import encode_texts, id_lists
-from .common import WordMemo, as_bytes_batches
+from .bpe import PATTERN, Encoder, byte_symbols, id_lists
+from .common import as_bytes_batches
 
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _encoder(path: str) -> Encoder:
+    """The tokenizers library behind the memo of pieces, one per worker process."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
     import regex
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-    special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
-    cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-    return tok, special, cut
+    model, symbols, split = tok.model, dict(enumerate(byte_symbols())), regex.compile(PATTERN)
 
+    def ids_of(word: str) -> list[int]:
+        """Ids of one pre-token, by the library's BPE model."""
+        mapped = (word.replace(" ", symbols[32]) if word.isascii() and word.isprintable()
+                  else word.encode("utf-8").decode("latin-1").translate(symbols))
+        return [t.id for t in model.tokenize(mapped)]
 
-def _solver(tok):
     def solve(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        got = [ids_of(p) if p.isalpha() or p[0] == " " and p[1:].isalpha()  # one pre-token, no need to split
+               else [i for w in split.findall(p) for i in ids_of(w)] for p in pieces]
         lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        return np.fromiter((i for ids in got for i in ids), dtype=np.int64, count=int(lens.sum())), lens
-    return solve
+        return np.fromiter(chain.from_iterable(got), dtype=np.int64, count=int(lens.sum())), lens
+
+    return Encoder(solve, {t.content: i for i, t in tok.get_added_tokens_decoder().items()})
 
 
 def tokenise(df: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids) of (doc_id, text) rows, in the order given, ``end_id`` last in each list.
 
-    The tokenizers library encodes every distinct piece of text once per
-    worker; texts are cut at white space, where its byte-level pre-tokenizer
-    always cuts too.
+    The tokenizers library's model encodes the distinct pieces of the texts, kept
+    in a bounded memo; texts are cut where its pre-tokenizer always cuts too.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, special, cut = _tokenizer(path)
-        memo = WordMemo(_solver(tok))
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(1)):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                flat, counts = encode_texts(texts, memo, special, cut)
+                flat, counts = _encoder(path).encode(texts)
                 flat = np.insert(flat, np.cumsum(counts), end_id)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(counts + 1, pa.int32()),
