@@ -138,8 +138,8 @@ class Encoder:
     ``solve`` turns pieces into (ids one after another, ids per piece).
     """
 
-    def __init__(self, solve, special: dict[str, int]):
-        self.memo = WordMemo(solve)
+    def __init__(self, solve, special: dict[str, int], limit: int = 500_000):
+        self.memo = WordMemo(solve, limit)
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 

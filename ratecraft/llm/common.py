@@ -68,7 +68,7 @@ class WordMemo:
     Words longer than ``longest`` characters are solved but not kept.
     """
 
-    def __init__(self, solve, limit: int = 800_000, longest: int = 64, dtype=np.int64):
+    def __init__(self, solve, limit: int = 500_000, longest: int = 64, dtype=np.int64):
         self.solve, self.limit, self.longest, self.dtype = solve, limit, longest, dtype
         self._clear()
 

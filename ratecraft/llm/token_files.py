@@ -46,7 +46,7 @@ def _encoder(path: str) -> Encoder:
         lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
         return np.fromiter(chain.from_iterable(got), dtype=np.int64, count=int(lens.sum())), lens
 
-    return Encoder(solve, {t.content: i for i, t in tok.get_added_tokens_decoder().items()})
+    return Encoder(solve, {t.content: i for i, t in tok.get_added_tokens_decoder().items()}, limit=800_000)
 
 
 def tokenise(df: DataFrame, path: str, end_id: int) -> DataFrame:
