@@ -129,8 +129,20 @@ def highlight(avg: ColumnOrName, threshold: float = 4.0) -> Column:
 
 
 def two_decimals(c: ColumnOrName) -> Column:
-    """Average shown with two decimals, half-up on the decimal value."""
-    return _c(c).cast("decimal(38,10)").cast("decimal(38,2)").cast("string")
+    """Average shown with two decimals: the exact binary value rounded once, ties away from zero.
+
+    The value is split into a high and a low part whose products with 100 are
+    exact doubles, so the comparison with the half is exact too.
+    """
+    x = F.abs(_c(c).cast("double"))
+    wide = x * F.lit(134217729.0)  # 2**27 + 1
+    high = wide - (wide - x)
+    p, rest = high * F.lit(100.0), (x - high) * F.lit(100.0)
+    whole = F.floor(p + rest).cast("double")
+    cents = (whole + F.when(p - whole - F.lit(0.5) >= -rest, F.lit(1.0)).otherwise(F.lit(0.0))).cast("long")
+    sign = F.when(_c(c) < 0, F.lit("-")).otherwise(F.lit(""))
+    text = F.format_string("%s%d.%02d", sign, F.floor(cents / 100).cast("long"), cents % 100)
+    return F.when(x < F.lit(1e15), text).otherwise(_c(c).cast("decimal(38,2)").cast("string"))
 
 
 def genre_text(genres: ColumnOrName, sep: str = ", ") -> Column:

@@ -12,12 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _capitalize(s: str) -> str:
-    return "".join(w[:1].upper() + w[1:] + " " for w in s.split(" "))
-
-
 def _capitalize_batch(s: pd.Series) -> pd.Series:
-    return s.map(_capitalize, na_action="ignore")
+    """Upper-case every non-space that begins the string or follows a space, and add one space."""
+    return s.str.replace(r"(?:^|(?<= ))[^ ]", lambda m: m.group().upper(), regex=True) + " "
 
 
 def capitalize_words_udf(c: Column | str) -> Column:

@@ -154,8 +154,8 @@ def rollup_counts(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def merge_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Merge two (key, n, s) tables: n1+n2, s1+s2, mean = s/n."""
-    j = a.alias("a").join(b.alias("b"), F.col(f"a.{key}") == F.col(f"b.{key}"), "full")
+    """Merge two (key, n, s) tables: n1+n2, s1+s2, mean = s/n; a null key is one key."""
+    j = a.alias("a").join(b.alias("b"), F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")), "full")
     n = F.coalesce(F.col("a.n"), F.lit(0)) + F.coalesce(F.col("b.n"), F.lit(0))
     s = F.coalesce(F.col("a.s"), F.lit(0.0)) + F.coalesce(F.col("b.s"), F.lit(0.0))
     return j.select(F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key),

@@ -38,26 +38,19 @@ def top_k_arrays(df: DataFrame, key: str, order: Sequence[Column], k: int,
     return agg.select(key, F.transform("_arr", lambda s: F.struct(*[s[f].alias(f) for f in fields])).alias(out))
 
 
-# A page this deep or shallower is cut with a global top-k (each task keeps at
-# most page*per_page rows, merged in one task); deeper pages use the
-# distributed row index instead, so no task ever holds an unbounded prefix.
-SHALLOW_PAGE_ROWS = 100_000
-
-
 def paginate(df: DataFrame, order: Sequence[str], page: int, per_page: int = 10,
-             shallow_rows: int = SHALLOW_PAGE_ROWS) -> DataFrame:
-    """Rows ``[(page-1)*per_page, page*per_page)`` of the total ``order``.
+             rows_per_chunk: int | None = None) -> DataFrame:
+    """Rows ``[(page-1)*per_page, page*per_page)`` of the total ``order`` (nulls first).
 
-    Page 0 or a page past the end is empty.
+    One plan for every depth: positions from the distributed row index, so no
+    task holds a prefix of the table.  Page 0 or a page past the end is empty.
     """
     if per_page < 1:
         raise ValueError("per_page must be >= 1")
     if page < 1:
         return df.limit(0)
     lo = (page - 1) * per_page
-    if lo + per_page <= shallow_rows:
-        return df.orderBy(*order).offset(lo).limit(per_page)
-    idx = row_index(df, order, name="_pos")
+    idx = row_index(df, order, name="_pos", rows_per_chunk=rows_per_chunk)
     return idx.filter((F.col("_pos") >= lo) & (F.col("_pos") < lo + per_page)).drop("_pos")
 
 

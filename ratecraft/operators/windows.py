@@ -5,16 +5,17 @@ one task; one movie holding a third of all ratings would then sort a third
 of the data in a single task.  ``running_stats`` is a two-level prefix sum
 instead:
 
-1. rows get a *chunk* = a range of the first order column, so one key is
-   split into many (key, chunk) groups of bounded size;
+1. rows are range-partitioned on the FULL tuple (keys, order) and written
+   once with their partition number as *chunk*: a hot key, an outlier, a
+   string or a null order value all end in chunks of about equal size;
 2. a window inside each (key, chunk) gives the in-chunk running values;
 3. per (key, chunk) totals (a partial aggregate, so small) are prefix-summed
    over chunks with a second, tiny window;
-4. the offsets are joined back on (key, chunk) — the big side is already
-   hash-partitioned on exactly those columns by step 2.
+4. the offsets are joined back null-safely on (key, chunk).
 
 With no key the same plan yields a global row index (file-order folds,
-pages) without funnelling the table through one task.
+pages) without funnelling the table through one task.  Only rows equal in
+the whole tuple cannot be told apart; a total order has none.
 """
 
 from __future__ import annotations
@@ -22,89 +23,58 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ratecraft.session import work_dir
 
 DEFAULT_ROWS_PER_CHUNK = 1 << 20
 
 
-def _order_number(df: DataFrame, name: str) -> Column:
-    """A long that is monotone in ``name`` (used only to cut chunks)."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return c.cast("long")
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return F.floor(c).cast("long")
-    return None  # strings and others: a single chunk
-
-
-def chunk_plan(df: DataFrame, first_order: str, *, rows_per_chunk: int | None = None,
-               min_chunks: int | None = None) -> tuple[Column, int]:
-    """(chunk id column, row count) from one tiny aggregate:
-    chunk id = floor((o - min) / width), width sized for ``rows_per_chunk``."""
-    num = _order_number(df, first_order)
-    if num is None:  # not orderable as a number: one chunk, count separately
-        return F.lit(0).cast("long"), df.select(F.count(F.lit(1))).first()[0]
+def in_chunks(df: DataFrame, by: Sequence[str], *, rows_per_chunk: int | None = None,
+              name: str = "_chunk") -> tuple[DataFrame, int]:
+    """(rows with their chunk, row count): chunks ascend with ``by`` (nulls first).
+
+    The range bounds come from a sample, so there are twice the chunks that
+    ``rows_per_chunk`` asks for.  The rows are written to the shared work folder
+    and read back: chunk numbers must not change between the steps that use
+    them, also when an executor is lost.
+    """
     spark = df.sparkSession
-    rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
-    if min_chunks is None:
-        min_chunks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    lo, hi, n = df.select(F.min(num), F.max(num), F.count(F.lit(1))).first()
-    if lo is None:
-        return F.lit(0).cast("long"), n
-    n_chunks = max(min_chunks, math.ceil(n / rows_per_chunk), 1)
-    width = max(1, math.ceil((hi - lo + 1) / n_chunks))
-    return F.floor((num - F.lit(lo)) / F.lit(width)).cast("long"), n
-
-
-def chunk_column(df: DataFrame, first_order: str, *, rows_per_chunk: int | None = None,
-                 min_chunks: int | None = None, width: int | None = None) -> Column:
-    """Chunk id = floor((o - min) / width); width from one tiny aggregate."""
-    if width is None:
-        return chunk_plan(df, first_order, rows_per_chunk=rows_per_chunk, min_chunks=min_chunks)[0]
-    num = _order_number(df, first_order)
-    if num is None:
-        return F.lit(0).cast("long")
-    return F.floor(num / F.lit(width)).cast("long")
+    n = df.count()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                math.ceil(2 * n / (rows_per_chunk or DEFAULT_ROWS_PER_CHUNK)), 1)
+    path = work_dir(spark, "chunks") + "/rows"
+    ranged = df.repartitionByRange(parts, *by).withColumn(name, F.spark_partition_id())
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path), n
 
 
 def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   value: str | None = None, *, count_col: str = "run_count",
                   sum_col: str = "run_sum", mean_col: str | None = "run_mean",
-                  rows_per_chunk: int | None = None, min_chunks: int | None = None,
-                  chunk_width: int | None = None, chunk: Column | None = None) -> DataFrame:
+                  rows_per_chunk: int | None = None, chunked: DataFrame | None = None) -> DataFrame:
     """Per key, the count (and sum/mean of ``value``) of rows up to and
-    including the current one in ``order`` (ties broken by the full order).
+    including the current one in ``order`` (nulls first, ties broken by the
+    full order).
 
-    ``count_col`` is the 1-based row number when ``order`` is total.
+    ``count_col`` is the 1-based row number when ``order`` is total.  Null keys
+    are one key.  Sums of doubles are grouped by chunk, so their last bits may
+    differ between chunkings.  ``chunked`` takes rows that ``in_chunks`` made on
+    the same keys and order.
     """
-    keys = list(keys)
-    order = list(order)
-    if chunk is None:
-        chunk = chunk_column(df, order[0], rows_per_chunk=rows_per_chunk,
-                             min_chunks=min_chunks, width=chunk_width)
-    base = df.withColumn("_chunk", chunk)
+    keys, order = list(keys), list(order)
+    base = in_chunks(df, [*keys, *order], rows_per_chunk=rows_per_chunk)[0] if chunked is None else chunked
     w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     val = F.col(value).cast("double") if value else None
     inner = base.withColumn("_c_in", F.count(F.lit(1)).over(w_in))
-    if value:
-        inner = inner.withColumn("_s_in", F.sum(val).over(w_in))
-        inner = inner.withColumn("_n_in", F.count(val).over(w_in))
-
     aggs = [F.count(F.lit(1)).alias("_c_tot")]
     if value:
+        inner = inner.withColumns({"_s_in": F.sum(val).over(w_in), "_n_in": F.count(val).over(w_in)})
         aggs += [F.sum(val).alias("_s_tot"), F.count(val).alias("_n_tot")]
     totals = base.groupBy(*keys, "_chunk").agg(*aggs)
-    # Offsets run over the per-(key, chunk) totals, one row per chunk: with no
-    # key this window sees only the chunk count (rows / rows_per_chunk), never
-    # the rows themselves.
+    # one row per (key, chunk); with no key one row per chunk, never the rows
     w_off = Window.orderBy("_chunk") if not keys else Window.partitionBy(*keys).orderBy("_chunk")
     w_off = w_off.rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(
@@ -112,11 +82,8 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.coalesce(F.sum("_c_tot").over(w_off), F.lit(0)).alias("_c_off"),
         *([F.coalesce(F.sum("_s_tot").over(w_off), F.lit(0.0)).alias("_s_off"),
            F.coalesce(F.sum("_n_tot").over(w_off), F.lit(0)).alias("_n_off")] if value else []))
-
-    cond = [F.col("_chunk") == F.col("_k_chunk")]
-    cond += [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    j = inner.join(offs, cond, "inner")
-    out = j.withColumn(count_col, F.col("_c_in") + F.col("_c_off"))
+    cond = [F.col("_chunk") == F.col("_k_chunk"), *[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]]
+    out = inner.join(offs, cond).withColumn(count_col, F.col("_c_in") + F.col("_c_off"))
     if value:
         n = F.col("_n_in") + F.col("_n_off")
         s = F.when(n > 0, F.coalesce(F.col("_s_in"), F.lit(0.0)) + F.col("_s_off"))
@@ -124,9 +91,8 @@ def running_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         if mean_col:
             out = out.withColumn(mean_col, F.when(n > 0, s / n))
         out = out.withColumn("_n_run", n)
-    drop = [c for c in out.columns if c.startswith("_c_") or c.startswith("_s_")
-            or c.startswith("_n_") or c.startswith("_k_") or c == "_chunk"]
-    return out.drop(*drop)
+    return out.drop("_chunk", "_k_chunk", "_c_in", "_c_off", "_s_in", "_s_off", "_n_in", "_n_off", "_n_run",
+                    *[f"_k_{k}" for k in keys])
 
 
 def row_index(df: DataFrame, order: Sequence[str], *, name: str = "row_idx", **kw) -> DataFrame:
@@ -176,9 +142,8 @@ def leave_n_out(df: DataFrame, user: str, order: Sequence[str], start: int, stop
 def contiguous_kfold(df: DataFrame, order: Sequence[str], k: int, *, fold_col: str = "fold",
                      **kw) -> DataFrame:
     """Fold i (1..k) = the i-th contiguous block of about N/k rows in ``order``."""
-    chunk, n = chunk_plan(df, order[0], rows_per_chunk=kw.get("rows_per_chunk"),
-                          min_chunks=kw.get("min_chunks"))
-    idx = row_index(df, order, name="_idx", chunk=chunk)
+    chunked, n = in_chunks(df, list(order), **kw)
+    idx = row_index(df, order, name="_idx", chunked=chunked)
     if n == 0:
         return df.withColumn(fold_col, F.lit(1))
     fold = (F.floor(F.col("_idx") * F.lit(k) / F.lit(n)) + F.lit(1)).cast("int")

@@ -1,10 +1,8 @@
 """The page service: ratings ⋈ items ⋈ users as nested JSON
 records, page *n* of a total order, with the page count (T2 + A3 + P2 + K7).
 
-The page is cut by ``paginate`` (a bounded global top-k for shallow pages,
-distributed positions for deep ones) and the page count is one scalar
-aggregate.  A
-page past the last one (or page 0) yields no rows — the service answers
+The page is cut by ``paginate`` (distributed positions) and the page count is
+one scalar aggregate.  A page past the last one (or page 0) yields no rows — the service answers
 "not found" from that (decision Q13 validates ``per_page``).
 """
 

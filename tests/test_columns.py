@@ -5,21 +5,17 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ratecraft.functions import columns as C
-from ratecraft.functions.udfs import _capitalize, capitalize_words_udf
+from ratecraft.functions.udfs import capitalize_words_udf
 
-NAMES = ["john jones", "tracey smith", "amy sanders", "two  spaces", "", "mcDonald inner",
-         " lead", "trail ", None]
+NAMES = {"mira vell": "Mira Vell ", "two  gaps": "Two  Gaps ", "": " ", "o'Tool inner": "O'Tool Inner ",
+         " lead": " Lead ", "trail ": "Trail  ", "éa ñu": "Éa Ñu ", None: None}
 
 
-def test_capitalize_words_native_and_udf_match_python(spark):
-    df = spark.createDataFrame([(str(i), n) for i, n in enumerate(NAMES)], "Seqno string, Name string")
-    got = df.select("Seqno", C.capitalize_words("Name").alias("a"),
-                    capitalize_words_udf("Name").alias("b")).orderBy(F.col("Seqno").cast("int")).collect()
-    for r, name in zip(got, NAMES):
-        exp = None if name is None else _capitalize(name)
-        assert r.a == exp and r.b == exp
-    assert got[0].a == "John Jones "
-    assert got[5].a == "McDonald Inner "  # rest of the word kept (not initcap)
+def test_capitalize_words_native_and_udf(spark):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(NAMES)], "i int, name string")
+    got = df.select("i", C.capitalize_words("name").alias("a"),
+                    capitalize_words_udf("name").alias("b")).orderBy("i").collect()
+    assert [r.a for r in got] == [r.b for r in got] == list(NAMES.values())  # not initcap: rest of a word kept
 
 
 def test_composite_key_is_null_when_a_part_is_null(spark):
@@ -28,10 +24,10 @@ def test_composite_key_is_null_when_a_part_is_null(spark):
 
 
 def test_epoch_units(spark):
-    df = spark.createDataFrame([("881250949",)], "t string")
+    df = spark.createDataFrame([("1000000000",)], "t string")
     r = df.select(C.epoch_to_date("t").alias("s"), C.epoch_to_date("t", "millis").alias("ms")).first()
-    assert r.s == dt.date(1997, 12, 4)
-    assert r.ms == dt.date(1970, 1, 11)  # the mapping's millisecond reading (Q2)
+    assert r.s == dt.date(2001, 9, 9)
+    assert r.ms == dt.date(1970, 1, 12)  # the mapping's millisecond reading (Q2)
 
 
 def test_multi_format_timestamp(spark):
@@ -63,3 +59,6 @@ def test_display_card(spark):
                     C.highlight("a").alias("h")).collect()
     assert (got[0].t, got[0].d, got[0].h) == ("Action, Drama", "4.00", True)
     assert (got[1].t, got[1].d, got[1].h) == ("", "3.46", False)
+    edge = spark.createDataFrame([(1.0049999999999,), (1.005,), (2.675,), (0.125,), (-1.5,), (None,)], "a double")
+    got = [r.d for r in edge.select(C.two_decimals("a").alias("d")).collect()]
+    assert got == ["1.00", "1.00", "2.67", "0.13", "-1.50", None]  # by the binary value, exact halves up

@@ -42,8 +42,8 @@ def test_unknown_title_gives_empty_result(spark):
 def test_separator_is_an_argument(spark, tmp):
     from ratecraft.sources import files as FS
     with open(f"{tmp}/users.tsv", "w") as f:
-        f.write("1\t24\tM\ttechnician\t85711\n")
-    assert FS.read_users(spark, f"{tmp}/users.tsv", sep="\t").first().zipcode == "85711"
+        f.write("1\t61\tF\tbaker\t00017\n")
+    assert FS.read_users(spark, f"{tmp}/users.tsv", sep="\t").first().zipcode == "00017"
 
 
 def test_page_response_edges(spark):

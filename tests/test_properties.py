@@ -44,7 +44,7 @@ def test_running_stats_any_chunking(spark, rows, rpc, chunks):
     data = [(i, k, float(v)) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "seq long, k long, v double")
     got = {r.seq: (r.run_count, r.run_sum) for r in
-           W.running_stats(df, ["k"], ["seq"], "v", rows_per_chunk=rpc, min_chunks=chunks).collect()}
+           W.running_stats(df, ["k"], ["seq"], "v", rows_per_chunk=rpc).collect()}
     exp, cnt, tot = {}, {}, {}
     for seq, k, v in data:
         cnt[k] = cnt.get(k, 0) + 1

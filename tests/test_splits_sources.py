@@ -29,7 +29,7 @@ def test_hash_kfold_range(spark):
 
 def test_read_ratings_items_users_lookup_totals(spark, tmp):
     with open(f"{tmp}/r.tsv", "w") as f:
-        f.write("1\t10\t4\t881250949\n2\t20\t3\t881250950\n")
+        f.write("1\t10\t4\t1000000000\n2\t20\t3\t1000000001\n")
     r = FS.read_ratings(spark, [f"{tmp}/r.tsv", f"{tmp}/r.tsv"])
     assert r.count() == 4 and dict(r.dtypes)["rating"] == "float"
     with open(f"{tmp}/items", "w", encoding="latin-1") as f:
@@ -37,24 +37,24 @@ def test_read_ratings_items_users_lookup_totals(spark, tmp):
     it = FS.read_items(spark, f"{tmp}/items", ["unknown", "Action", "Children's"]).orderBy("item_id").collect()
     assert it[0].title == "Café (1995)" and it[0].genres == ["Action", "Children's"] and it[1].genres == []
     with open(f"{tmp}/users", "w") as f:
-        f.write("1|24|M|technician|85711\n2|53|F|other|T8H1N\n3|30|M|writer|01002\n")
+        f.write("1|61|F|baker|00017\n2|19|M|pilot|X9Y\n3|44|F|clerk|70000\n")
     us = {r.user_id: r.zipcode for r in FS.read_users(spark, f"{tmp}/users").collect()}
-    assert us == {1: "85711", 2: "T8H1N", 3: "01002"}  # zip stays a string
+    assert us == {1: "00017", 2: "X9Y", 3: "70000"}  # zip stays a string
     with open(f"{tmp}/genre", "w") as f:
         f.write("unknown|0\nAction|1\n\n")
     assert FS.read_lookup(spark, f"{tmp}/genre").count() == 2
     with open(f"{tmp}/info", "w") as f:
-        f.write("943 users\n1682 items\n100000 ratings\n")
+        f.write("7 users\n11 items\n23 ratings\n")
     t = {r.what: r.n for r in FS.read_totals(spark, f"{tmp}/info").collect()}
-    assert t == {"users": 943, "items": 1682, "ratings": 100000}
+    assert t == {"users": 7, "items": 11, "ratings": 23}
 
 
 def test_json_round_trip(spark, tmp):
     from ratecraft.functions.columns import nest_record
-    df = spark.createDataFrame([(1, 2, "x", ["A"], 4.0, 881250949)],
+    df = spark.createDataFrame([(1, 2, "x", ["A"], 4.0, 1000000000)],
                                "u long, m long, t string, g array<string>, r double, ts long")
     rec = nest_record({"userId": "u"}, {"movieId": "m", "title": "t", "genres": "g"}, "r", "ts")
     js = FS.to_json_lines(df.select(rec.alias("record"))).first().json
-    assert js == '{"user":{"userId":"1"},"movie":{"movieId":"2","title":"x","genres":["A"]},"rating":"4.0","timestamp":"881250949"}'
+    assert js == '{"user":{"userId":"1"},"movie":{"movieId":"2","title":"x","genres":["A"]},"rating":"4.0","timestamp":"1000000000"}'
     FS.write_json(df.select(rec.alias("record")).select("record.*"), f"{tmp}/j")
     assert spark.read.json(f"{tmp}/j").count() == 1

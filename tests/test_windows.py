@@ -3,6 +3,7 @@ single-task computations, including one hot key holding a third of the rows."""
 
 import random
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def _events(spark, n=3000, keys=20, seed=7):
 
 def test_running_stats_matches_plain_window_with_hot_key(spark):
     df = _events(spark)
-    got = W.running_stats(df, ["item_id"], ["seq"], "rating", rows_per_chunk=50, min_chunks=40)
+    got = W.running_stats(df, ["item_id"], ["seq"], "rating", rows_per_chunk=50)
     w = Window.partitionBy("item_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("seq", F.count(F.lit(1)).over(w).alias("c"), F.sum("rating").over(w).alias("s"),
                     F.avg("rating").over(w).alias("m"))
@@ -34,30 +35,48 @@ def test_running_stats_matches_plain_window_with_hot_key(spark):
             assert (x is None and y is None) or abs(x - y) < 1e-9
 
 
-def test_hot_key_is_split_into_many_chunks(spark):
-    df = _events(spark)
-    chunk = W.chunk_column(df, "seq", rows_per_chunk=50, min_chunks=40)
-    per = df.filter("item_id = 0").select(chunk.alias("c")).distinct().count()
-    assert per > 10
+def _orders(n):
+    """Order values that defeat equal-width chunks: hot first column, one outlier, strings, nulls, NaN."""
+    return {"hot": ("k int", [0 if i % 2 else i for i in range(n)]),
+            "outlier": ("k long", [10 ** 15 if i == 5 else i % 700 for i in range(n)]),
+            "string": ("k string", [f"w{i % 900:04d}" if i % 7 else None for i in range(n)]),
+            "double": ("k double", [None if i % 9 == 0 else float("nan") if i % 9 == 1 else i / 3 for i in range(n)])}
+
+
+def test_every_row_gets_one_position_and_no_chunk_is_large(spark):
+    n = 4000
+    for name, (kind, values) in _orders(n).items():
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{kind}, i int")
+        chunked, rows = W.in_chunks(df, ["k", "i"], rows_per_chunk=200)
+        assert rows == n
+        assert max(r["count"] for r in chunked.groupBy("_chunk").count().collect()) <= 200, name
+        got = [r.i for r in W.row_index(df, ["k", "i"], chunked=chunked).orderBy("row_idx").collect()]
+        assert got == [r.i for r in df.orderBy("k", "i").collect()], name
+        folds = W.contiguous_kfold(df, ["k", "i"], 4, rows_per_chunk=200).groupBy("fold").count().collect()
+        assert {r.fold: r["count"] for r in folds} == {f: n // 4 for f in range(1, 5)}
+
+
+def test_running_stats_keeps_null_keys_and_null_orders(spark):
+    df = spark.createDataFrame([(None if i % 4 == 0 else i % 3, None if i % 5 == 0 else i, i) for i in range(400)],
+                               "k int, o int, i int")
+    w = Window.partitionBy("k").orderBy("o", "i")
+    exp = {r.i: r.c for r in df.select("i", F.row_number().over(w).alias("c")).collect()}
+    got = W.running_stats(df, ["k"], ["o", "i"], rows_per_chunk=20).collect()
+    assert len(got) == 400 and {r.i: r.run_count for r in got} == exp
 
 
 def test_row_index_is_a_permutation_in_order(spark):
     df = _events(spark, n=1500)
-    got = W.row_index(df, ["seq"], min_chunks=16).orderBy("seq").select("row_idx").collect()
+    got = W.row_index(df, ["seq"], rows_per_chunk=100).orderBy("seq").select("row_idx").collect()
     assert [r.row_idx for r in got] == list(range(1500))
 
 
-def _leave_n_out_rule(rows, start, stop, max_test):
-    """Plain Python statement of the leave-n-out rule, in file order."""
-    cnt, test, out = {}, 0, []
-    for seq, user in rows:
-        cnt[user] = cnt.get(user, 0) + 1
-        if (test < max_test or max_test <= 0) and start <= cnt[user] <= stop:
-            test += 1
-            out.append((seq, True))
-        else:
-            out.append((seq, False))
-    return out
+def _expected_test_rows(rows, start, stop, cap):
+    """From the stated rule: number each user's rows, keep numbers in range, cut at the cap."""
+    table = pd.DataFrame(rows, columns=["seq", "user"]).sort_values("seq")
+    candidate = (table.groupby("user").cumcount() + 1).between(start, stop)
+    chosen = candidate & (candidate.cumsum() <= (cap if cap > 0 else len(table)))
+    return list(zip(table["seq"].tolist(), chosen.tolist()))
 
 
 def test_leave_n_out_matches_rule_with_and_without_cap(spark):
@@ -65,13 +84,13 @@ def test_leave_n_out_matches_rule_with_and_without_cap(spark):
     rows = [(i, rnd.randrange(30)) for i in range(2000)]
     df = spark.createDataFrame(rows, "seq long, user_id long")
     for start, stop, cap in [(1, 10, 0), (11, 20, 100), (1, 10, 100000)]:
-        got = W.leave_n_out(df, "user_id", ["seq"], start, stop, cap, min_chunks=12)
-        assert sorted((r.seq, r.is_test) for r in got.collect()) == _leave_n_out_rule(rows, start, stop, cap)
+        got = W.leave_n_out(df, "user_id", ["seq"], start, stop, cap, rows_per_chunk=200)
+        assert sorted((r.seq, r.is_test) for r in got.collect()) == _expected_test_rows(rows, start, stop, cap)
 
 
 def test_contiguous_kfold_blocks(spark):
     df = spark.range(100).withColumnRenamed("id", "seq")
-    got = {r.seq: r.fold for r in W.contiguous_kfold(df, ["seq"], 5, min_chunks=7).collect()}
+    got = {r.seq: r.fold for r in W.contiguous_kfold(df, ["seq"], 5, rows_per_chunk=20).collect()}
     assert all(got[i] == i // 20 + 1 for i in range(100))
 
 
@@ -82,11 +101,11 @@ def test_latest_per_key(spark):
     assert got == {1: 4.0, 2: 1.0}
 
 
-def test_paginate_shallow_and_deep_agree(spark):
+def test_pages_follow_the_order_at_every_depth(spark):
     from ratecraft.operators.topk import paginate
-    df = _events(spark, n=700)
-    for page in (1, 7, 70, 71):
-        a = [r.seq for r in paginate(df, ["seq"], page, 10).collect()]
-        b = [r.seq for r in paginate(df, ["seq"], page, 10, shallow_rows=0).collect()]
-        assert sorted(a) == sorted(b)
-    assert paginate(df, ["seq"], 71, 10).count() == 0 and paginate(df, ["seq"], 0, 10).count() == 0
+    df = spark.createDataFrame([(None if i % 10 == 0 else i, i) for i in range(100)], "o int, i int")
+    want = [r.i for r in df.orderBy("o", "i").collect()]
+    for page in (1, 2, 7, 10):
+        got = paginate(df, ["o", "i"], page, 10, rows_per_chunk=15).orderBy("o", "i").collect()
+        assert [r.i for r in got] == want[10 * page - 10:10 * page]
+    assert paginate(df, ["o", "i"], 11, 10).count() == 0 and paginate(df, ["o", "i"], 0, 10).count() == 0
