@@ -267,7 +267,7 @@ def p16(spark, sf):
 
 @query("P17_P18_display_cards", f"""
 SELECT s.item_id, array_to_string({GENRES_LIST_SQL}, ', ') AS genres_display,
-       CAST(CAST(CAST(s.rating_avg AS DECIMAL(38,10)) AS DECIMAL(38,2)) AS VARCHAR) AS avg_display,
+       printf('%.2f', s.rating_avg + CASE WHEN s.rating_avg * 8 = floor(s.rating_avg * 8) THEN 0.001 ELSE 0 END) AS avg_display,
        s.rating_avg >= 4.0 AS highlight
 FROM (SELECT item_id, avg(rating) AS rating_avg FROM {E} GROUP BY item_id) s
 JOIN {I} i ON s.item_id = i.item_id""")

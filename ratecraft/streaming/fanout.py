@@ -2,15 +2,19 @@
 
 One streaming query reads message payloads, parses them against the
 declared record schema, sets aside records whose key parts are missing
-(quarantine, decision Q5) and, inside one ``foreachBatch``, writes
+(quarantine, decision Q5; a rating that is no number still counts as activity
+and as a review) and, inside one ``foreachBatch``, writes
 
 * per-movie partial counts (n, sum, latest title/genres)  -> AdditiveTable
 * per-user activity partials (n, latest profile)           -> AdditiveTable
 * review rows keyed ``user_movie``                         -> LatestTable
 * per-event running values (count, mean as of the event)   -> change log
 
-Every output is partitioned by ``batch_id`` and overwritten per batch, so a
-batch re-run after a failure or restart is idempotent (Q6), and two events
+Every output is partitioned by ``batch_id`` and overwritten per batch, and a
+commit marker comes last; views show committed batches only, so a failed batch
+is not seen and its re-run is idempotent (Q6).  Running values follow arrival
+from batch to batch and event order inside one, so a late event counts when it
+comes and never stops the stream.  And two events
 of one movie in one batch both count (Q3): the batch is rolled up first
 and merged with the stored totals, not read-modify-written per row.
 """
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 from ratecraft.functions import columns as C
 from ratecraft.operators.windows import contiguous_kfold, running_stats
 from ratecraft.schemas import EVENT_SCHEMA
-from ratecraft.streaming.keyed import AdditiveTable, LatestTable
+from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog
 
 # The published record plus an optional sequence number (an extra field is
 # ignored by readers that do not know it).
@@ -57,21 +61,19 @@ def write_slices(df: DataFrame, order: list[str], n_slices: int, path: str,
 
 # S7 / S8 -----------------------------------------------------------------------------
 def message_stream(spark: SparkSession, path: str | None = None, *, fmt: str = "parquet",
-                   max_files_per_trigger: int | None = 1, options: dict[str, str] | None = None
+                   max_files_per_trigger: int | None = None, options: dict[str, str] | None = None
                    ) -> DataFrame:
     """A stream of message payloads (column ``value``).
 
-    ``fmt='kafka'`` takes the reference's options (``kafka.bootstrap.servers``,
-    ``subscribe``, ``startingOffsets``, ``failOnDataLoss``) and needs the
-    Kafka connector on the classpath; file formats read ``value`` from files
-    dropped in ``path`` (one batch per ``max_files_per_trigger`` files).
+    ``fmt='kafka'`` passes on the options given (``kafka.bootstrap.servers``,
+    ``subscribe``, ...) and no others, so the connector's own defaults hold; it
+    needs the Kafka connector on the classpath.  File formats read ``value``
+    from files dropped in ``path``, all new files a batch unless
+    ``max_files_per_trigger`` says otherwise.
     """
     r = spark.readStream
     if fmt == "kafka":
-        r = r.format("kafka")
-        for k, v in {"startingOffsets": "latest", "failOnDataLoss": "false", **(options or {})}.items():
-            r = r.option(k, v)
-        return r.load().select("value")
+        return r.format("kafka").options(**(options or {})).load().select("value")
     r = r.schema(PAYLOAD_SCHEMA).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -100,8 +102,9 @@ def parse_messages(df: DataFrame) -> DataFrame:
 
 
 def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): a record needs both key parts and a numeric rating."""
-    ok = F.col("item_id").isNotNull() & F.col("user_id").isNotNull() & F.col("rating").isNotNull()
+    """(good, bad): a record needs both key parts; without a numeric rating (null) it is still
+    an activity of its user and a review, and adds nothing to its item's sums."""
+    ok = F.col("item_id").isNotNull() & F.col("user_id").isNotNull()
     return parsed.filter(ok).drop("raw"), parsed.filter(~ok).select("raw")
 
 
@@ -114,24 +117,23 @@ class RatingTables:
     @property
     def movies(self) -> AdditiveTable:
         return AdditiveTable(self.spark, f"{self.root}/movies", ["item_id"], ["n", "s"],
-                             ["title", "genres"], ["ts", "seq"])
+                             ["title", "genres"], ["ts", "seq"], self.commits_path)
 
     @property
     def users(self) -> AdditiveTable:
         return AdditiveTable(self.spark, f"{self.root}/users", ["user_id"], ["n"],
-                             ["age", "gender", "occupation"], ["ts", "seq"])
+                             ["age", "gender", "occupation"], ["ts", "seq"], self.commits_path)
 
     @property
     def reviews(self) -> LatestTable:
-        return LatestTable(self.spark, f"{self.root}/reviews", ["review_id"], ["ts", "seq"])
+        return LatestTable(self.spark, f"{self.root}/reviews", ["review_id"], ["ts", "seq"], self.commits_path)
 
     @property
-    def running_path(self) -> str:
-        return f"{self.root}/running"
+    def commits_path(self) -> str:
+        return f"{self.root}/commits"
 
-    @property
-    def quarantine_path(self) -> str:
-        return f"{self.root}/quarantine"
+    def _log(self, name: str) -> _ChangeLog:
+        return _ChangeLog(self.spark, f"{self.root}/{name}", [], self.commits_path)
 
     # views ----------------------------------------------------------------------------
     def item_stats(self) -> DataFrame:
@@ -154,21 +156,20 @@ class RatingTables:
             F.count("rating").alias("rating_count"), F.avg("rating").alias("rating_avg"))
 
     def running(self) -> DataFrame:
-        return self.spark.read.parquet(self.running_path).drop("batch_id")
+        return self._log("running").rows().drop("batch_id")
 
     def quarantined(self) -> DataFrame:
-        return self.spark.read.parquet(self.quarantine_path)
+        return self._log("quarantine").rows()
 
 
 def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
-                  emit_running: bool = True, compact_every: int | None = None) -> None:
-    """The body of ``foreachBatch``: every write replaces this batch's partition.
-    With ``compact_every`` the keyed tables fold their logs into a snapshot
-    every that many batches, so views read one snapshot plus recent batches."""
+                  emit_running: bool = True) -> None:
+    """The body of ``foreachBatch``: every write replaces this batch's partition,
+    the commit marker is written last."""
     parsed = parse_messages(batch).persist()
     try:
         good, bad = split_quarantine(parsed)
-        bad.write.mode("overwrite").parquet(f"{tables.quarantine_path}/batch_id={int(batch_id)}")
+        tables._log("quarantine").write_batch(bad, batch_id)
 
         ordkey = F.struct("ts", "seq")
         movies = good.groupBy("item_id").agg(
@@ -192,9 +193,8 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
 
         if emit_running:
             _emit_running(tables, good, batch_id)
-        if compact_every and (int(batch_id) + 1) % compact_every == 0:
-            for t in (tables.movies, tables.users, tables.reviews):
-                t.compact(int(batch_id))
+        done = tables.spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch"))
+        done.coalesce(1).write.mode("overwrite").parquet(f"{tables.commits_path}/batch_id={int(batch_id)}")
     finally:
         parsed.unpersist()
 
@@ -203,14 +203,7 @@ def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
     """Per event: (count, mean) of its movie as of that event = stored totals
     of earlier batches + the in-batch running values (skew-safe prefix)."""
     prior = tables.movies.current(before=batch_id, sums_only=True)
-    if prior is not None:
-        # running values "as of each event" need events in sequence order
-        # across batches; fail the batch rather than emit wrong values
-        seen = tables.movies.rows(before=batch_id).agg(F.max("seq")).first()[0]
-        first = good.agg(F.min("seq")).first()[0]
-        if seen is not None and first is not None and first <= seen:
-            raise ValueError(f"batch {batch_id} holds seq {first} <= {seen} seen before: "
-                             "running values need batches in sequence order")
+    good = good.filter(F.col("rating").isNotNull())
     inb = running_stats(good.select("seq", "ts", "item_id", "rating"), ["item_id"], ["ts", "seq"],
                         "rating")
     if prior is None:
@@ -223,16 +216,15 @@ def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
         j = j.withColumn("_n_run_total", F.col("run_count") + F.coalesce("_pn", F.lit(0)))
         s = F.col("run_sum") + F.coalesce("_ps", F.lit(0.0))
         out = j.select("seq", "item_id", n.alias("rating_count"), (s / n).alias("rating_avg"))
-    out.write.mode("overwrite").parquet(f"{tables.running_path}/batch_id={int(batch_id)}")
+    tables._log("running").write_batch(out, batch_id)
 
 
 def start_rating_stream(stream: DataFrame, tables: RatingTables, checkpoint: str, *,
                         available_now: bool = True, processing_time: str | None = None,
-                        emit_running: bool = True, compact_every: int | None = None,
-                        query_name: str | None = None):
+                        emit_running: bool = True, query_name: str | None = None):
     """Start the one query that feeds all outputs (decision Q8)."""
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, emit_running, compact_every)))
+         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, emit_running)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:

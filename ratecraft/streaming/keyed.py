@@ -6,12 +6,12 @@ log partitioned by ``batch_id`` plus a view:
 * ``write_batch(df, batch_id)`` overwrites exactly one partition, so a
   micro-batch that is re-run after a failure replaces its own output and
   the table stays idempotent;
-* ``LatestTable.current()`` = latest row per key by (batch_id, order);
+* ``LatestTable.current()`` = latest row per key by event order, the later
+  batch winning ties, so the result does not depend on where batches cut;
 * ``AdditiveTable.current()`` = per-key sums of the logged partial
   aggregates (count, sum) and latest attributes;
-* ``compact(upto)`` folds everything up to a batch into a new snapshot
-  folder (never overwriting a folder that is being read), so the view
-  reads one snapshot plus the newer partitions.
+* with a ``commits`` folder a view shows a batch only once its marker is
+  written, so the outputs of an unfinished batch are never seen.
 """
 
 from __future__ import annotations
@@ -34,90 +34,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class _ChangeLog:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], commits: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.commits = commits
 
     @property
     def changes_path(self) -> str:
         return f"{self.path}/changes"
 
-    @property
-    def snapshots_path(self) -> str:
-        return f"{self.path}/snapshots"
-
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Idempotent: replaces the partition of this batch only."""
         df.write.mode("overwrite").parquet(f"{self.changes_path}/batch_id={int(batch_id)}")
 
-    def _snapshot(self) -> tuple[DataFrame | None, int]:
-        if not _exists(self.spark, self.snapshots_path):
-            return None, -1
-        snaps = self.spark.read.parquet(self.snapshots_path)
-        upto = snaps.agg(F.max("upto")).first()[0]
-        if upto is None:
-            return None, -1
-        return snaps.filter(F.col("upto") == F.lit(upto)).drop("upto"), int(upto)
-
-    def _changes(self, after: int, before: int | None = None) -> DataFrame | None:
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        """Logged rows of committed batches (optionally only batches < before)."""
         if not _exists(self.spark, self.changes_path):
             return None
-        ch = self.spark.read.parquet(self.changes_path).filter(F.col("batch_id") > F.lit(after))
+        rows = self.spark.read.parquet(self.changes_path)
         if before is not None:
-            ch = ch.filter(F.col("batch_id") < F.lit(before))
-        return ch
-
-    def rows(self, before: int | None = None) -> DataFrame | None:
-        """Snapshot rows plus change rows (optionally only batches < before)."""
-        snap, upto = self._snapshot()
-        if before is not None and upto >= before:
-            snap, upto = None, -1  # snapshot is too new for this view: use the log
-        ch = self._changes(upto, before)
-        parts = [p for p in (snap, ch) if p is not None]
-        if not parts:
-            return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
-
-    def compact(self, upto: int) -> None:
-        """Fold all batches <= upto into ``snapshots/upto=<upto>``.  A snapshot
-        at or past ``upto`` already holds the same content (batches are
-        idempotent), so it is kept: a folder being read is never rewritten."""
-        _, latest = self._snapshot()
-        if latest >= upto:
-            return
-        cur = self.current(before=upto + 1)
-        if cur is None:
-            return
-        cur.withColumn("batch_id", F.lit(int(upto)).cast("long")).write.mode("overwrite").parquet(
-            f"{self.snapshots_path}/upto={int(upto)}")
-
-    def vacuum(self) -> list[int]:
-        """Delete the change partitions that the latest snapshot already holds
-        and return their batch ids.  Views never read them again (they read
-        the snapshot plus later batches); a reader that listed them before
-        the delete fails its task and is retried by Spark.  After a vacuum the
-        table can no longer be viewed as of a batch inside the snapshot
-        (``current(before=b)`` with ``b <= upto``), so replaying such a batch is
-        no longer supported: vacuum only past the replay horizon."""
-        _, upto = self._snapshot()
-        if upto < 0 or not _exists(self.spark, self.changes_path):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.changes_path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        gone = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("batch_id="):
-                bid = int(name.split("=", 1)[1])
-                if bid <= upto:
-                    fs.delete(st.getPath(), True)
-                    gone.append(bid)
-        return sorted(gone)
+            rows = rows.filter(F.col("batch_id") < F.lit(before))
+        if self.commits is None:
+            return rows
+        if not _exists(self.spark, self.commits):
+            return rows.limit(0)
+        done = self.spark.read.parquet(self.commits).select("batch_id").distinct()
+        return rows.join(done, "batch_id", "left_semi")
 
     def current(self, before: int | None = None) -> DataFrame | None:  # pragma: no cover
         raise NotImplementedError
@@ -126,8 +69,9 @@ class _ChangeLog:
 class LatestTable(_ChangeLog):
     """Upsert semantics: the latest row per key wins."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
-        super().__init__(spark, path, keys)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str],
+                 commits: str | None = None):
+        super().__init__(spark, path, keys, commits)
         self.order = list(order)
 
     def current(self, before: int | None = None) -> DataFrame | None:
@@ -135,7 +79,7 @@ class LatestTable(_ChangeLog):
         if rows is None:
             return None
         cols = [c for c in rows.columns if c not in self.keys]
-        return latest_per_key(rows, self.keys, ["batch_id", *self.order], cols)
+        return latest_per_key(rows, self.keys, [*self.order, "batch_id"], cols)
 
 
 class AdditiveTable(_ChangeLog):
@@ -143,8 +87,9 @@ class AdditiveTable(_ChangeLog):
     latest by ``order`` (R2)."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 sums: Sequence[str], attrs: Sequence[str] = (), order: Sequence[str] = ()):
-        super().__init__(spark, path, keys)
+                 sums: Sequence[str], attrs: Sequence[str] = (), order: Sequence[str] = (),
+                 commits: str | None = None):
+        super().__init__(spark, path, keys, commits)
         self.sums = list(sums)
         self.attrs = list(attrs)
         self.order = list(order)
@@ -158,7 +103,7 @@ class AdditiveTable(_ChangeLog):
         if sums_only:
             return rows.groupBy(*self.keys).agg(*aggs)
         if self.attrs:
-            ordkey = F.struct(*[F.col(o) for o in ["batch_id", *self.order]])
+            ordkey = F.struct(*[F.col(o) for o in [*self.order, "batch_id"]])
             aggs.append(F.max_by(F.struct(*[F.col(a) for a in self.attrs]), ordkey).alias("_a"))
         out = rows.groupBy(*self.keys).agg(*aggs)
         if self.attrs:

@@ -39,8 +39,8 @@ def test_incremental_mean_folds_to_batch_mean(spark, xs):
 
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=60),
-       rpc=st.integers(1, 20), chunks=st.integers(1, 30))
-def test_running_stats_any_chunking(spark, rows, rpc, chunks):
+       rpc=st.integers(1, 20))
+def test_running_stats_any_chunking(spark, rows, rpc):
     data = [(i, k, float(v)) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "seq long, k long, v double")
     got = {r.seq: (r.run_count, r.run_sum) for r in
@@ -66,8 +66,8 @@ def test_match_any_is_or_monotone(spark, q1, q2):
 
 @settings(max_examples=4, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
-@given(seed=st.integers(0, 10_000), k=st.integers(1, 6), depth=st.integers(1, 8))
-def test_pruned_search_equals_brute_force(spark, seed, k, depth):
+@given(seed=st.integers(0, 10_000), k=st.integers(1, 6))
+def test_pruned_search_equals_brute_force(spark, seed, k):
     import random
     rnd = random.Random(seed)
     vocab = ["the"] * 40 + ["of"] * 20 + [f"w{i}" for i in range(60)]
@@ -76,7 +76,7 @@ def test_pruned_search_equals_brute_force(spark, seed, k, depth):
     qs = [(q, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 15)))) for q in range(12)]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     q = spark.createDataFrame(qs, "qid long, text string")
-    got = sorted(tuple(r) for r in X.search_top_k(q, d, k, depth=max(depth, k)).collect())
+    got = sorted(tuple(r) for r in X.search_top_k(q, d, k).collect())
     exp = sorted(tuple(r) for r in X.search_top_k_brute(q, d, k).collect())
     assert got == exp
 

@@ -28,7 +28,7 @@ def test_stream_equals_batch(spark, tmp, n_slices):
     msgs = _messages(spark)
     P.write_slices(msgs, ["seq"], n_slices, f"{tmp}/in", files_per_slice=1)
     tables = P.RatingTables(spark, f"{tmp}/out")
-    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck"))
+    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), tables, f"{tmp}/ck"))
     parsed, _ = P.split_quarantine(P.parse_messages(msgs))
     exp = {r.item_id: (r.rating_count, r.rating_avg) for r in A.item_stats(parsed).collect()}
     got = {r.item_id: (r.rating_count, r.rating_avg) for r in tables.item_stats().collect()}
@@ -58,9 +58,10 @@ def test_replayed_batch_is_idempotent(spark, tmp):
 
 
 def test_bad_records_are_quarantined(spark, tmp):
-    good = _record(1, 1, 2, 4, title="It's a \"quoted\" café title")
+    title = "It's a \"quoted\" café title"
+    good = _record(1, 1, 2, 4, title=title)
     cases = [good,
-             _record(2, 1, 2, "abc"),                      # non-numeric rating
+             _record(2, 1, 2, "abc", title=title),                      # non-numeric rating
              "this is not json",                           # garbage
              json.dumps({"user": None, "movie": {"movieId": "3"}, "rating": "4"}),
              json.dumps({**json.loads(_record(3, 4, 5, 3)), "extra": 1}),   # extra field is fine
@@ -70,9 +71,12 @@ def test_bad_records_are_quarantined(spark, tmp):
         F.col("v").cast("binary").alias("value"))
     tables = P.RatingTables(spark, f"{tmp}/out")
     P.process_batch(tables, df, 0)
-    assert tables.quarantined().count() == 4
+    assert tables.quarantined().count() == 3
+    assert tables.user_stats().agg(F.sum("activity_count")).first()[0] == 4  # the bad rating is an activity
+    assert tables.review_table().count() == 3  # of user 1 and movie 2 one
+    assert {r.item_id: r.rating_count for r in tables.item_stats().collect()}[2] == 1
     titles = {r.item_id: r.title for r in tables.item_stats().collect()}
-    assert titles == {2: "It's a \"quoted\" café title", 5: "T", 6: None}
+    assert titles == {2: title, 5: "T", 6: None}
 
 
 def test_restart_from_checkpoint_processes_only_new_slices(spark, tmp):
@@ -81,69 +85,55 @@ def test_restart_from_checkpoint_processes_only_new_slices(spark, tmp):
     tables = P.RatingTables(spark, f"{tmp}/out")
     for p in staged[:2]:
         spark.read.parquet(p).write.parquet(f"{tmp}/in/{p.rsplit('/', 1)[1]}")
-    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck"))
+    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), tables, f"{tmp}/ck"))
     for p in staged[2:]:
         spark.read.parquet(p).write.parquet(f"{tmp}/in/{p.rsplit('/', 1)[1]}")
-    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck"))
+    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), tables, f"{tmp}/ck"))
     total = tables.item_stats().agg(F.sum("rating_count")).first()[0]
     assert total == 200
     assert spark.read.parquet(tables.movies.changes_path).select("batch_id").distinct().count() == 4
 
 
-def test_upsert_compaction_and_replay(spark, tmp):
+def test_upsert_and_replay(spark, tmp):
     t = LatestTable(spark, tmp, ["k"], ["seq"])
-    b1 = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "k long, seq long, v string")
-    b2 = spark.createDataFrame([(1, 3, "c")], "k long, seq long, v string")
-    t.write_batch(b1, 1)
-    t.write_batch(b2, 2)
-    t.compact(2)
+    t.write_batch(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "k long, seq long, v string"), 1)
+    t.write_batch(spark.createDataFrame([(1, 3, "c"), (2, 0, "old")], "k long, seq long, v string"), 2)
     t.write_batch(spark.createDataFrame([(2, 4, "d")], "k long, seq long, v string"), 3)
     t.write_batch(spark.createDataFrame([(2, 4, "d")], "k long, seq long, v string"), 3)  # replay
-    got = {r.k: r.v for r in t.current().collect()}
-    assert got == {1: "c", 2: "d"}
-    assert {r.k: r.v for r in t.current(before=2).collect()} == {1: "a", 2: "b"}
+    assert {r.k: r.v for r in t.current().collect()} == {1: "c", 2: "d"}
+    assert {r.k: r.v for r in t.current(before=3).collect()} == {1: "c", 2: "b"}  # event order, not arrival
 
 
-def test_compaction_during_stream_keeps_results(spark, tmp):
-    msgs = _messages(spark, 300)
-    P.write_slices(msgs, ["seq"], 5, f"{tmp}/in", files_per_slice=1)
+def test_late_batch_counts_when_it_comes(spark, tmp):
+    msgs = _messages(spark, 40)
     tables = P.RatingTables(spark, f"{tmp}/out")
-    P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck",
-                                  compact_every=2))
-    parsed, _ = P.split_quarantine(P.parse_messages(msgs))
-    exp = {r.item_id: r.rating_count for r in A.item_stats(parsed).collect()}
-    assert {r.item_id: r.rating_count for r in tables.item_stats().collect()} == exp
-    run = W.running_stats(parsed, ["item_id"], ["seq"], "rating")
-    assert {r.seq: r.rating_count for r in tables.running().collect()} == {r.seq: r.run_count for r in run.collect()}
-    snaps = spark.read.parquet(tables.movies.snapshots_path).select("upto").distinct().count()
-    assert snaps == 2  # after batches 1 and 3
-    # replaying a compacted batch changes nothing
-    P.process_batch(tables, spark.read.parquet(f"{tmp}/in/slice=000002"), 1, compact_every=2)
-    assert {r.item_id: r.rating_count for r in tables.item_stats().collect()} == exp
+    P.process_batch(tables, msgs.filter("seq >= 20").select("value"), 0)
+    P.process_batch(tables, msgs.filter("seq < 20").select("value"), 1)
+    assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 40
+    run = tables.running()
+    assert run.count() == 40
+    last = {r.item_id: r.n for r in run.groupBy("item_id").agg(F.max("rating_count").alias("n")).collect()}
+    assert last == {r.item_id: r.rating_count for r in tables.item_stats().collect()}
 
 
-def test_vacuum_after_compaction(spark, tmp):
-    t = LatestTable(spark, tmp, ["k"], ["seq"])
-    for b in range(1, 5):
-        t.write_batch(spark.createDataFrame([(b % 2, b, f"v{b}")], "k long, seq long, v string"), b)
-    before = sorted(tuple(r) for r in t.current().collect())
-    assert t.vacuum() == []          # nothing compacted yet, nothing removed
-    t.compact(3)
-    assert t.vacuum() == [1, 2, 3]
-    assert sorted(tuple(r) for r in t.current().collect()) == before
-    assert spark.read.parquet(t.changes_path).select("batch_id").distinct().count() == 1
+def test_unfinished_batch_is_not_seen(spark, tmp):
+    msgs = _messages(spark, 40)
+    tables = P.RatingTables(spark, f"{tmp}/out")
+    P.process_batch(tables, msgs.filter("seq < 20").select("value"), 0)
+    parsed, _ = P.split_quarantine(P.parse_messages(msgs.filter("seq >= 20")))
+    tables.movies.write_batch(parsed.groupBy("item_id").agg(
+        F.count("rating").alias("n"), F.sum("rating").alias("s"), F.max("title").alias("title"),
+        F.max("genres").alias("genres"), F.max("ts").alias("ts"), F.max("seq").alias("seq")), 1)  # no marker
+    assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 20
 
 
-def test_out_of_order_batch_fails_instead_of_emitting_wrong_values(spark, tmp):
-    msgs = _messages(spark, 40)
+def test_unreadable_timestamp_has_a_running_row(spark, tmp):
+    bad = json.dumps({**json.loads(_record(1, 2, 9, 1)), "timestamp": "soon"})
+    df = spark.createDataFrame([(_record(0, 1, 9, 5),), (bad,)], "v string").select(
+        F.col("v").cast("binary").alias("value"))
     tables = P.RatingTables(spark, f"{tmp}/out")
-    late = msgs.filter("seq >= 20").select("value")
-    early = msgs.filter("seq < 20").select("value")
-    P.process_batch(tables, late, 0)
-    with pytest.raises(ValueError):
-        P.process_batch(tables, early, 1)
-    P.process_batch(tables, early, 1, emit_running=False)  # state and upserts do not depend on order
-    assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 40
+    P.process_batch(tables, df, 0)
+    assert tables.running().count() == 2 and tables.item_stats().first().rating_count == 2
 
 
 def test_per_pair_latest_option(spark, tmp):
