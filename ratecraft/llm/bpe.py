@@ -18,6 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import WordMemo, as_bytes_batches, ragged
 
@@ -205,7 +206,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     A null list gives a null text, an empty list an empty one; an id outside
     the vocabulary or a null inside a list is an error.
     """
-    schema = df.select("*", F.lit("").alias(out)).schema
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(path).bytes

@@ -76,8 +76,8 @@ def bucket_links(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
         root, front, rest = int(rest[0]), rest[:1], rest[1:]
         while len(front) and len(rest):
             near = np.zeros(len(rest), dtype=bool)
-            for k in range(0, len(front), 256):
-                apart = np.bitwise_count(np.bitwise_xor(front[k:k + 256, None], rest[None, :]))
+            for k in range(0, len(front), 256):  # unsigned: bitwise_count takes the absolute value
+                apart = np.bitwise_count(front.view(np.uint64)[k:k + 256, None] ^ rest.view(np.uint64)[None, :])
                 near |= (apart <= max_bits).any(axis=0)
             front, rest = rest[near], rest[~near]
             out += [(root, int(x)) for x in front]

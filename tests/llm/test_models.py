@@ -1,0 +1,143 @@
+"""Language ID and toxicity: exact parts against brute force, held-out accuracy; the pipeline stage by stage."""
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+import __spark_entry__ as entry
+from ratecraft.llm import langid, packing, queries, toxicity
+from ratecraft.llm.common import held_out, table
+from ratecraft.llm.queries import PIECES
+
+SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_forward_sums_all_segmentations():
+    pieces = ["a", "b", "ab", "ba", "aba", "▁a", "▁"]
+    rng = np.random.default_rng(0)
+    logp = np.log(rng.dirichlet(np.ones(len(pieces) + 1), size=2).T)
+    lattice = langid.Lattice(pieces)
+    words = ["▁aba", "▁abab", "▁bcab", "b"]
+    edges = lattice.edges(words)
+    got = langid.forward(edges, logp)[edges[4]]
+    counts = langid.expected_counts(edges, logp, np.ones((len(words), 2)))
+    place = {p: i for i, p in enumerate(pieces)}
+    used = np.zeros_like(counts)
+    for w, row in zip(words, got):
+        probs = []
+        for cuts in itertools.chain.from_iterable(itertools.combinations(range(1, len(w)), k) for k in range(len(w))):
+            parts = [w[a:b] for a, b in zip((0, *cuts), (*cuts, len(w)))]
+            ids = [place.get(p, len(pieces) if len(p) == 1 else None) for p in parts]
+            if None not in ids:
+                probs.append((ids, np.exp(logp[ids].sum(axis=0))))
+        total = sum(p for _, p in probs)
+        assert np.allclose(row, np.log(total))
+        for ids, p in probs:
+            for i in ids:
+                used[i] += p / total
+    assert np.allclose(counts, used)
+
+
+def test_language_held_out_and_awkward_rows(spark, nasty, empty):
+    docs = table(spark, SF, "documents")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"))), PIECES, docs_per_language=60)
+    found = langid.predict(docs, model).join(docs.select(F.col("doc_id").alias("id"), "lang"), "id")
+    right = found.where(held_out(F.col("id"))).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right >= 0.97
+    rows = {r.id: r for r in langid.predict(nasty, model).collect()}
+    assert len(rows) == nasty.select("doc_id").distinct().count()
+    assert all((rows[i].lang_pred, rows[i].score) == ("und", 0.0) for i in (3, 4, 5))
+    assert all(0 <= r.score <= 1 and r.lang_pred in ("und", "de", "en", "es", "fr") for r in rows.values())
+    assert langid.predict(empty, model).count() == 0
+    none = langid.fit(docs.limit(0), PIECES)
+    assert {r.lang_pred for r in langid.predict(nasty, none).collect()} == {"und"}
+    digits = spark.createDataFrame([(1, "12 ² _ 7"), (2, "漢字")], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in langid.predict(digits, model).orderBy("id").collect()] == [True, False]
+
+
+def test_block_max_search_is_exact():
+    rng = np.random.default_rng(6)
+    rows = [np.sort(rng.choice(80, size=rng.integers(1, 12), replace=False)) for _ in range(1000)]
+    rows += rows[:100]  # ties
+    values = [(lambda v: v / np.linalg.norm(v))(rng.random(len(r)) + 0.1) for r in rows]
+    values[1000:] = values[:100]
+    index = toxicity.BlockMaxIndex(list(range(len(rows))), np.zeros(len(rows)), rows, values, 80)
+    dense = np.zeros((len(rows), 80))
+    for i, (r, v) in enumerate(zip(rows, values)):
+        dense[index.ids.index(i), r] = v
+    for _ in range(100):
+        row = np.sort(rng.choice(80, size=6, replace=False))
+        value = rng.random(6)
+        value /= np.linalg.norm(value)
+        best, near = index.nearest(row, value, 10)
+        true = np.sort(dense[:, row] @ value)[::-1][:10]
+        assert np.allclose(near, true[true > 0]) and np.allclose(dense[best][:, row] @ value, near)
+
+
+def test_toxicity_held_out_and_awkward_rows(spark, nasty, empty):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    toxic = docs.join(labels, "doc_id")
+    found = toxicity.score_documents(docs, labels, ~held_out(F.col("id"))).join(
+        labels.select(F.col("doc_id").alias("id"), "toxic"), "id").where(held_out(F.col("id"))).collect()
+    marked = [r for r in found if r.predicted == 1]
+    assert all(r.toxic == 1 for r in marked) and sum(r.toxic for r in found) <= 2 * len(marked)
+    some = spark.createDataFrame([(1, 0), (2, None), (6, 1), (7, 0), (None, 1), (12, 1), (12, 0)],
+                                 "doc_id long, toxic int")
+    every = toxicity.score_documents(nasty, some, F.lit(True)).collect()
+    assert len(every) == nasty.count() and all(0 <= r.score <= 1 for r in every)
+    assert {r.score for r in toxicity.score_documents(nasty, some.limit(0), F.lit(True)).collect()} == {0.0}
+    assert toxicity.score_documents(empty, some, F.lit(True)).count() == 0
+    assert toxic.count() > 0
+
+
+def test_all_queries_are_registered_and_run(spark):
+    got = entry.queries()
+    for n in range(1, 11):
+        assert any(q.startswith(f"op{n}_") for q in got)
+    assert "pipeline" in got and set(queries.SQL) <= set(got)
+
+
+def test_pipeline_stages_against_their_rules(spark):
+    docs = table(spark, SMALL, "documents")
+    columns = docs.columns
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["language_id", "toxicity", "simhash_dedup", "best_fit_packing"]
+    kept = corpus_pipeline.language(spark, docs, SMALL)
+    assert kept.columns == columns and kept.count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
+    clean = corpus_pipeline.clean(spark, kept, SMALL)
+    scored = toxicity.score_documents(kept, table(spark, SMALL, "labels"), ~held_out(F.col("id")))
+    assert clean.columns == columns
+    assert ({r.doc_id for r in clean.collect()} == {r.id for r in scored.where("predicted = 0").collect()})
+    unique = corpus_pipeline.unique(spark, clean, SMALL)
+    from test_neardup import groups_of, plain_fingerprint
+    fp = {r.doc_id: plain_fingerprint(r.text, 3) for r in clean.collect()}
+    groups = groups_of(fp, lambda a, b: bin(fp[a] ^ fp[b]).count("1") <= 3)
+    assert unique.columns == columns
+    assert {r.doc_id for r in unique.collect()} == {i for i, g in groups.items() if i == g}
+    words = {r.doc_id: len(r.text.split()) for r in unique.collect()}
+    got = {}
+    for r in corpus_pipeline.run(spark, SMALL).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_words
+    assert got == words
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_pipeline_stages_take_awkward_documents(spark, k):
+    rows = [(None, "no id here", "en", None, None), (1, None, None, "s", 0), (2, "", "en", "s", 0),
+            (3, "plain words here", "en", "s", 1), (3, "plain words here", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, table(spark, SMALL, "documents").schema)
+    stage = corpus_pipeline.STAGES[k][1]
+    out = stage(spark, docs, SMALL)
+    assert (out.columns == docs.columns) == (k < 3)
+    assert {3, None} <= {r.doc_id for r in out.collect()}
+    assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_packing_matches_the_operator(spark):
+    docs = table(spark, SMALL, "documents")
+    got = queries.op2_best_fit_packing(spark, SMALL)
+    assert got.select("doc_id").distinct().count() == docs.count() and packing.HOT_SHARE > 1
