@@ -114,11 +114,11 @@ def links(distinct: DataFrame, max_bits: int = 3, bucket_rows: int = 1000) -> Da
     Level 1 joins on two of five blocks.  A bucket of over ``bucket_rows``
     fingerprints is not solved in one task: its fingerprints go on to a level
     whose keys fix more bits, and at the last level at most 4096 distinct
-    fingerprints (12 free bits) can share a key.  Any pair that shares a bucket
+    fingerprints (12 free bits, for 3 differing ones) can share a key.  Any pair that shares a bucket
     goes on together, so no link is lost and no bucket is capped.
     """
-    if not 0 <= max_bits <= 8:
-        raise ValueError("max_bits must lie between 0 and 8")
+    if not 0 <= max_bits <= 4:
+        raise ValueError("max_bits must lie between 0 and 4")
     todo, found = distinct.select("fp"), None
     levels = [max_bits + 2, max_bits + 5, 16]
     for blocks in levels:
