@@ -180,24 +180,45 @@ def id_lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """(id, ids) batches of (id, text) batches."""
+    for batch in batches:
+        for lo, hi in as_bytes_batches(batch.column(1), 2 << 20):
+            texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+            flat, counts = encoder(path).encode(texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), id_lists(flat, counts)],
+                                             names=["id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, ids_col: str, out: str) -> Iterator[pa.RecordBatch]:
+    """The batches with the text of their id lists as one column more."""
+    table = vocabulary(path).bytes
+    for batch in batches:
+        texts = [None if x.values is None else
+                 b"".join(map(table.__getitem__, x.values.to_numpy(zero_copy_only=False).tolist()))
+                 .decode("utf-8", "replace") for x in batch.column(batch.schema.get_field_index(ids_col))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
+                                         names=[*batch.schema.names, out])
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: str | None = None) -> DataFrame:
     """(id, ids): the token ids of every whole text, with no tokens added at either end.
 
     A null text is empty, an empty text has no ids; special strings of the
     vocabulary in a text become their id.  Null and repeated ids pass through,
     an empty table gives no rows, and other columns are not read.  Ids come back
     as int lists; ``path`` must name the vocabulary file on every machine.
+    ``decoded`` names a further column that takes the ids decoded again, in the
+    same task.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(1)):
-                texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                flat, counts = encoder(path).encode(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), id_lists(flat, counts)],
-                                                 names=["id", "ids"])
+        got = _encoded(batches, path)
+        return _decoded(got, path, "ids", decoded) if decoded else got
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>"
+    return rows.mapInArrow(run, schema + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -207,15 +228,4 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     the vocabulary or a null inside a list is an error.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = vocabulary(path).bytes
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            texts = [None if x.values is None else
-                     b"".join(map(table.__getitem__, x.values.to_numpy(zero_copy_only=False).tolist()))
-                     .decode("utf-8", "replace") for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, out])
-
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: _decoded(batches, path, ids_col, out), schema)

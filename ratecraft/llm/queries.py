@@ -54,8 +54,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE)
-    both = bpe.decode(ids, BYTE_BPE)
+    both = bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, decoded="decoded")
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -21,6 +21,7 @@ def test_bpe_equals_the_library_and_round_trips(spark, nasty, empty):
     assert len(both) == nasty.count()
     for r in both:
         assert r.ids == want[r.id] and r.decoded == tok.decode(want[r.id], skip_special_tokens=False)
+    assert bpe.encode(nasty, BYTE_BPE, decoded="decoded").collect() == both
     assert bpe.encode(empty, BYTE_BPE).count() == 0
     broken = spark.createDataFrame([([170, 243],), (None,), ([],)], "ids array<int>")
     got = [r.decoded for r in bpe.decode(broken, BYTE_BPE).collect()]
