@@ -78,11 +78,12 @@ def w5(spark, sf):
     return W.contiguous_kfold(events_view(spark, sf).select("seq"), ["seq"], 5)
 
 
-@query("M1_hash_split_disjoint_complete")
+@query("M1_hash_split_disjoint_complete", f"SELECT seq, CAST(1 AS BIGINT) AS n_sides FROM {E}")
 def m1_hash(spark, sf):
     """Every row lands in exactly one side; sides are stable under
     repartitioning because they depend only on the key."""
     ev = events_view(spark, sf)
     tr, te = hash_split(ev, ["seq"], 0.8, seed=42)
-    return (tr.select("seq", F.lit("train").alias("side"))
+    both = (tr.select("seq", F.lit("train").alias("side"))
             .unionByName(te.select("seq", F.lit("test").alias("side"))))
+    return both.groupBy("seq").agg(F.count("side").alias("n_sides"))
