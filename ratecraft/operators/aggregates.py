@@ -140,10 +140,15 @@ def regression_metrics(df: DataFrame, label: str = "rating",
 
 
 # A7 ----------------------------------------------------------------------------
+def min_activity(df: DataFrame, user: str = "user_id", minimum: int = 20) -> DataFrame:
+    """Every user with the number of ratings and whether it is at least ``minimum``."""
+    counts = df.groupBy(user).agg(F.count(F.lit(1)).alias("n_ratings"))
+    return counts.withColumn("meets_minimum", F.col("n_ratings") >= minimum)
+
+
 def min_activity_violations(df: DataFrame, user: str = "user_id", minimum: int = 20) -> DataFrame:
     """Users with fewer than ``minimum`` ratings, with their count."""
-    return (df.groupBy(user).agg(F.count(F.lit(1)).alias("n_ratings"))
-            .filter(F.col("n_ratings") < minimum))
+    return min_activity(df, user, minimum).filter(~F.col("meets_minimum")).drop("meets_minimum")
 
 
 # A8 ----------------------------------------------------------------------------

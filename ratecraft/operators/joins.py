@@ -59,6 +59,14 @@ def keep_known(ids: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return ids.join(table.select(key), key, "left_semi")
 
 
+# P16 ---------------------------------------------------------------------------
+def keep_listed(df: DataFrame, key: str, values: Sequence) -> DataFrame:
+    """Rows whose ``key`` is among ``values``, a short list the caller holds: a filter that
+    reaches the file scan.  Nulls match nothing, an empty list keeps no row.  A list of ids
+    that lies in a table goes through ``keep_known``."""
+    return df.filter(F.col(key).isin([v for v in values if v is not None]))
+
+
 # J7 ----------------------------------------------------------------------------
 def complement(all_rows: DataFrame, part: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``all_rows`` whose key is not in ``part`` (train = all - test)."""

@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.operators.aggregates import page_totals
-from ratecraft.operators.topk import paginate
+from ratecraft.operators.topk import paginate, top_k
+
+
+def titles(items: DataFrame, limit: int | None = None) -> DataFrame:
+    """(item_id, title) of every item, or of the ``limit`` smallest ids where the caller sets one."""
+    rows = items.select("item_id", "title")
+    return rows if limit is None else top_k(rows, [F.asc_nulls_last("item_id")], limit)
 
 
 def page_response(rows: DataFrame, order: Sequence[str], record: Column, page: int,

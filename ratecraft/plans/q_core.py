@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ratecraft.operators import joins as J
 from ratecraft.operators import topk as TK
 from ratecraft.operators import windows as W
 from ratecraft.plans.catalog import query
+from ratecraft.plans.pages import page_response, titles
+from ratecraft.schemas import create_table_if_absent, drop_table, mapping_to_schema
 from ratecraft.session import work_dir
 from ratecraft.sources import files as FS
 from ratecraft.sources.tables import (EVENTS_SQL, ITEM_GENRES, ITEMS_SQL, RATING_ORDER,
@@ -129,7 +133,47 @@ def s10(spark, sf):
 
 @query("S11_scan_titles", "SELECT p_partkey AS item_id, p_name AS title FROM part")
 def s11(spark, sf):
-    return items_view(spark, sf).select("item_id", "title")
+    return titles(items_view(spark, sf))
+
+
+@query("S11_first_25_titles", "SELECT p_partkey AS item_id, p_name AS title FROM part ORDER BY p_partkey LIMIT 25")
+def s11_limit(spark, sf):
+    """The limit argument of the title scan."""
+    return titles(items_view(spark, sf), limit=25)
+
+
+# The item table as a mapping declares it.
+ITEM_MAPPING = {"mappings": {"properties": {
+    "movieId": {"type": "keyword"}, "title": {"type": "text"}, "brand": {"type": "keyword"},
+    "genres": {"type": "text", "fields": {"keyword": {"type": "keyword"}}}}}}
+
+
+def _filled_table(spark, sf) -> str:
+    """A table made from the mapping, twice, with the rows of the items."""
+    name = f"items_{uuid.uuid4().hex[:12]}"
+    schema = mapping_to_schema(ITEM_MAPPING)
+    where = work_dir(spark, "k4") + "/items"
+    create_table_if_absent(spark, name, schema, where)
+    it = items_view(spark, sf).select(F.col("item_id").cast("string"), "title", "brand", genres_col())
+    it.write.insertInto(name)
+    create_table_if_absent(spark, name, schema, where)  # leaves the rows as they are
+    return name
+
+
+@query("K4_create_table_from_mapping", f"""
+SELECT CAST(item_id AS VARCHAR) AS movieId, title, brand, array_to_string({GENRES_LIST_SQL}, ',') AS genres_text FROM {I}""")
+def k4(spark, sf):
+    got = spark.table(_filled_table(spark, sf))
+    return got.withColumn("genres_text", F.array_join("genres", ",")).drop("genres")
+
+
+@query("K5_drop_table", "SELECT count(*) AS rows_before, true AS gone, true AS gone_again FROM part")
+def k5(spark, sf):
+    name = _filled_table(spark, sf)
+    rows = spark.table(name).count()
+    first, second = drop_table(spark, name), drop_table(spark, name)
+    return spark.range(1).select(F.lit(rows).cast("long").alias("rows_before"), F.lit(first).alias("gone"),
+                                 F.lit(second).alias("gone_again"))
 
 
 # --- projections --------------------------------------------------------------------
@@ -141,9 +185,8 @@ def p1(spark, sf):
 
 
 def _nested_records(spark, sf) -> DataFrame:
-    e = enriched(spark, sf)
-    g = items_view(spark, sf).select("item_id", genres_col().alias("genres"))
-    e = e.join(g, "item_id")
+    items = items_view(spark, sf).withColumn("genres", genres_col())
+    e = J.enrich_ratings(ratings_view(spark, sf), items, users_view(spark, sf), item_cols=("title", "genres"))
     rec = C.nest_record(
         user={"userId": "user_id", "age": "age", "gender": "gender", "occupation": "occupation"},
         movie={"movieId": "item_id", "title": "title", "genres": "genres"},
@@ -183,7 +226,6 @@ SELECT CAST(7 AS BIGINT) AS page, CAST(ceil((SELECT count(*) FROM e) / 10) AS BI
 FROM p WHERE pos >= 60 AND pos < 70""")
 def t2_page_response(spark, sf):
     """Page 7 (10 per page) of the page service: records in total order."""
-    from ratecraft.plans.pages import page_response
     r = ratings_view(spark, sf, with_order=True)
     it = items_view(spark, sf).select("item_id", "title", genres_col().alias("genres"))
     us = users_view(spark, sf).select("user_id", "age", "gender", "occupation")
@@ -265,6 +307,16 @@ def p16(spark, sf):
     return J.keep_known(items_view(spark, sf), ids, "item_id").select("item_id", "title")
 
 
+@query("P16_short_list_of_ids", f"""
+WITH top AS (SELECT item_id FROM {E} GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 10)
+SELECT item_id, title FROM {I} WHERE item_id IN (SELECT item_id FROM top)""")
+def p16_list(spark, sf):
+    """The ten most rated items by a list of ids, pushed to the scan."""
+    counts = events_view(spark, sf).groupBy("item_id").count()
+    ids = [r.item_id for r in TK.top_k(counts, [F.desc("count"), F.asc("item_id")], 10).collect()]
+    return J.keep_listed(items_view(spark, sf), "item_id", ids).select("item_id", "title")
+
+
 @query("P17_P18_display_cards", f"""
 SELECT s.item_id, array_to_string({GENRES_LIST_SQL}, ', ') AS genres_display,
        printf('%.2f', s.rating_avg + CASE WHEN s.rating_avg * 8 = floor(s.rating_avg * 8) THEN 0.001 ELSE 0 END) AS avg_display,
@@ -394,11 +446,7 @@ def a5(spark, sf):
 @query("A7_min_activity_invariant", f"""
 SELECT user_id, count(*) AS n_ratings, count(*) >= 20 AS meets_minimum FROM {R} GROUP BY user_id""")
 def a7(spark, sf):
-    r = ratings_view(spark, sf)
-    counts = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_ratings"))
-    bad = A.min_activity_violations(r, minimum=20).select("user_id", F.lit(False).alias("_bad"))
-    return (counts.join(bad, "user_id", "left")
-            .select("user_id", "n_ratings", F.coalesce("_bad", F.lit(True)).alias("meets_minimum")))
+    return A.min_activity(ratings_view(spark, sf), minimum=20)
 
 
 @query("A8_merge_batch_rollups", f"""
@@ -486,9 +534,13 @@ def u4(spark, sf):
     return C.explode_recommendations(arrs).select("item_id").distinct()
 
 
-@query("T5_sort_by_user_item", f"SELECT user_id, item_id, rating FROM {R}")
+@query("T5_sort_by_user_item", f"""
+SELECT user_id, item_id, rating, row_number() OVER (ORDER BY user_id, item_id, rating) - 1 AS position FROM {R}""")
 def t5(spark, sf):
-    return ratings_view(spark, sf).select("user_id", "item_id", "rating").orderBy("user_id", "item_id", "rating")
+    """The whole table in order, each row with its place in it."""
+    order = ["user_id", "item_id", "rating"]
+    rows = ratings_view(spark, sf).select(*order)
+    return W.row_index(rows, order, name="position").orderBy("position")
 
 
 # --- set operations ----------------------------------------------------------------------------

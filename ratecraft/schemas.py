@@ -8,6 +8,7 @@ so running the set-up twice is harmless.
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -45,32 +46,36 @@ MAPPING_TYPES = {
     "boolean": T.BooleanType(),
 }
 
-# Fields that hold lists although the mapping declares a scalar type.
-ARRAY_FIELDS = {"genres"}
+# Fixed value: the field that holds a list although the mapping declares a scalar type.
+ARRAY_FIELDS = ("genres",)
 
 
-def mapping_to_schema(mapping: dict) -> T.StructType:
-    """Convert a mapping document (or its ``properties``) to a StructType."""
+def mapping_to_schema(mapping: dict, array_fields: Collection[str] = ARRAY_FIELDS) -> T.StructType:
+    """Convert a mapping document (or its ``properties``) to a StructType.
+
+    A mapping does not say whether a field holds one value or a list:
+    ``array_fields`` names those that hold lists.
+    """
     props = mapping.get("mappings", mapping).get("properties", mapping.get("properties"))
     if props is None:
         raise ValueError("mapping has no properties")
     fields = []
     for name, spec in props.items():
         if "properties" in spec:
-            dt: T.DataType = mapping_to_schema(spec)
+            dt: T.DataType = mapping_to_schema(spec, array_fields)
         else:
             kind = spec.get("type", "object")
             if kind not in MAPPING_TYPES:
                 raise ValueError(f"unsupported mapping type {kind!r} for {name}")
             dt = MAPPING_TYPES[kind]
-            if name in ARRAY_FIELDS:
+            if name in array_fields:
                 dt = T.ArrayType(dt)
         fields.append(T.StructField(name, dt, True))
     return T.StructType(fields)
 
 
-def load_mapping(path: str | Path) -> T.StructType:
-    return mapping_to_schema(json.loads(Path(path).read_text()))
+def load_mapping(path: str | Path, array_fields: Collection[str] = ARRAY_FIELDS) -> T.StructType:
+    return mapping_to_schema(json.loads(Path(path).read_text()), array_fields)
 
 
 def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
@@ -90,13 +95,14 @@ def drop_table(spark: SparkSession, name: str) -> bool:
 
 
 def create_tables_from_mappings(spark: SparkSession, folder: str | Path,
-                                location_root: str | None = None) -> dict[str, bool]:
+                                location_root: str | None = None,
+                                array_fields: Collection[str] = ARRAY_FIELDS) -> dict[str, bool]:
     """One table per ``*.json`` mapping in ``folder`` (table name = file stem);
     tables that exist already are left alone."""
     out = {}
     for f in sorted(Path(folder).glob("*.json")):
         loc = f"{location_root.rstrip('/')}/{f.stem}" if location_root else None
-        out[f.stem] = create_table_if_absent(spark, f.stem, load_mapping(f), loc)
+        out[f.stem] = create_table_if_absent(spark, f.stem, load_mapping(f, array_fields), loc)
     return out
 
 

@@ -91,3 +91,23 @@ def test_approx_distinct_close_to_exact(spark):
     exact = A.distinct_counts(df, ["u"]).first()[0]
     approx = A.distinct_counts(df, ["u"], approx_rsd=0.02).first()[0]
     assert exact == 5000 and abs(approx - exact) < 0.1 * exact
+
+
+def test_list_fields_are_an_argument():
+    mapping = {"properties": {"genres": {"type": "keyword"}, "tags": {"type": "keyword"}, "n": {"type": "integer"}}}
+    kinds = {f.name: f.dataType.simpleString() for f in S.mapping_to_schema(mapping, array_fields=["tags", "n"]).fields}
+    assert kinds == {"genres": "string", "tags": "array<string>", "n": "array<bigint>"}
+
+
+def test_short_list_titles_and_minimum_activity(spark):
+    from ratecraft.operators import aggregates as A
+    from ratecraft.operators import joins as J
+    from ratecraft.plans.pages import titles
+    items = spark.createDataFrame([(3, "c"), (1, "a"), (None, "x"), (2, "b")], "item_id long, title string")
+    assert {r.title for r in J.keep_listed(items, "item_id", [1, 3, 9, None]).collect()} == {"a", "c"}
+    assert J.keep_listed(items, "item_id", []).count() == 0
+    assert titles(items).count() == 4
+    assert [r.title for r in titles(items, limit=2).collect()] == ["a", "b"]
+    acts = spark.createDataFrame([(1,), (1,), (2,)], "user_id long")
+    assert {tuple(r) for r in A.min_activity(acts, minimum=2).collect()} == {(1, 2, True), (2, 1, False)}
+    assert [tuple(r) for r in A.min_activity_violations(acts, minimum=2).collect()] == [(2, 1)]
