@@ -1,9 +1,10 @@
 """Registered queries: streams drained from ordered slices of the events.
 
 Each query writes the events (joined to item and user attributes, as the
-page service does) as JSON message payloads in four ordered slices under
-the shared checkpoint folder, streams them with ``availableNow`` and one
-slice per micro-batch, and returns a view of what the stream wrote.
+page service does) as JSON message payloads in ordered slices under the
+shared checkpoint folder, drains the stream with ``availableNow`` after each
+slice (so every slice is one micro-batch and every start but the first
+resumes from the checkpoint), and returns a view of what the stream wrote.
 """
 
 from __future__ import annotations
@@ -19,7 +20,12 @@ from ratecraft.sources.tables import (EVENTS_SQL, ITEMS_SQL, USERS_SQL, events_v
 from ratecraft.streaming import fanout as P
 from ratecraft.streaming import stateful as ST
 
-N_SLICES = 4
+MIN_SLICES, ROWS_PER_SLICE = 4, 5_000_000
+
+
+def _n_slices(rows: int) -> int:
+    """Slices of about ``ROWS_PER_SLICE`` events, four at least."""
+    return max(MIN_SLICES, -(-rows // ROWS_PER_SLICE))
 
 EV_ENR = (f"(SELECT e.seq, e.item_id, e.user_id, e.rating, date_trunc('second', e.ts) AS ts, i.title, "
           f"array_to_string({GENRES_LIST_SQL}, ',') AS genres_text, u.age, u.gender, u.occupation "
@@ -42,20 +48,22 @@ def event_messages(spark, sf):
     return e.select("seq", rec.alias("record"))
 
 
-def _slices(spark, sf, name):
-    base = work_dir(spark, name)
-    msgs = event_messages(spark, sf)
-    payload = msgs.select("seq", F.to_json("record").cast("binary").alias("value"))
-    P.write_slices(payload, ["seq"], N_SLICES, f"{base}/in", files_per_slice=1)
+def _payload(spark, sf):
+    return event_messages(spark, sf).select("seq", F.to_json("record").cast("binary").alias("value"))
+
+
+def _replay(spark, sf, name, start):
+    """Slice by slice: write it, ``start(stream, base)`` a query, drain it.  Returns the base folder."""
+    base, rows = work_dir(spark, name), events_view(spark, sf).count()
+    P.write_slices(_payload(spark, sf), ["seq"], _n_slices(rows), f"{base}/in",
+                   after_each=lambda i: P.drain(start(P.message_stream(spark, f"{base}/in"), base)))
     return base
 
 
 def _run_rating_stream(spark, sf, name):
-    base = _slices(spark, sf, name)
-    tables = P.RatingTables(spark, f"{base}/out")
-    q = P.start_rating_stream(P.message_stream(spark, f"{base}/in", max_files_per_trigger=1), tables, f"{base}/ckpt")
-    P.drain(q)
-    return tables
+    base = _replay(spark, sf, name, lambda stream, base: P.start_rating_stream(
+        stream, P.RatingTables(spark, f"{base}/out"), f"{base}/ckpt"))
+    return P.RatingTables(spark, f"{base}/out")
 
 
 @query("R1_K2_stream_movie_state", f"""
@@ -92,25 +100,19 @@ def r3(spark, sf):
 @query("R4_R7_restart_and_replay_idempotent", f"""
 SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
 def r4(spark, sf):
-    """Stop after two slices, re-run an already committed batch (as a retry
-    after a lost executor would), restart from the checkpoint for the rest:
+    """Stop after every slice, re-run an already committed batch (as a retry
+    after a lost executor would), restart from the checkpoint for the next:
     the movie state equals one clean pass."""
     base = work_dir(spark, "r4")
-    msgs = event_messages(spark, sf).select("seq", F.to_json("record").cast("binary").alias("value"))
-    staged = P.write_slices(msgs, ["seq"], N_SLICES, f"{base}/staged", files_per_slice=1)
     tables = P.RatingTables(spark, f"{base}/out")
-    ckpt = f"{base}/ckpt"
-    inbox = f"{base}/in"
-    # first run: two slices arrive
-    for p in staged[:2]:
-        spark.read.parquet(p).write.mode("overwrite").parquet(f"{inbox}/{p.rsplit('/', 1)[1]}")
-    P.drain(P.start_rating_stream(P.message_stream(spark, inbox, max_files_per_trigger=1), tables, ckpt))
-    # a retried batch: batch 1 processed again from its input
-    P.process_batch(tables, spark.read.parquet(staged[1]), 1)
-    # restart: the rest arrives; the checkpoint skips what was committed
-    for p in staged[2:]:
-        spark.read.parquet(p).write.mode("overwrite").parquet(f"{inbox}/{p.rsplit('/', 1)[1]}")
-    P.drain(P.start_rating_stream(P.message_stream(spark, inbox, max_files_per_trigger=1), tables, ckpt))
+
+    def after(i):
+        P.drain(P.start_rating_stream(P.message_stream(spark, f"{base}/in"), tables, f"{base}/ckpt"))
+        if i == 2:  # a retried batch: batch 1 processed again from its input
+            P.process_batch(tables, spark.read.parquet(f"{base}/in/slice=000002"), 1)
+
+    P.write_slices(_payload(spark, sf), ["seq"], _n_slices(events_view(spark, sf).count()), f"{base}/in",
+                   after_each=after)
     return tables.item_stats().select("item_id", "rating_count", "rating_avg")
 
 
@@ -119,22 +121,21 @@ SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR
 def r2(spark, sf):
     """The same per-movie state kept by Spark's state store (update mode),
     upserted into a keyed table each batch."""
-    base = _slices(spark, sf, "r2")
-    out = ST.start_state_store_counts(P.message_stream(spark, f"{base}/in", max_files_per_trigger=1), f"{base}/out",
-                                      f"{base}/ckpt")
-    P.drain(out.query)
-    return out.table.current().select("item_id", "rating_count", "rating_avg")
+    base = _replay(spark, sf, "r2", lambda stream, base: ST.start_state_store_counts(
+        stream, f"{base}/out", f"{base}/ckpt").query)
+    return ST.counts_table(spark, f"{base}/out").current().select("item_id", "rating_count", "rating_avg")
+
+
+def _to_files(stream, base):
+    return (stream.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
+            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
 
 
 @query("K3_memory_sink_flatten", f"""
 SELECT CAST(item_id AS VARCHAR) AS movieId, title, genres_text, CAST(rating AS VARCHAR) AS rating,
        CAST(user_id AS VARCHAR) AS userId, CAST(age AS VARCHAR) AS age, gender, occupation FROM {EV_ENR}""")
 def k3(spark, sf):
-    base = _slices(spark, sf, "k3")
-    flat = ST.flatten_stream(P.message_stream(spark, f"{base}/in", max_files_per_trigger=1))
-    q = (flat.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    P.drain(q)
+    base = _replay(spark, sf, "k3", lambda stream, base: _to_files(ST.flatten_stream(stream), base))
     got = spark.read.parquet(f"{base}/out")
     return got.select("movieId", "title", F.array_join("genres", ",").alias("genres_text"), "rating",
                       "userId", "age", "gender", "occupation")
@@ -142,13 +143,10 @@ def k3(spark, sf):
 
 @query("S7_S9_R8_replay_all_rows_once", f"SELECT seq, item_id, user_id, rating FROM {EV_ENR}")
 def s9(spark, sf):
-    """Ordered slices replayed through a file stream: every row arrives once."""
-    base = _slices(spark, sf, "s9")
-    parsed = P.parse_messages(P.message_stream(spark, f"{base}/in", max_files_per_trigger=1))
-    q = (parsed.select("seq", "item_id", "user_id", "rating").writeStream.format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
-         .trigger(availableNow=True).start())
-    P.drain(q)
+    """Ordered slices replayed through a file stream that stops after each and resumes: every row
+    arrives once."""
+    base = _replay(spark, sf, "s9", lambda stream, base: _to_files(
+        P.parse_messages(stream).select("seq", "item_id", "user_id", "rating"), base))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -160,10 +158,12 @@ def k1(spark, sf):
     """Batch upsert: each contiguous fold of the events is one upsert batch."""
     from ratecraft.operators.windows import contiguous_kfold
     from ratecraft.streaming.keyed import LatestTable
-    ev = contiguous_kfold(events_view(spark, sf), ["seq"], N_SLICES)
+    events = events_view(spark, sf)
+    n = _n_slices(events.count())
+    ev = contiguous_kfold(events, ["seq"], n)
     t = LatestTable(spark, work_dir(spark, "k1"), ["review_id"], ["seq"])
     rows = ev.select(C.composite_key("user_id", "item_id").alias("review_id"), "rating", "seq", "fold")
-    for b in range(1, N_SLICES + 1):
+    for b in range(1, n + 1):
         t.write_batch(rows.filter(F.col("fold") == b).drop("fold"), b)
     return t.current().select("review_id", "rating", "seq")
 

@@ -21,6 +21,7 @@ and merged with the stored totals, not read-modify-written per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from ratecraft.functions import columns as C
 from ratecraft.operators.windows import contiguous_kfold, running_stats
 from ratecraft.schemas import EVENT_SCHEMA
+from ratecraft.session import work_dir
 from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog
 
 # The published record plus an optional sequence number (an extra field is
@@ -40,22 +42,32 @@ PAYLOAD_SCHEMA = T.StructType([T.StructField("value", T.BinaryType())])
 
 # S9 / R8 -----------------------------------------------------------------------------
 def write_slices(df: DataFrame, order: list[str], n_slices: int, path: str,
-                 files_per_slice: int | None = None) -> list[str]:
+                 files_per_slice: int | None = None,
+                 after_each: Callable[[int], None] | None = None) -> list[str]:
     """Write ``df`` as ``n_slices`` contiguous slices in ``order``, one job
     per slice and in order, so a file stream meets them oldest first.
-    Slice ids come from the distributed row index (no single-task sort)."""
-    sliced = contiguous_kfold(df, order, n_slices, fold_col="_slice").persist()
+
+    Slice ids come from the distributed row index (no single-task sort) and are
+    laid down once, partitioned by slice.  A slice has as many files as its size
+    calls for, unless ``files_per_slice`` sets fewer.  ``after_each(i)`` runs when
+    slice i (from 1) is in place: a replay drains its stream there, so that every
+    slice is a batch of its own whatever its files.
+    """
+    spark = df.sparkSession
+    sliced = contiguous_kfold(df, order, n_slices, fold_col="_slice")
+    staged = work_dir(spark, "slices") + "/rows"
+    sliced.write.partitionBy("_slice").parquet(staged)
+    rows = spark.read.schema(sliced.schema).parquet(staged)
     paths = []
-    try:
-        for i in range(1, n_slices + 1):
-            part = sliced.filter(F.col("_slice") == i).drop("_slice")
-            if files_per_slice:
-                part = part.coalesce(files_per_slice)
-            p = f"{path.rstrip('/')}/slice={i:06d}"
-            part.write.mode("overwrite").parquet(p)
-            paths.append(p)
-    finally:
-        sliced.unpersist()
+    for i in range(1, n_slices + 1):
+        part = rows.filter(F.col("_slice") == i).drop("_slice")
+        if files_per_slice:
+            part = part.coalesce(files_per_slice)
+        p = f"{path.rstrip('/')}/slice={i:06d}"
+        part.write.mode("overwrite").parquet(p)
+        paths.append(p)
+        if after_each:
+            after_each(i)
     return paths
 
 
@@ -83,18 +95,22 @@ def message_stream(spark: SparkSession, path: str | None = None, *, fmt: str = "
 
 
 # R1 / P3-P6 --------------------------------------------------------------------------
-def parse_messages(df: DataFrame) -> DataFrame:
-    """value bytes -> typed, flat event rows (+ the raw text for quarantine)."""
+def parse_messages(df: DataFrame, id_type: str = "long") -> DataFrame:
+    """value bytes -> typed, flat event rows (+ the raw text for quarantine).
+
+    Ids become ``id_type``: "long", where other ids go to quarantine, or
+    "string", where they stay as they are.
+    """
     txt = df.select(C.payload_text("value").alias("raw"))
     p = txt.select("raw", C.parse_json("raw", MESSAGE_SCHEMA).alias("d"))
     return p.select(
         "raw",
-        F.col("d.movie.movieId").try_cast("long").alias("item_id"),
+        F.col("d.movie.movieId").try_cast(id_type).alias("item_id"),
         F.col("d.movie.title").alias("title"),
         F.col("d.movie.genres").alias("genres"),
         F.col("d.rating").try_cast("double").alias("rating"),
         C.epoch_to_timestamp(F.col("d.timestamp"), "seconds").cast("timestamp_ntz").alias("ts"),
-        F.col("d.user.userId").try_cast("long").alias("user_id"),
+        F.col("d.user.userId").try_cast(id_type).alias("user_id"),
         F.col("d.user.age").try_cast("int").alias("age"),
         F.col("d.user.gender").alias("gender"),
         F.col("d.user.occupation").alias("occupation"),
@@ -110,9 +126,10 @@ def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class RatingTables:
-    """The outputs of the rating stream, under one root folder."""
+    """The outputs of the rating stream, under one root folder; ids are ``id_type``."""
     spark: SparkSession
     root: str
+    id_type: str = "long"
 
     @property
     def movies(self) -> AdditiveTable:
@@ -152,7 +169,7 @@ class RatingTables:
         """Q7 option: count and mean over the current reviews, so a re-review
         replaces the user's earlier rating instead of adding to it."""
         r = self.reviews.current()
-        return r.groupBy(F.col("movie.movieId").cast("long").alias("item_id")).agg(
+        return r.groupBy(F.col("movie.movieId").cast(self.id_type).alias("item_id")).agg(
             F.count("rating").alias("rating_count"), F.avg("rating").alias("rating_avg"))
 
     def running(self) -> DataFrame:
@@ -166,7 +183,7 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
                   emit_running: bool = True) -> None:
     """The body of ``foreachBatch``: every write replaces this batch's partition,
     the commit marker is written last."""
-    parsed = parse_messages(batch).persist()
+    parsed = parse_messages(batch, tables.id_type).persist()
     try:
         good, bad = split_quarantine(parsed)
         tables._log("quarantine").write_batch(bad, batch_id)

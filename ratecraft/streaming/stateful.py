@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.schemas import EVENT_SCHEMA
@@ -27,12 +27,17 @@ class StateStoreRun:
     table: LatestTable
 
 
+def counts_table(spark: SparkSession, path: str, key: str = "item_id") -> LatestTable:
+    """The table that ``start_state_store_counts`` upserts into."""
+    return LatestTable(spark, path, [key], [])
+
+
 def start_state_store_counts(stream: DataFrame, out_path: str, checkpoint: str,
                              key: str = "item_id", available_now: bool = True) -> StateStoreRun:
     good, _ = split_quarantine(parse_messages(stream))
     agg = good.groupBy(key).agg(F.count("rating").alias("rating_count"),
                                 F.sum("rating").alias("rating_sum"))
-    table = LatestTable(stream.sparkSession, out_path, [key], [])
+    table = counts_table(stream.sparkSession, out_path, key)
 
     def upsert(df: DataFrame, batch_id: int) -> None:
         table.write_batch(df.withColumn("rating_avg", F.col("rating_sum") / F.col("rating_count")),

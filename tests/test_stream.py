@@ -148,3 +148,57 @@ def test_per_pair_latest_option(spark, tmp):
     parsed, _ = P.split_quarantine(P.parse_messages(msgs))
     b = A.item_stats(parsed, order=["seq"], per_pair_latest=True).first()
     assert (b.rating_count, b.rating_avg) == (2, 2.0)
+
+
+def test_string_ids(spark, tmp):
+    rows = [(0, _record(0, "u-1", "m-9", 5)), (1, _record(1, "u-2", "m-9", 1)), (2, _record(2, "u-1", "007", 3))]
+    msgs = spark.createDataFrame(rows, "seq long, json string").select(F.col("json").cast("binary").alias("value"))
+    tables = P.RatingTables(spark, f"{tmp}/out", id_type="string")
+    P.process_batch(tables, msgs, 0)
+    assert tables.quarantined().count() == 0
+    assert {r.item_id: (r.rating_count, r.rating_avg) for r in tables.item_stats().collect()} == {
+        "m-9": (2, 3.0), "007": (1, 3.0)}
+    assert {r.user_id: r.activity_count for r in tables.user_stats().collect()} == {"u-1": 2, "u-2": 1}
+    assert {r.item_id for r in tables.item_stats_latest_reviews().collect()} == {"m-9", "007"}
+    as_numbers = P.RatingTables(spark, f"{tmp}/numbers")
+    P.process_batch(as_numbers, msgs, 0)
+    assert as_numbers.quarantined().count() == 3
+
+
+def test_replay_slice_by_slice_with_several_files(spark, tmp):
+    msgs = _messages(spark, 300)
+    tables = P.RatingTables(spark, f"{tmp}/out")
+    P.write_slices(msgs, ["seq"], 3, f"{tmp}/in", after_each=lambda i: P.drain(
+        P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck")))
+    assert spark.read.parquet(tables.movies.changes_path).select("batch_id").distinct().count() == 3
+    parsed, _ = P.split_quarantine(P.parse_messages(msgs))
+    want = {r.seq: r.run_count for r in W.running_stats(parsed, ["item_id"], ["seq"], "rating").collect()}
+    assert {r.seq: r.rating_count for r in tables.running().collect()} == want
+
+
+def test_kafka_gets_the_callers_options_only():
+    class Reader:
+        def __init__(self):
+            self.seen = {}
+
+        def format(self, name):
+            self.seen["format"] = name
+            return self
+
+        def options(self, **kw):
+            self.seen["options"] = kw
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, c):
+            self.seen["select"] = c
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    given = {"kafka.bootstrap.servers": "host:1", "subscribe": "topic"}
+    assert P.message_stream(Session, fmt="kafka", options=given).seen == {
+        "format": "kafka", "options": given, "select": "value"}
