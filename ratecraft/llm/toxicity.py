@@ -1,8 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The index holds a bounded sample of labelled documents.  Its postings lie in
-blocks of examples; the largest weight of every term in every block bounds the
-block's scores, so blocks that cannot hold one of the k nearest are never read.
+The index holds every word of a bounded sample of labelled documents.  The most
+common words lie in blocks of examples; the largest weight of each in a block
+bounds the block's scores, so blocks that cannot hold one of the k nearest are
+never read for them.
 """
 
 from __future__ import annotations
@@ -14,65 +15,94 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import as_bytes_batches, hash_unit, ragged, saved
 from .langid import words_of
 
 BLOCK = 64
 LONG_WORD = 8  # letters
-FIRST_BLOCKS = 4
-SLACK = 1e-9  # rounding of sums; bounds are raised by it
+COMMON = 512  # terms held as a dense matrix
+BATCH = 64  # queries
+SLACK = 1e-6  # rounding of sums; bounds are raised by it
+ROUGH = 1e-4  # far above the rounding of a sum in single precision
 
 
 class BlockMaxIndex:
-    """Unit TF-IDF vectors of labelled examples, searched for the exact k nearest."""
+    """Unit TF-IDF vectors of labelled examples, searched for the exact k nearest.
+
+    Posting lists hold the rarer terms and are summed in full.  The ``COMMON``
+    most used terms, whose lists would be long, lie as a dense matrix in blocks
+    of examples: a block is multiplied only for the queries whose sum of the
+    rarer terms and block bound can still reach their k nearest.  Weights are
+    kept in single precision and summed in double.
+    """
 
     def __init__(self, ids: list, toxic: np.ndarray, rows: list[np.ndarray], values: list[np.ndarray], terms: int):
         # similar examples share a block, so that its bounds are tight: order by heaviest terms
         top = [tuple(r[np.argsort(-v, kind="stable")[:3]].tolist()) for r, v in zip(rows, values)]
         at = sorted(range(len(rows)), key=lambda i: (top[i], ids[i]))
-        self.ids, self.toxic, self.terms = [ids[i] for i in at], toxic[at], terms
+        self.ids, self.toxic = [ids[i] for i in at], toxic[at]
         rows, values = [rows[i] for i in at], [values[i] for i in at]
         self.n = len(rows)
-        self.blocks = max(1, -(-self.n // BLOCK))
-        term = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        example = np.repeat(np.arange(self.n), [len(r) for r in rows])
-        weight = np.concatenate(values) if values else np.zeros(0)
-        order = np.lexsort((example, term))
-        term, self.example, self.weight = term[order], example[order], weight[order]
-        cell = term * self.blocks + self.example // BLOCK
-        self.cell = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.bound = np.zeros((terms, self.blocks))
-        np.maximum.at(self.bound, (term, self.example // BLOCK), self.weight)
-
-    def _score(self, scores: np.ndarray, row: np.ndarray, value: np.ndarray, blocks: np.ndarray) -> None:
-        cell = (row[:, None] * self.blocks + blocks[None, :]).ravel()
-        size = self.cell[cell + 1] - self.cell[cell]
-        at = ragged(self.cell[cell], size)
-        product = self.weight[at] * np.repeat(np.repeat(value, len(blocks)), size)
-        scores += np.bincount(self.example[at], weights=product, minlength=self.n)
+        term = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        example = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
+        weight = (np.concatenate(values) if values else np.zeros(0)).astype(np.float32)
+        uses = np.bincount(term, minlength=terms)
+        common = np.argsort(-uses, kind="stable")[:COMMON]
+        common = common[uses[common] > 0]
+        self.place = np.full(terms, -1, dtype=np.int32)  # column of a common term
+        self.place[common] = np.arange(len(common))
+        column = self.place[term]
+        self.dense = np.zeros((self.n, len(common)), dtype=np.float32)
+        self.dense[example[column >= 0], column[column >= 0]] = weight[column >= 0]
+        self.edges = np.arange(0, self.n, BLOCK)
+        self.bound = (np.maximum.reduceat(self.dense, self.edges, axis=0) if self.n else self.dense).T.astype(float)
+        term, example, weight = term[column < 0], example[column < 0], weight[column < 0]
+        order = np.argsort(term, kind="stable")  # examples ascend already
+        self.example, self.weight = example[order], weight[order]
+        self.start = np.searchsorted(term[order], np.arange(terms + 1))
+
+    def _rarer(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
+        size = self.start[row + 1] - self.start[row]
+        at = ragged(self.start[row], size)
+        return np.bincount(self.example[at], weights=self.weight[at] * np.repeat(value, size), minlength=self.n)
+
+    def nearest_of(self, rows: list[np.ndarray], values: list[np.ndarray], k: int,
+                   without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of every query; common terms are multiplied for ``BATCH`` queries at a time."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(rows)
+        out, last = [], max(self.n - k, 0)  # place of the kth largest in a partition
+        for lo in range(0, len(rows), BATCH):
+            some = range(lo, min(lo + BATCH, len(rows)))
+            query, sums = np.zeros((len(some), self.dense.shape[1])), np.zeros((len(some), self.n))
+            for j, i in enumerate(some):
+                column = self.place[rows[i]]
+                query[j, column[column >= 0]] = values[i][column >= 0]
+                sums[j] = self._rarer(rows[i][column < 0], values[i][column < 0])
+                if without is not None and without[i] >= 0:
+                    sums[j, without[i]] = -np.inf
+            need = np.partition(sums, last, axis=1)[:, last]  # weights are positive: scores are no smaller
+            reach = np.maximum.reduceat(sums, self.edges, axis=1) + query @ self.bound + SLACK >= need[:, None]
+            rough, single = np.full(sums.shape, -np.inf, dtype=np.float32), query.astype(np.float32)
+            for b, at in enumerate(self.edges.tolist()):
+                asked = slice(None) if reach[:, b].all() else np.flatnonzero(reach[:, b])
+                rough[asked, at:at + BLOCK] = sums[asked, at:at + BLOCK] + single[asked] @ self.dense[at:at + BLOCK].T
+            need = np.partition(rough, last, axis=1)[:, last] - ROUGH
+            for j in range(len(some)):
+                hit = np.flatnonzero((rough[j] >= need[j]) & (rough[j] > 0))
+                score = sums[j, hit] + self.dense[hit].astype(float) @ query[j]
+                best = np.lexsort((hit, -np.round(score, 12)))[:k]
+                out.append((hit[best], score[best]))
+        return out
 
     def nearest(self, row: np.ndarray, value: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine; ties go to the earlier example."""
-        bound = value @ self.bound[row] + SLACK if len(row) else np.zeros(self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > SLACK]
-        scores = np.zeros(self.n)
-        self._score(scores, row, value, order[:FIRST_BLOCKS])
-        if 0 <= without < self.n:
-            scores[without] = 0
-        need = np.partition(scores, self.n - k - 1)[self.n - k - 1] if self.n > k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[bound[rest] >= need]  # only these can reach the k nearest so far
-        if len(rest):
-            self._score(scores, row, value, rest)
-            if 0 <= without < self.n:
-                scores[without] = 0
-        hit = np.flatnonzero(scores > 0)
-        best = hit[np.lexsort((hit, -scores[hit]))[:k]]
-        return best, scores[best]
+        return self.nearest_of([row], [value], k, [without])[0]
 
 
 def vote(near: np.ndarray, toxic: np.ndarray, base: float, k: int) -> float:
@@ -81,17 +111,19 @@ def vote(near: np.ndarray, toxic: np.ndarray, base: float, k: int) -> float:
     return float((weight @ toxic + 0.02 * k * base) / (weight.sum() + 0.02 * k))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """Slope and intercept of a logistic fit, held to (1, 0); a falling fit becomes flat."""
-    a, b = 1.0, 0.0
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, float]:
+    """Slopes and intercept of a logistic fit on the columns of ``x``, the slopes held to an equal
+    share of 1 and the intercept to 0; a falling slope becomes flat."""
+    x = np.column_stack([x, np.ones(len(x))])
+    to = np.append(np.full(x.shape[1] - 1, 1 / (x.shape[1] - 1)), 0.0)
+    pull = np.append(np.ones(len(to) - 1), 0.1)
+    fit = np.append(to[:-1], 0.0)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - y) * x).sum() + (a - 1), (p - y).sum() + 0.1 * b])
-        h = np.array([[(w * x * x).sum() + 1, (w * x).sum()], [(w * x).sum(), w.sum() + 0.1]])
-        step = np.clip(np.linalg.solve(h, g), -0.5, 0.5)
-        a, b = a - step[0], b - step[1]
-    return max(float(a), 0.0), float(b)
+        p = 1 / (1 + np.exp(-np.clip(x @ fit, -30, 30)))
+        g = x.T @ (p - y) + pull * (fit - to)
+        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(pull)
+        fit = fit - np.clip(np.linalg.solve(h, g), -0.5, 0.5)
+    return np.maximum(fit[:-1], 0.0), float(fit[-1])
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -100,44 +132,82 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Terms with their idf, the index of examples, and the calibration of its votes."""
+    """Terms with their idf, the indexes of examples, and the calibration of their votes.
 
-    def __init__(self, terms: list[str], idf: np.ndarray, k: int):
-        self.terms, self.idf, self.k = terms, idf, k
-        self.index, self.base, self.slope, self.intercept, self.empty = None, 0.0, 0.0, -30.0, 0.0
+    One index holds all words of the examples; its neighbours and cosines are
+    the evidence.  The second holds the telling words alone, so that they are
+    heard in long texts too.  The score is calibrated on the votes of both.
+    """
+
+    def __init__(self, idf: np.ndarray, telling: np.ndarray, k: int):
+        self.idf, self.telling, self.k = idf, telling, k  # telling: True for the terms of the second index
+        self.index, self.marks, self.base, self.slopes, self.intercept = None, None, 0.0, np.zeros(2), -30.0
+        self.empty = self.unmarked = 0.0
 
     def vector(self, row: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        value = (1 + np.log(tf)) * self.idf[row]
+        value = (1 + np.log(tf, dtype=float)) * self.idf[row]
         norm = np.sqrt(value @ value)
         return value / norm if norm > 0 else value
 
+    def _marked(self, row: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.telling[row]
+        return row[at], self.vector(row[at], tf[at])
+
+    def _logits(self, index: BlockMaxIndex, near: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        return _logit(np.array([vote(c, index.toxic[best], self.base, self.k) for best, c in near]))
+
+    def _asked(self, rows: list[np.ndarray], tfs: list[np.ndarray], ids: list | None = None) -> tuple[list, np.ndarray]:
+        """(neighbours over all words, logits of both votes) of texts with words; ``ids`` are left out of their own vote."""
+        def own(index: BlockMaxIndex, some: list) -> list[int]:
+            place = {d: i for i, d in enumerate(index.ids)}
+            return [place[d] for d in some]
+
+        near = self.index.nearest_of(rows, [self.vector(r, t) for r, t in zip(rows, tfs)], self.k,
+                                     own(self.index, ids) if ids is not None else None)
+        marked = [self._marked(r, t) for r, t in zip(rows, tfs)]
+        some = [i for i, (r, _) in enumerate(marked) if len(r)]
+        told = self.marks.nearest_of([marked[i][0] for i in some], [marked[i][1] for i in some], self.k,
+                                     own(self.marks, [ids[i] for i in some]) if ids is not None else None)
+        votes = np.full((len(rows), 2), _logit(np.array([self.unmarked]))[0])
+        votes[:, 0] = self._logits(self.index, near)
+        votes[some, 1] = self._logits(self.marks, told)
+        return near, votes
+
     def learn(self, ids: list, toxic: np.ndarray, rows: list[np.ndarray], tfs: list[np.ndarray]) -> None:
         """Index the examples and calibrate on votes that leave each example itself out."""
         self.base = float((toxic.sum() + 0.5) / (len(toxic) + 1))
+
+        def rate(some: np.ndarray) -> float:
+            return float((toxic[some].sum() + self.base) / (some.sum() + 1))
+
         bare = np.array([len(r) == 0 for r in rows], dtype=bool)
-        # documents without a term have no neighbours: their score is the rate among such examples
-        self.empty = float((toxic[bare].sum() + self.base) / (bare.sum() + 1))
-        full = np.flatnonzero(~bare)
+        plain = np.array([not self.telling[r].any() for r in rows], dtype=bool)
+        # texts without a word have no neighbours: their score is the rate among such examples
+        self.empty, self.unmarked = rate(bare), rate(plain & ~bare)
+        full, told = np.flatnonzero(~bare), np.flatnonzero(~plain)
         self.index = BlockMaxIndex([ids[i] for i in full], toxic[full], [rows[i] for i in full],
-                                   [self.vector(rows[i], tfs[i]) for i in full], len(self.terms))
-        index, place = self.index, {d: i for i, d in enumerate(self.index.ids)}
-        votes = []
-        for i in full:
-            best, near = index.nearest(rows[i], self.vector(rows[i], tfs[i]), self.k, place[ids[i]])
-            votes.append(vote(near, index.toxic[best], self.base, self.k))
+                                   [self.vector(rows[i], tfs[i]).astype(np.float32) for i in full], len(self.idf))
+        marked = [self._marked(rows[i], tfs[i]) for i in told]
+        self.marks = BlockMaxIndex([ids[i] for i in told], toxic[told], [r for r, _ in marked],
+                                   [v for _, v in marked], len(self.idf))
         if len(full) and 0 < toxic[full].sum() < len(full):
-            self.slope, self.intercept = logistic(_logit(np.array(votes)), toxic[full].astype(float))
+            votes = [self._asked([rows[i] for i in some], [tfs[i] for i in some], [ids[i] for i in some])[1]
+                     for some in np.array_split(full, -(-len(full) // 1024))]
+            self.slopes, self.intercept = logistic(np.concatenate(votes), toxic[full].astype(float))
         else:
-            rate = (toxic[full].sum() + self.base) / (len(full) + 1)  # one label only: nothing to calibrate on
-            self.slope, self.intercept = 0.0, float(_logit(np.array([rate]))[0])
+            # one label only: nothing to calibrate on
+            self.slopes, self.intercept = np.zeros(2), float(_logit(np.array([rate(~bare)]))[0])
 
-    def score(self, row: np.ndarray, tf: np.ndarray) -> tuple[float, list, list, list]:
-        if self.index is None or not len(row):
-            return self.empty, [], [], []
-        best, near = self.index.nearest(row, self.vector(row, tf), self.k)
-        x = self.slope * _logit(np.array([vote(near, self.index.toxic[best], self.base, self.k)]))[0] + self.intercept
-        return (float(1 / (1 + np.exp(-np.clip(x, -30, 30)))), [self.index.ids[i] for i in best], near.tolist(),
-                self.index.toxic[best].tolist())
+    def score(self, rows: list[np.ndarray], tfs: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[list, list, list]]]:
+        """Scores and (ids, cosines, labels) of the neighbours of many texts."""
+        scores, evidence = np.full(len(rows), self.empty), [([], [], [])] * len(rows)
+        some = [i for i, r in enumerate(rows) if len(r)] if self.index is not None else []
+        if some:
+            near, votes = self._asked([rows[i] for i in some], [tfs[i] for i in some])
+            scores[some] = 1 / (1 + np.exp(-np.clip(votes @ self.slopes + self.intercept, -30, 30)))
+            for i, (best, cosine) in zip(some, near):
+                evidence[i] = ([self.index.ids[b] for b in best], cosine.tolist(), self.index.toxic[best].tolist())
+        return scores, evidence
 
 
 def _signature(words: set[str]) -> int:
@@ -164,14 +234,12 @@ def _distinct_words(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "word string, group long, toxic int")
 
 
-def telling_terms(examples: DataFrame, max_terms: int, min_chi2: float, max_share: float) -> list[str]:
-    """The vocabulary: words whose presence depends most on the label, too common ones left out.
+def telling_terms(found: DataFrame, max_terms: int, min_chi2: float, max_share: float) -> list[str]:
+    """Words whose presence depends most on the label, too common ones left out, of (word, group, toxic).
 
     Chi-squared with continuity correction.  Documents of one group of copies
     count once per word, else every word of a copied document would tell.
     """
-    found = saved(_distinct_words(examples.select("text", "toxic")).groupBy("word", "group")
-                  .agg(F.max("toxic").alias("toxic")), "words")
     n, t = (found.groupBy("group").agg(F.max("toxic").alias("toxic"))
             .agg(F.count("*").cast("double"), F.coalesce(F.sum("toxic"), F.lit(0)).cast("double")).first())
     if not 0 < t < n:
@@ -185,82 +253,104 @@ def telling_terms(examples: DataFrame, max_terms: int, min_chi2: float, max_shar
     return [r["word"] for r in top.collect()]
 
 
-def vectorise(df: DataFrame, terms: list[str], keep: list[str]) -> DataFrame:
-    """(*keep, row, tf): the vocabulary terms of every whole text, ascending, and their counts."""
-    place = {w: i for i, w in enumerate(terms)}
-    fields = df.select(*keep).schema
+def _cells(texts: list[str | None], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count), ascending, of the terms in whole texts."""
+    parts = [words_of(t) for t in texts]
+    sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+    term = np.fromiter(map(place.get, chain.from_iterable(parts), repeat(-1)), dtype=np.int64, count=int(sizes.sum()))
+    doc, width = np.repeat(np.arange(len(parts)), sizes)[term >= 0], max(len(place), 1)
+    cell, tf = np.unique(doc * width + term[term >= 0], return_counts=True)
+    return *np.divmod(cell, width), tf
 
+
+def _vectors(texts: list[str | None], place: dict[str, int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Terms, ascending, and their counts, of every whole text."""
+    doc, row, tf = _cells(texts, place)
+    cuts = np.searchsorted(doc, np.arange(1, len(texts)))
+    return np.split(row.astype(np.int32), cuts), np.split(tf.astype(np.float32), cuts)
+
+
+def _document_counts(texts: DataFrame, words: Broadcast) -> pa.Table:
+    """(term, n): in how many rows each word of ``words`` occurs; at most one row a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {w: i for i, w in enumerate(words.value)}
+        n = np.zeros(len(place), dtype=np.int64)
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(0)):
-                parts = [words_of(t) for t in batch.column(0).slice(lo, hi - lo).to_pylist()]
-                sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-                term = np.fromiter(map(place.get, chain.from_iterable(parts), repeat(-1)), dtype=np.int64,
-                                   count=int(sizes.sum()))
-                doc = np.repeat(np.arange(hi - lo), sizes)[term >= 0]
-                cell, tf = np.unique(doc * max(len(terms), 1) + term[term >= 0], return_counts=True)
-                doc, row = np.divmod(cell, max(len(terms), 1))
-                off = pa.array(np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(lo, hi - lo) for c in batch.columns[1:]],
-                     pa.ListArray.from_arrays(off, pa.array(row.astype(np.int32))),
-                     pa.ListArray.from_arrays(off, pa.array(tf.astype(np.int32)))], names=[*keep, "row", "tf"])
+                n += np.bincount(_cells(batch.column(0).slice(lo, hi - lo).to_pylist(), place)[1], minlength=len(n))
+        term = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n[term])], names=["term", "n"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return df.select(F.col("text").cast("string"), *keep).mapInArrow(run, f"{schema}, row array<int>, tf array<int>")
+    return texts.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", max_examples: int = 12_000,
-                    max_terms: int = 4096, min_chi2: float = 15.0, max_share: float = 0.25, k: int = 15) -> DataFrame:
-    """(id, score, predicted, neighbours) for every whole text of ``docs``.
+                    max_terms: int = 4096, min_chi2: float = 15.0, max_share: float = 0.25, k: int = 15,
+                    carry: Column | None = None) -> DataFrame:
+    """(id, score, predicted, neighbours) for every whole text of ``docs``, and ``carried`` if ``carry`` is given.
 
     ``labels`` has (id, label 0 or 1); only labelled documents where ``teaches``
     (a condition on ``id_col``) holds are learned from, and of those about
     ``max_examples``, chosen by a hash of the id: the index, which every task
-    holds, does not grow with the input.  Document frequencies are counted over
-    all documents.  ``score`` is the calibrated, distance-weighted vote of the
-    ``k`` nearest examples, ``neighbours`` the evidence (id, cosine, label).  A
-    null, empty or wordless text, or one without any term, scores the rate of
-    toxic ones among such examples.  Without labels every score is 0.  Rows with
-    a null id are scored; null labels and null label ids teach nothing, a
-    document labelled twice with different values counts as toxic; repeated
-    rows come back as given.  No documents give no rows, other columns are not
-    read.
+    holds, does not grow with the input.  Every word of the examples is a term;
+    words that no example holds are in no vector.  Document frequencies are
+    counted over all documents.  ``neighbours`` is the evidence (id, cosine,
+    label): the ``k`` examples nearest by the cosine over all terms.  ``score``
+    is calibrated on two distance-weighted votes: that of these neighbours, and
+    that of the nearest by the telling terms alone (at most ``max_terms``, see
+    ``telling_terms``).  A null, empty or wordless text, or one without any term,
+    scores the rate of toxic ones among such examples.  Without labels every
+    score is 0.  Rows with a null id are scored; null labels and null label ids
+    teach nothing, a document labelled twice with different values counts as
+    toxic; repeated rows come back as given.  No documents give no rows, other
+    columns are not read, save by ``carry``, a value of each row's own.
     """
-    base = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("id"))
+    base = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
              .where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull() & teaches)
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
     n = known.count()
     known = known.where(hash_unit(F.col("id")) < max_examples / max(n, 1))
     examples = saved(base.join(known, "id").dropDuplicates(["id"]).select("text", "id", "toxic"), "examples")
-    terms = telling_terms(examples, max_terms, min_chi2, max_share)
-    vectors = saved(vectorise(base, terms, ["id"]), "vectors")
-    seen = {r["t"]: r["n"] for r in vectors.select(F.explode("row").alias("t")).groupBy("t")
-            .agg(F.count("*").alias("n")).collect()}  # at most max_terms rows
-    total = vectors.count()
-    idf = np.log((1 + total) / (1 + np.array([seen.get(i, 0) for i in range(len(terms))], dtype=float))) + 1
-    model = Model(terms, idf, k)
-    taught = vectorise(examples, terms, ["id", "toxic"]).orderBy("id").toPandas()  # at most max_examples rows
-    if len(taught):
-        model.learn(taught["id"].tolist(), taught["toxic"].to_numpy(dtype=float),
-                    [np.asarray(r, dtype=np.int64) for r in taught["row"]],
-                    [np.asarray(t, dtype=float) for t in taught["tf"]])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_examples and max_terms
-    kind = vectors.schema["id"].dataType.simpleString()
+    found = saved(_distinct_words(examples.select("text", "toxic")).groupBy("word", "group")
+                  .agg(F.max("toxic").alias("toxic")), "words")
+    telling = telling_terms(found, max_terms, min_chi2, max_share)
+    context = docs.sparkSession.sparkContext
+    # the words of at most about max_examples texts
+    words = context.broadcast(sorted(found.select("word").distinct().toArrow().column(0).to_pylist()))
+    place = {w: i for i, w in enumerate(words.value)}
+    counts, seen = _document_counts(base.select("text"), words), np.zeros(len(place))
+    seen[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
+    told = np.zeros(len(place), dtype=bool)
+    told[[place[w] for w in telling]] = True
+    model = Model(np.log((1 + base.count()) / (1 + seen)) + 1, told, k)
+    taught = examples.orderBy("id").toArrow()  # about max_examples rows
+    ids, toxic = taught.column("id").to_pylist(), taught.column("toxic").to_numpy().astype(float)
+    parts = [_vectors(texts.slice(lo, hi - lo).to_pylist(), place) for texts in taught.column("text").chunks
+             for lo, hi in as_bytes_batches(texts)]
+    del taught  # the driver holds the texts no longer than it must
+    if parts:
+        model.learn(ids, toxic, [r for rows, _ in parts for r in rows], [t for _, tfs in parts for t in tfs])
+    del parts
+    shared = context.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, place = shared.value, {w: i for i, w in enumerate(words.value)}
         for batch in batches:
-            got = [model.score(np.asarray(r, dtype=np.int64), np.asarray(t, dtype=float))
-                   for r, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            score = np.array([g[0] for g in got], dtype=float)
-            near = [[{"id": i, "cosine": c, "toxic": int(y)} for i, c, y in zip(*g[1:])] for g in got]
-            kinds = pa.list_(pa.struct([("id", batch.column(0).type), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(near, kinds)],
-                names=["id", "score", "predicted", "neighbours"])
-
-    return vectors.mapInArrow(run, f"id {kind}, score double, predicted int, "
-                                   f"neighbours array<struct<id:{kind},cosine:double,toxic:int>>")
+            for lo, hi in as_bytes_batches(batch.column(0)):
+                texts, *rest = (c.slice(lo, hi - lo) for c in batch.columns)
+                score, evidence = model.score(*_vectors(texts.to_pylist(), place))
+                near = [[{"id": i, "cosine": c, "toxic": int(y)} for i, c, y in zip(*e)] for e in evidence]
+                kinds = pa.list_(pa.struct([("id", rest[0].type), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+                yield pa.RecordBatch.from_arrays(
+                    [rest[0], pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(near, kinds),
+                     *rest[1:]], names=["id", "score", "predicted", "neighbours", *extra])
+
+    extra = [] if carry is None else ["carried"]
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"),
+                       *([] if carry is None else [carry.alias("carried")]))
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = StructType.fromDDL(f"id {kind}, score double, predicted int, "
+                                f"neighbours array<struct<id:{kind},cosine:double,toxic:int>>")
+    return rows.mapInArrow(run, StructType([*schema.fields, *(rows.schema[c] for c in extra)]))

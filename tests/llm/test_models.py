@@ -78,6 +78,42 @@ def test_block_max_search_is_exact():
         assert np.allclose(near, true[true > 0]) and np.allclose(dense[best][:, row] @ value, near)
 
 
+def test_search_with_rare_and_common_terms_is_exact():
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.zipf(1.3, size=60) % 3000) for _ in range(700)]
+    rows += rows[:50]  # ties
+    values = [(lambda v: v / np.linalg.norm(v))(rng.random(len(r)) + 0.1) for r in rows]
+    values[700:] = values[:50]
+    index = toxicity.BlockMaxIndex(list(range(len(rows))), np.zeros(len(rows)), rows, values, 3000)
+    dense = np.zeros((len(rows), 3000))
+    for i, (r, v) in enumerate(zip(rows, values)):
+        dense[index.ids.index(i), r] = v
+    own = [index.ids.index(i) for i in range(100)]
+    for i, (best, near) in enumerate(index.nearest_of(rows[:100], values[:100], 10, own)):
+        score = dense @ dense[own[i]]
+        score[own[i]] = -1
+        assert np.allclose(near, np.sort(score)[::-1][:10], atol=1e-6) and np.allclose(score[best], near, atol=1e-6)
+
+
+def test_neighbours_are_nearest_by_all_words(spark):
+    plain = ["green apples grow on old trees", "old trees stand by green water", "apples fall into water"]
+    rows = [(i, plain[i % 3]) for i in range(12)] + [(i, f"vile slur {plain[i % 3]}") for i in range(12, 18)]
+    rows += [(20, "rare zebra crossing"), (21, "rare zebra crossing"), (22, "old green zebra water")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 12)) for i in range(21)], "doc_id long, toxic int")
+    got = {r.id: r for r in toxicity.score_documents(docs, labels, F.lit(True), k=4).collect()}
+    words = {i: t.split() for i, t in rows}
+    taught = [i for i, _ in rows if i < 21]
+    vocabulary = sorted({w for i in taught for w in words[i]})
+    idf = {w: np.log((1 + len(rows)) / (1 + sum(w in t for t in words.values()))) + 1 for w in vocabulary}
+    unit = {i: (lambda v: v / np.linalg.norm(v))(np.array([idf[w] * (w in t) for w in vocabulary]))
+            for i, t in words.items()}
+    for i in words:
+        want = sorted((unit[i] @ unit[j] for j in taught), reverse=True)[:4]
+        assert np.allclose([n.cosine for n in got[i].neighbours], [c for c in want if c > 1e-12], atol=1e-6)
+    assert (got[21].neighbours[0].id, round(got[21].neighbours[0].cosine, 6)) == (20, 1.0)
+
+
 def test_toxicity_held_out_and_awkward_rows(spark, nasty, empty):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     toxic = docs.join(labels, "doc_id")
