@@ -149,26 +149,37 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     an empty table gives no rows; other columns of ``df`` are not read.
     """
     fps = saved(fingerprints(df, id_col, text_col, width), "fingerprints")
+    named = _groups(fps, max_bits).select("fp", "component")
+    return fps.join(named, "fp").select("id", "fp", "component")
+
+
+def _groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first, root, component): every fingerprint with its smallest id, its group and the group's smallest id."""
     distinct = fps.groupBy("fp").agg(F.min("id").alias("first"))
     roots = connected_components(links(distinct, max_bits))
     named = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     named = saved(named, "fingerprint-roots")
     lowest = named.groupBy("root").agg(F.min("first").alias("component"))
-    return fps.join(named.join(lowest, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return named.join(lowest, "root").select("fp", "first", "root", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
              max_bits: int = 3) -> DataFrame:
-    """``docs`` without all but the smallest id of every near-duplicate group.
+    """``docs`` without all but one row of every near-duplicate group: that with the smallest id.
 
-    Repeated ids: one row stays.  Rows with a null id stay only if no row of
-    their group has an id, and then one of them.
+    Every group keeps exactly one row, whatever other groups' ids are: of
+    repeated ids in a group one row stays, an id in several groups stays once in
+    each, and a row with a null id stays only if no row of its group has an id.
     """
-    found = near_duplicates(docs, id_col, text_col, width, max_bits)
-    keep = (found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("n"))
-            .select(F.col("id").alias("_keep_id"), F.col("n").alias("_keep_n")))
-    kept = docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep_id")))
-    single = kept.where("_keep_n = 1").select(*[docs[c] for c in docs.columns])
-    several = kept.where("_keep_n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates([id_col])
-    return single.unionAll(several)
+    rows = saved(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                             F.monotonically_increasing_id().alias("at")), "numbered")
+    own = rows.select(F.struct(F.col("row")[id_col].alias("id"), "at").alias("own"), F.col("row")[text_col].alias("text"))
+    fps = saved(fingerprints(own, "own", "text", width).select("id.id", "id.at", "fp"), "fingerprints")
+    groups = _groups(fps, max_bits)
+    # the survivor is the first row with the smallest id, and of its fingerprints the smallest
+    chosen = groups.where(F.col("first").eqNullSafe(F.col("component"))).groupBy("root", "component").agg(
+        F.min("fp").alias("_fp"))
+    firsts = fps.groupBy("fp", "id").agg(F.min("at").alias("at"))
+    keep = firsts.join(chosen, (F.col("fp") == F.col("_fp")) & F.col("id").eqNullSafe(F.col("component"))).select("at")
+    return rows.join(keep, "at").select("row.*")

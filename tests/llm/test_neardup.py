@@ -80,6 +80,18 @@ def test_awkward_documents(spark, nasty, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_one_row_of_every_group_stays(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma"))
+    rows = [(None, one), (None, one), (None, two), (None, three), (4, three), (7, "first text of an id"),
+            (7, "another one of the same id"), (None, "lonely"), (4, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, fp int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    key = lambda x: (x[1], x[0] or 0)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(
+        [(None, one), (None, two), (4, three), *rows[5:]], key=key)
+
+
 def test_components_of_a_long_chain_a_star_and_no_links(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (7, 8), (8, 7)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
