@@ -19,29 +19,28 @@ from ratecraft.llm.queries import PIECES, pack_documents
 MIN_LANGUAGE_SCORE = 0.5
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is among ``rejected`` (id), null ids matching null."""
-    gone = rejected.select(F.col("id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone_id")), "left_anti")
+def _row(docs: DataFrame) -> Column:
+    """The whole row as one value, which a stage carries along with its decision."""
+    return F.struct(*[docs[c] for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language: those without a letter, or whose best language has a posterior
-    under one half, go.  Rows that share a doc_id share its fate; a null doc_id counts as one id."""
+    under one half, go.  Every row is decided by its own text, whatever its doc_id."""
     model = langid.fit(docs.where(~held_out(F.col("doc_id"))), PIECES)
-    found = langid.predict(docs, model)
-    bad = (F.col("lang_pred") == langid.UNDETERMINED) | (F.col("score") < MIN_LANGUAGE_SCORE)
-    return _without(docs, found.where(bad))
+    found = langid.predict(docs.select(_row(docs).alias("row"), "text"), model, id_col="row")
+    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return found.where(good).select("id.*")
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents not predicted toxic by the labels of ``sf_dir``; a shared doc_id shares its fate."""
-    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")))
-    return _without(docs, scored.where("predicted = 1"))
+    """Keep documents not predicted toxic by the labels of ``sf_dir``, every row by its own text."""
+    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")), carry=_row(docs))
+    return scored.where("predicted = 0").select("carried.*")
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of every SimHash group (3-word shingles, 3 bits)."""
+    """Keep one row, of the smallest doc_id, of every SimHash group (3-word shingles, 3 bits)."""
     return simhash.keep_one(docs, width=3, max_bits=3)
 
 

@@ -161,6 +161,21 @@ def test_pipeline_stages_against_their_rules(spark):
     assert got == words
 
 
+def test_rows_are_filtered_by_their_own_text(spark, monkeypatch):
+    rows = [(None, "plain words here", "en", "s", 0), (None, "12 34", "en", "s", 1), (3, "plain words here", "en", "s", 2),
+            (3, "5 6", "en", "s", 3), (None, "more of the plain words", "en", "s", 4)]
+    docs = spark.createDataFrame(rows, table(spark, SMALL, "documents").schema)
+    assert sorted(r.n_chars for r in corpus_pipeline.language(spark, docs, SMALL).collect()) == [0, 2, 4]
+    train = [(i, f"vile slur number {'abcdefgh'[i % 8]}" if i % 2 else f"kind word number {'abcdefgh'[i % 8]}", "en", "s", i)
+             for i in range(10, 90)]
+    docs = spark.createDataFrame([*train, (None, "vile slur number", "en", "s", 1), (None, "kind word number", "en", "s", 2)],
+                                 docs.schema)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10, 90)], "doc_id long, toxic int")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    kept = corpus_pipeline.clean(spark, docs, SMALL)
+    assert kept.columns == docs.columns and [r.n_chars for r in kept.where("doc_id is null").collect()] == [2]
+
+
 @pytest.mark.parametrize("k", range(4))
 def test_pipeline_stages_take_awkward_documents(spark, k):
     rows = [(None, "no id here", "en", None, None), (1, None, None, "s", 0), (2, "", "en", "s", 0),
