@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.session import work_dir
 
-from . import (bpe, chat, embedding_dedup, langid, packing, simhash, threshold_topk, token_counts, token_files,
+from . import (bpe, chat, codes, embedding_dedup, langid, packing, simhash, threshold_topk, token_counts, token_files,
                toxicity)
 from .common import held_out, table
 
@@ -86,15 +86,63 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    hexed = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    by_label = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return (coded.join(by_label, F.col("label").eqNullSafe(F.col("of")))
+            .select(F.col("id").alias("vec_id"), F.array_join(hexed, "").alias("code"), "error", "label_error",
+                    F.lit(codes.digest(books)).alias("codebooks_sha256")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds of op11 as a chain of statements: nearest entries, then new entries."""
+    gap = "list_sum(list_transform(list_zip(p.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    near = """a{r} AS MATERIALIZED (
+  SELECT id, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT p.id, p.part, c.entry, {gap} AS d FROM p JOIN c{r} c USING (part)) GROUP BY ALL)"""
+    new = """c{n} AS MATERIALIZED (
+  WITH s AS (
+    SELECT a.part, a.best.e AS entry, i.pos, sum(p.q[i.pos])::BIGINT AS s, count(*) AS n
+    FROM a{r} a JOIN p USING (id, part), (SELECT unnest(range(1, 1 + (SELECT max(len(q)) FROM p))) AS pos) i
+    GROUP BY ALL),
+  m AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS q FROM s GROUP BY ALL)
+  SELECT part, entry, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN m USING (part, entry))"""
+    steps = []
+    for r in range(rounds):
+        steps += [near.format(r=r, gap=gap), new.format(r=r, n=r + 1)]
+    steps.append(near.format(r=rounds, gap=gap))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT id, part, q[part * (len(q) // 4) + 1:(part + 1) * (len(q) // 4)] AS q
+  FROM v, (SELECT unnest(range(4)) AS part)),
+c0 AS MATERIALIZED (SELECT part, id AS entry, q FROM p WHERE id < 256),
+{("," + chr(10)).join(steps)},
+books AS (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY part, entry)) AS h FROM c{rounds}),
+r AS (
+  SELECT v.vec_id, v.label, string_agg(lpad(lower(to_hex(a.best.e)), 2, '0'), '' ORDER BY a.part) AS code,
+         sum(a.best.d)::BIGINT AS error
+  FROM v JOIN a{rounds} a USING (id) GROUP BY v.id, v.vec_id, v.label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM r, books
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_best_fit_packing, op3_simhash_dedup, op4_toxicity, op5_bpe, op6_token_files,
-    op7_language_id, op8_threshold_topk, op9_token_counts, op10_chat_format, pipeline)}
+    op7_language_id, op8_threshold_topk, op9_token_counts, op10_chat_format, op11_vector_codes, pipeline)}
 
 SQL = {
     "op8_threshold_topk": """
@@ -147,4 +195,5 @@ SELECT k.conv_id, (row_number() OVER (PARTITION BY k.conv_id ORDER BY min(p.pos)
 FROM kept k JOIN p ON p.conv_id = k.conv_id
 GROUP BY k.conv_id, p.chunk, k.n_turns, k.copies
 """,
+    "op11_vector_codes": _codes_sql(),
 }
