@@ -29,7 +29,7 @@ class SliceIndex:
     """Exact nearest entries of one codebook (entries x dimensions, whole numbers)."""
 
     def __init__(self, entries: np.ndarray):
-        self.entries = entries
+        self.entries, self.columns = entries, np.ascontiguousarray(entries.T)
         n, dims = entries.shape
         order = np.argsort(entries, axis=0, kind="stable")
         self.sorted = np.ascontiguousarray(np.take_along_axis(entries, order, axis=0).T)
@@ -43,8 +43,7 @@ class SliceIndex:
 
     def _spacing(self) -> int:
         """A first radius: the usual distance from an entry to the next one."""
-        gaps = [d[d > 0].min(initial=0) for d in (((self.entries - e) ** 2).sum(axis=1) for e in self.entries)]
-        gaps = [g for g in gaps if g > 0]
+        gaps = [d[d > 0].min() for d in (((self.entries - e) ** 2).sum(axis=1) for e in self.entries) if d.any()]
         return int(np.sqrt(np.median(gaps))) + 1 if gaps else 1
 
     def box(self, points: np.ndarray, radius: np.ndarray) -> np.ndarray:
@@ -98,16 +97,19 @@ class SliceIndex:
         bits = np.unpackbits(masks.view(np.uint8).reshape(len(points), -1), axis=1, bitorder="little")
         at, entry = np.nonzero(bits)
         dist = np.zeros(len(at), dtype=np.int64)
-        dims = points.shape[1]
-        for lo in range(0, dims, 4):
-            gap = points[at, lo:lo + 4] - self.entries[entry, lo:lo + 4]
-            dist += np.einsum("ij,ij->i", gap, gap)
-            if lo + 4 < dims:
-                keep = dist <= reach[at] ** 2
-                some = np.zeros(len(points), dtype=bool)
+        points, limit = np.ascontiguousarray(points.T), reach ** 2
+        for d in range(len(points)):
+            gap = points[d].take(at)
+            gap -= self.columns[d].take(entry)
+            gap *= gap
+            dist += gap
+            if d % 4 == 3 and d + 1 < len(points):
+                keep = dist <= limit.take(at)
+                some = np.zeros(len(limit), dtype=bool)
                 some[at[keep]] = True
-                keep |= ~some[at] & np.concatenate([[True], np.diff(at) != 0])
-                at, entry, dist = at[keep], entry[keep], dist[keep]
+                keep |= ~some.take(at) & np.concatenate([[True], np.diff(at) != 0])
+                keep = np.flatnonzero(keep)
+                at, entry, dist = at.take(keep), entry.take(keep), dist.take(keep)
         return at, entry, dist
 
 

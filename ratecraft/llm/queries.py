@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ratecraft.session import work_dir
 
-from . import (bpe, chat, codes, embedding_dedup, langid, packing, simhash, threshold_topk, token_counts, token_files,
-               toxicity)
+from . import (bpe, chat, codes, embedding_dedup, langid, packing, simhash, spelling, threshold_topk, token_counts,
+               token_files, toxicity)
 from .common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,6 +95,22 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(codes.digest(books)).alias("codebooks_sha256")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelled_words(table(spark, sf_dir, "documents")))
+
+
+def spelled_words(docs: DataFrame, least: int = 5, times: int = 3) -> DataFrame:
+    """(word, n): runs of Latin letters, of which one in 97 by a hash of document and run loses a letter."""
+    run = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+                      F.explode(spelling.runs(F.col("text"), least)).alias("run"))
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    words = run.select(F.when(h % 97 == 0, shorter).otherwise(F.col("run")).alias("word"))
+    return (words.where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("n"))
+            .where(F.col("n") >= times))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -142,7 +158,8 @@ FROM r, books
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_best_fit_packing, op3_simhash_dedup, op4_toxicity, op5_bpe, op6_token_files,
-    op7_language_id, op8_threshold_topk, op9_token_counts, op10_chat_format, op11_vector_codes, pipeline)}
+    op7_language_id, op8_threshold_topk, op9_token_counts, op10_chat_format, op11_vector_codes,
+    op12_spelling_variants, pipeline)}
 
 SQL = {
     "op8_threshold_topk": """
@@ -196,4 +213,48 @@ FROM kept k JOIN p ON p.conv_id = k.conv_id
 GROUP BY k.conv_id, p.chunk, k.n_turns, k.copies
 """,
     "op11_vector_codes": _codes_sql(),
+    "op12_spelling_variants": """
+WITH RECURSIVE crc AS (  -- the byte table of CRC-32, from its rule
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1
+                THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256))::BIGINT AS i)),
+found AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-zÀ-ÿ]+')) AS run
+  FROM documents),
+uses AS MATERIALIZED (SELECT id, run, count(*) AS uses FROM found WHERE length(run) >= 5 GROUP BY ALL),
+bytes AS (
+  SELECT id, run, uses, hex(encode(id || ':' || run)) AS x FROM uses),
+hashed AS MATERIALIZED (
+  SELECT id, run, uses, xor(list_reduce(list_concat([4294967295], list_transform(range(0, length(x) // 2),
+           lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h
+  FROM bytes, crc),
+w AS MATERIALIZED (
+  SELECT word, sum(uses)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                ELSE run END AS word, uses FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(uses) >= 3),
+cut AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b USING (i, rest)
+  WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT c.word, w.word FROM cut c JOIN w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cut c JOIN w ON w.word = c.rest),
+best AS (
+  SELECT a AS word, count(*) AS n_near, min(struct_pack(m := -w.n, v := b)) AS top
+  FROM pairs JOIN w ON w.word = b GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.m >= 2 * w.n THEN top.v END AS form,
+         CASE WHEN -top.m >= 2 * w.n THEN -top.m END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at, form FROM forms
+  UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN forms f ON f.word = k.form)
+SELECT f.word, f.form, k.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n::BIGINT AS form_n
+FROM forms f JOIN walk k ON k.word = f.word AND k.form IS NULL
+""",
 }
