@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ratecraft.session import work_dir
 
-from . import (bpe, chat, codes, embedding_dedup, langid, packing, simhash, spelling, threshold_topk, token_counts,
-               token_files, toxicity)
+from . import (bpe, chat, codes, embedding_dedup, langid, mixing, packing, simhash, spelling, threshold_topk,
+               token_counts, token_files, toxicity)
 from .common import held_out, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -111,6 +111,12 @@ def spelled_words(docs: DataFrame, least: int = 5, times: int = 3) -> DataFrame:
             .where(F.col("n") >= times))
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), words, F.col("source"), ["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -159,7 +165,7 @@ FROM r, books
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_best_fit_packing, op3_simhash_dedup, op4_toxicity, op5_bpe, op6_token_files,
     op7_language_id, op8_threshold_topk, op9_token_counts, op10_chat_format, op11_vector_codes,
-    op12_spelling_variants, pipeline)}
+    op12_spelling_variants, op13_source_mix, pipeline)}
 
 SQL = {
     "op8_threshold_topk": """
