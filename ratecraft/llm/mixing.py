@@ -165,7 +165,7 @@ def _decide(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
 
 
 def mix(df: DataFrame, size: Column, source: Column, carry: Sequence[str], weights: Sequence[int] = (3, 1, 2),
-        share: float = 1.5, most: int = 2, block_rows: int = 20_000, seed: int = 42) -> DataFrame:
+        share: float = 1.5, most: int = 2, block_rows: int = 4_000, seed: int = 42) -> DataFrame:
     """One row per row of ``df``: the columns ``carry``, source, size, source_size, target, copies, taken.
 
     ``copies`` says how often the mix takes the row (0 to ``most``) and ``taken``
