@@ -22,7 +22,8 @@ from .token_counts import SPACE_MARK
 
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
-LONGEST_TAUGHT = 48  # longer letter runs are no words: they are scored, but teach nothing
+LONGEST_TAUGHT = 48  # longer letter runs teach in pieces of this length
+PIECE_BYTES = 2 << 20  # text decided at a time
 
 
 def words_of(text: str | None) -> list[str]:
@@ -168,8 +169,9 @@ def fit(df: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(k, w) for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                     for w in words_of(t) if w.isalpha() and len(w) <= LONGEST_TAUGHT]
+            found = [(k, w[i:i + LONGEST_TAUGHT])
+                     for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                     for w in words_of(t) if w.isalpha() for i in range(0, len(w), LONGEST_TAUGHT)]
             lang, word = zip(*found) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string())],
                                              names=["lang", "word"])
@@ -194,6 +196,31 @@ def fit(df: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang"
     return Model(languages, np.log([share[k] / total for k in languages]), pieces, logp)
 
 
+class Decider:
+    """Best language (-1: none) and score of many whole texts; word values are kept in a bounded memo."""
+
+    def __init__(self, model: Model):
+        self.model, self.width = model, len(model.languages) + 1
+        self.memo = WordMemo(model.solver(), limit=200_000, dtype=np.float64) if model.languages else None
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        best, score = np.full(len(texts), -1), np.zeros(len(texts))
+        for lo, hi in as_bytes_batches(texts, PIECE_BYTES):
+            parts = [words_of(t) for t in texts.slice(lo, hi - lo).to_pylist()]
+            words = list(chain.from_iterable(parts))
+            if not words or not self.memo:
+                continue
+            values = self.memo.values(self.memo.index(words))[0].reshape(-1, self.width)
+            sums = segment_sums(values, list(map(len, parts)))
+            n = np.maximum(np.array(list(map(len, parts))), 1)[:, None]
+            logs = (sums[:, :-1] + self.model.prior) / np.sqrt(n)
+            odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+            known = sums[:, -1] > 0.5
+            best[lo:hi] = np.where(known, logs.argmax(axis=1), -1)
+            score[lo:hi] = np.where(known, 1 / odds.sum(axis=1), 0.0)
+        return best, score
+
+
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) for every whole text.
 
@@ -204,28 +231,28 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Null and repeated ids pass through; no rows give no rows; only the id and
     the text are read.
     """
-    width = len(model.languages) + 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordMemo(model.solver(), limit=400_000, dtype=np.float64) if model.languages else None
-        names = np.array([*model.languages, UNDETERMINED], dtype=object)
+        decide, names = Decider(model), np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(1)):
-                parts = [words_of(t) for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                words = list(chain.from_iterable(parts))
-                best, score = np.full(hi - lo, -1), np.zeros(hi - lo)
-                if words and memo:
-                    values = memo.values(memo.index(words))[0].reshape(-1, width)
-                    sums = segment_sums(values, list(map(len, parts)))
-                    n = np.maximum(np.array(list(map(len, parts))), 1)[:, None]
-                    logs = (sums[:, :-1] + model.prior) / np.sqrt(n)
-                    odds = np.exp(logs - logs.max(axis=1, keepdims=True))
-                    known = sums[:, -1] > 0.5
-                    best = np.where(known, logs.argmax(axis=1), -1)
-                    score = np.where(known, 1 / odds.sum(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo),
-                                                  pa.array(names[best].tolist(), pa.string()), pa.array(score)],
-                                                 names=["id", "lang_pred", "score"])
+            best, score = decide(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best].tolist(), pa.string()),
+                                              pa.array(score)], names=["id", "lang_pred", "score"])
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
+
+
+def keep_known(df: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose text has a language with a score of ``least`` or more.
+
+    Decisions are those of ``predict``, each row's by its own text, whatever its id.
+    """
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = Decider(model)
+        for batch in batches:
+            best, score = decide(batch.column(at).cast(pa.string()))
+            yield batch.filter(pa.array((best >= 0) & (score >= least)))
+
+    return df.mapInArrow(run, df.schema)

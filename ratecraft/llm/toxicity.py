@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import as_bytes_batches, hash_unit, ragged, saved
 from .langid import words_of
@@ -27,6 +26,7 @@ BLOCK = 64
 LONG_WORD = 8  # letters
 COMMON = 512  # terms held as a dense matrix
 BATCH = 64  # queries
+PIECE_BYTES = 2 << 20  # text scored at a time
 SLACK = 1e-6  # rounding of sums; bounds are raised by it
 ROUGH = 1e-4  # far above the rounding of a sum in single precision
 
@@ -198,15 +198,22 @@ class Model:
             # one label only: nothing to calibrate on
             self.slopes, self.intercept = np.zeros(2), float(_logit(np.array([rate(~bare)]))[0])
 
-    def score(self, rows: list[np.ndarray], tfs: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[list, list, list]]]:
-        """Scores and (ids, cosines, labels) of the neighbours of many texts."""
-        scores, evidence = np.full(len(rows), self.empty), [([], [], [])] * len(rows)
+    def scores(self, rows: list[np.ndarray], tfs: list[np.ndarray]) -> tuple[np.ndarray, dict]:
+        """Scores of many texts, and text -> (examples, cosines) of its neighbours."""
+        scores, found = np.full(len(rows), self.empty), {}
         some = [i for i, r in enumerate(rows) if len(r)] if self.index is not None else []
         if some:
             near, votes = self._asked([rows[i] for i in some], [tfs[i] for i in some])
             scores[some] = 1 / (1 + np.exp(-np.clip(votes @ self.slopes + self.intercept, -30, 30)))
-            for i, (best, cosine) in zip(some, near):
-                evidence[i] = ([self.index.ids[b] for b in best], cosine.tolist(), self.index.toxic[best].tolist())
+            found = dict(zip(some, near))
+        return scores, found
+
+    def score(self, rows: list[np.ndarray], tfs: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[list, list, list]]]:
+        """Scores and (ids, cosines, labels) of the neighbours of many texts."""
+        scores, found = self.scores(rows, tfs)
+        evidence = [([], [], [])] * len(rows)
+        for i, (best, cosine) in found.items():
+            evidence[i] = ([self.index.ids[b] for b in best], cosine.tolist(), self.index.toxic[best].tolist())
         return scores, evidence
 
 
@@ -284,28 +291,10 @@ def _document_counts(texts: DataFrame, words: Broadcast) -> pa.Table:
     return texts.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id",
-                    text_col: str = "text", label_col: str = "toxic", max_examples: int = 12_000,
-                    max_terms: int = 4096, min_chi2: float = 15.0, max_share: float = 0.25, k: int = 15,
-                    carry: Column | None = None) -> DataFrame:
-    """(id, score, predicted, neighbours) for every whole text of ``docs``, and ``carried`` if ``carry`` is given.
-
-    ``labels`` has (id, label 0 or 1); only labelled documents where ``teaches``
-    (a condition on ``id_col``) holds are learned from, and of those about
-    ``max_examples``, chosen by a hash of the id: the index, which every task
-    holds, does not grow with the input.  Every word of the examples is a term;
-    words that no example holds are in no vector.  Document frequencies are
-    counted over all documents.  ``neighbours`` is the evidence (id, cosine,
-    label): the ``k`` examples nearest by the cosine over all terms.  ``score``
-    is calibrated on two distance-weighted votes: that of these neighbours, and
-    that of the nearest by the telling terms alone (at most ``max_terms``, see
-    ``telling_terms``).  A null, empty or wordless text, or one without any term,
-    scores the rate of toxic ones among such examples.  Without labels every
-    score is 0.  Rows with a null id are scored; null labels and null label ids
-    teach nothing, a document labelled twice with different values counts as
-    toxic; repeated rows come back as given.  No documents give no rows, other
-    columns are not read, save by ``carry``, a value of each row's own.
-    """
+def _learned(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id", text_col: str = "text",
+             label_col: str = "toxic", max_examples: int = 12_000, max_terms: int = 4096, min_chi2: float = 15.0,
+             max_share: float = 0.25, k: int = 15) -> tuple[Broadcast, Broadcast]:
+    """The words of the examples and the model, for every task; see ``score_documents`` for the arguments."""
     base = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
              .where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull() & teaches)
@@ -333,24 +322,66 @@ def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col:
     if parts:
         model.learn(ids, toxic, [r for rows, _ in parts for r in rows], [t for _, tfs in parts for t in tfs])
     del parts
-    shared = context.broadcast(model)
+    return words, context.broadcast(model)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id",
+                    text_col: str = "text", label_col: str = "toxic", max_examples: int = 12_000,
+                    max_terms: int = 4096, min_chi2: float = 15.0, max_share: float = 0.25,
+                    k: int = 15) -> DataFrame:
+    """(id, score, predicted, neighbours) for every whole text of ``docs``.
+
+    ``labels`` has (id, label 0 or 1); only labelled documents where ``teaches``
+    (a condition on ``id_col``) holds are learned from, and of those about
+    ``max_examples``, chosen by a hash of the id: the index, which every task
+    holds, does not grow with the input.  Every word of the examples is a term;
+    words that no example holds are in no vector.  Document frequencies are
+    counted over all documents.  ``neighbours`` is the evidence (id, cosine,
+    label): the ``k`` examples nearest by the cosine over all terms.  ``score``
+    is calibrated on two distance-weighted votes: that of these neighbours, and
+    that of the nearest by the telling terms alone (at most ``max_terms``, see
+    ``telling_terms``).  A null, empty or wordless text, or one without any term,
+    scores the rate of toxic ones among such examples.  Without labels every
+    score is 0.  Rows with a null id are scored; null labels and null label ids
+    teach nothing, a document labelled twice with different values counts as
+    toxic; repeated rows come back as given.  No documents give no rows, other
+    columns are not read.
+    """
+    words, shared = _learned(docs, labels, teaches, id_col, text_col, label_col, max_examples, max_terms, min_chi2,
+                             max_share, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, place = shared.value, {w: i for i, w in enumerate(words.value)}
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(0)):
-                texts, *rest = (c.slice(lo, hi - lo) for c in batch.columns)
+                texts, ids = (c.slice(lo, hi - lo) for c in batch.columns)
                 score, evidence = model.score(*_vectors(texts.to_pylist(), place))
                 near = [[{"id": i, "cosine": c, "toxic": int(y)} for i, c, y in zip(*e)] for e in evidence]
-                kinds = pa.list_(pa.struct([("id", rest[0].type), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+                kinds = pa.list_(pa.struct([("id", ids.type), ("cosine", pa.float64()), ("toxic", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
-                    [rest[0], pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(near, kinds),
-                     *rest[1:]], names=["id", "score", "predicted", "neighbours", *extra])
+                    [ids, pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(near, kinds)],
+                    names=["id", "score", "predicted", "neighbours"])
 
-    extra = [] if carry is None else ["carried"]
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"),
-                       *([] if carry is None else [carry.alias("carried")]))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = StructType.fromDDL(f"id {kind}, score double, predicted int, "
+    return rows.mapInArrow(run, f"id {kind}, score double, predicted int, "
                                 f"neighbours array<struct<id:{kind},cosine:double,toxic:int>>")
-    return rows.mapInArrow(run, StructType([*schema.fields, *(rows.schema[c] for c in extra)]))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, teaches: Column, text_col: str = "text", **kw) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``score_documents`` does not predict toxic.
+
+    Each row goes by its own text, whatever its id; no evidence is made.
+    """
+    words, shared = _learned(docs, labels, teaches, text_col=text_col, **kw)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, place = shared.value, {w: i for i, w in enumerate(words.value)}
+        for batch in batches:
+            texts = batch.column(at).cast(pa.string())
+            for lo, hi in as_bytes_batches(texts, PIECE_BYTES):
+                score = model.scores(*_vectors(texts.slice(lo, hi - lo).to_pylist(), place))[0]
+                yield batch.slice(lo, hi - lo).filter(pa.array(score < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
