@@ -9,7 +9,7 @@ An empty table passes through every stage as an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.llm import langid, simhash, toxicity
@@ -19,24 +19,16 @@ from ratecraft.llm.queries import PIECES, pack_documents
 MIN_LANGUAGE_SCORE = 0.5
 
 
-def _row(docs: DataFrame) -> Column:
-    """The whole row as one value, which a stage carries along with its decision."""
-    return F.struct(*[docs[c] for c in docs.columns])
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language: those without a letter, or whose best language has a posterior
     under one half, go.  Every row is decided by its own text, whatever its doc_id."""
     model = langid.fit(docs.where(~held_out(F.col("doc_id"))), PIECES)
-    found = langid.predict(docs.select(_row(docs).alias("row"), "text"), model, id_col="row")
-    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(good).select("id.*")
+    return langid.keep_known(docs, model, MIN_LANGUAGE_SCORE)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents not predicted toxic by the labels of ``sf_dir``, every row by its own text."""
-    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")), carry=_row(docs))
-    return scored.where("predicted = 0").select("carried.*")
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("id")))
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

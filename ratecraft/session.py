@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows are handed to Python by bytes, not only by number: long texts must not fill a worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
