@@ -126,5 +126,20 @@ def segment_sums(values: np.ndarray, counts: Iterable[int]) -> np.ndarray:
     return total[ends] - total[np.concatenate([[0], ends[:-1]])]
 
 
+def numbered(rows: DataFrame, name: str = "copy") -> DataFrame:
+    """The rows with a number from 0 that differs between equal rows.
+
+    Equal rows are counted map-side first; large counts are cut into runs of
+    4,096 that are spread before they are written out again, so no task gets all
+    rows of a value.
+    """
+    cols = rows.columns
+    counted = rows.groupBy(*cols).agg(F.count("*").alias("_times"))
+    runs = counted.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / 4096))).alias("_run"))
+    spread = runs.repartition(*cols, "_run")
+    last = F.least(F.col("_times") - 1, F.col("_run") * 4096 + 4095)
+    return spread.select(*cols, F.explode(F.sequence(F.col("_run") * 4096, last)).alias(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.operators.windows import row_index
 
-from .common import saved
+from .common import numbered, saved
 
 LARGEST, OTHERS = 4, 8  # documents of a source that never fly: they land together, all choices compared
 LANDING = LARGEST + OTHERS
@@ -105,20 +105,6 @@ def source_targets(rows: DataFrame, weights: Sequence[int], share: float, most:
     return placed.select("source", "n", F.col("source_size").cast("long"), "place", target.alias("target"))
 
 
-def _numbered(rows: DataFrame, seed: int) -> DataFrame:
-    """The rows with a ``mark``, a hash that differs between equal rows too.
-
-    Equal rows are counted map-side first; large counts are cut into runs of
-    4,096 that are spread before they are written out again.
-    """
-    counted = rows.groupBy("row", "source", "size").agg(F.count("*").alias("times"))
-    some = counted.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / 4096))).alias("run"))
-    spread = some.repartition("row", "source", "size", "run")
-    last = F.least(F.col("times") - 1, F.col("run") * 4096 + 4095)
-    each = spread.select("row", "source", "size", F.explode(F.sequence(F.col("run") * 4096, last)).alias("copy"))
-    return each.select("row", "source", "size", F.xxhash64(F.lit(seed), "row", "source", "size", "copy").alias("mark"))
-
-
 def _decide(rows: DataFrame, block_rows: int, seed: int) -> DataFrame:
     """``rows`` with every ``prob`` at 0 or 1: blocks of a source fly, what they leave flies again, the last lands."""
     rows = rows.withColumn("blocks", F.ceil(F.col("n") / block_rows))
@@ -185,7 +171,8 @@ def mix(df: DataFrame, size: Column, source: Column, carry: Sequence[str], weigh
     own = F.greatest(F.coalesce(size, F.lit(0)).cast("long"), F.lit(0))
     rows = df.select(F.struct(*[df[c] for c in carry]).alias("row"), source.cast("string").alias("source"),
                      own.alias("size"))
-    rows = saved(_numbered(rows, seed), "mix")
+    mark = F.xxhash64(F.lit(seed), "row", "source", "size", "copy")
+    rows = saved(numbered(rows).withColumn("mark", mark).drop("copy"), "mix")
     targets = saved(source_targets(rows, weights, share, most), "targets")
     of = targets.withColumnRenamed("source", "of")
     known = rows.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of")

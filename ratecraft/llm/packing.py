@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import numbered
+
 HOT_SHARE = 64  # a class with more than 1/64 of a shard's pieces gets an ordered list of its own
 
 
@@ -71,9 +73,10 @@ def pack(df: DataFrame, size: Column, capacity: int, source: Column, cluster: Co
 
     A document over ``capacity`` is cut into pieces: all but the last fill a bin
     each, the last is packed like any other.  Documents are spread over shards
-    of about ``shard_rows`` by a hash of their id and cluster together, never by
-    source or cluster alone, and each shard is packed by itself: memory is bounded,
-    and a hot source or cluster meets itself in every shard alike.  Every
+    of about ``shard_rows`` by a hash of their id and cluster and, of equal rows,
+    their number, never by source or cluster alone, and each shard is packed by
+    itself: memory is bounded, and a hot source, cluster or null id meets itself
+    in every shard alike.  Every
     document comes back: sizes null or below 1 take no room and go to bin -1.  A
     null source or cluster conflicts with nothing.  Repeated rows share a
     cluster, so never a bin; pieces of one document neither.  Ties in size go by
@@ -82,7 +85,8 @@ def pack(df: DataFrame, size: Column, capacity: int, source: Column, cluster: Co
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
                      source.cast("string").alias("source"), cluster.cast("string").alias("cluster"))
     shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "cluster", F.lit("pack")), F.lit(shards)).cast("int"))
+    spread = F.xxhash64("id", "cluster", "copy", F.lit("pack"))
+    rows = numbered(rows).withColumn("shard", F.pmod(spread, F.lit(shards)).cast("int")).drop("copy")
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(table: pa.Table) -> pa.Table:

@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from .bpe import PATTERN, Encoder, byte_symbols, id_lists
 from .common import as_bytes_batches
 
 SCHEMA = "doc_id long, n_tokens int, ids array<int>"
+PLACED = SCHEMA + ", part int, at long"  # the file's number and how many ids lie before the row in it
+FILE_ROWS = 500_000  # a file holds about so many rows at most, where there are more files than partitions
 
 
 @lru_cache(maxsize=2)
@@ -50,22 +53,27 @@ def _encoder(path: str) -> Encoder:
 
 
 def tokenise(df: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids) of (doc_id, text) rows, in the order given, ``end_id`` last in each list.
+    """``PLACED`` rows of (doc_id, text) rows, in the order given, ``end_id`` last in each list.
 
     The tokenizers library's model encodes the distinct pieces of the texts, kept
     in a bounded memo; texts are cut where its pre-tokenizer always cuts too.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi in as_bytes_batches(batch.column(1)):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
                 flat, counts = _encoder(path).encode(texts)
-                flat = np.insert(flat, np.cumsum(counts), end_id)
+                ends = np.cumsum(counts)
+                flat, counts = np.insert(flat, ends, end_id), counts + 1
+                at = before + np.cumsum(counts) - counts
+                before += len(flat)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(counts + 1, pa.int32()),
-                     id_lists(flat, counts + 1)], names=["doc_id", "n_tokens", "ids"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int32()), id_lists(flat, counts),
+                     pa.array([part] * (hi - lo), pa.int32()), pa.array(at, pa.int64())],
+                    names=["doc_id", "n_tokens", "ids", "part", "at"])
 
-    return df.mapInArrow(run, SCHEMA)
+    return df.mapInArrow(run, PLACED)
 
 
 def write_token_files(df: DataFrame, out: str, path: str, end_id: int, id_col: str = "doc_id",
@@ -73,16 +81,23 @@ def write_token_files(df: DataFrame, out: str, path: str, end_id: int, id_col: s
                       row_index_stride: int = 1000) -> None:
     """Write the token ids of every whole text of ``df`` under ``out``, ascending by document id.
 
-    Files hold consecutive ranges of ids and rows ascend inside a file.  A null
-    text is empty: its list is the end id alone.  Null ids come first; rows of
-    one id lie in order of their text, repeated rows are all written.  An empty
-    table writes files without rows.  ``row_index_stride`` rows (1000 at least)
-    share an index entry and a Bloom filter; a stripe takes ``stripe_mb`` MB
-    before compression.
+    Files hold consecutive ranges of ids and rows ascend inside a file; each row
+    says its file's number and its place there, so the order stays known whatever
+    the files are called.  A null text is empty: its list is the end id alone.
+    Null ids come first; rows of one id lie in order of a hash of their text, and
+    are cut into files by it too, so a hot id fills many files.  Repeated rows are
+    all written.  An empty table writes files without rows.  Unless ``files`` says
+    it, their number follows from the rows.  ``row_index_stride`` rows (1000 at
+    least) share an index entry and a Bloom filter; a stripe takes ``stripe_mb``
+    MB before compression.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = files or max(least, -(-df.count() // FILE_ROWS))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    placed = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # equal rows of different input partitions differ in "origin", so that they can be cut too
+    order = ["doc_id", "mark", "text", "origin"]
+    placed = (rows.withColumns({"mark": F.xxhash64("text"), "origin": F.spark_partition_id()})
+              .repartitionByRange(n, "doc_id", "mark", "origin").sortWithinPartitions(*order).select("doc_id", "text"))
     (tokenise(placed, path, end_id).write.format("orc")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.create.index", "true").option("orc.row.index.stride", str(row_index_stride))
@@ -107,27 +122,22 @@ def _crc32(df: DataFrame) -> DataFrame:
             flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4")
             off = ids.offsets.to_numpy() - ids.offsets[0].as_py()
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crc, pa.int64()),
-                                              *batch.columns[3:]], names=["doc_id", "n_tokens", "ids_crc32", "file"])
-    return df.mapInArrow(run, "doc_id long, n_tokens int, ids_crc32 long, file string")
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(crc, pa.int64()), *batch.columns[3:]],
+                names=["doc_id", "n_tokens", "ids_crc32", "part", "at"])
+    return df.mapInArrow(run, "doc_id long, n_tokens int, ids_crc32 long, part int, at long")
 
 
 def positions(spark: SparkSession, out: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every row: ``start`` counts the ids of all rows before it.
 
-    Sums per file (files follow one another in document order) give each file
-    its start; a running sum inside the file, a bounded number of rows, does the
-    rest.  Rows of one id keep the order of their start.
+    A row knows its place in its file; sums over the files before, one row a
+    file, do the rest.  Rows are neither sorted nor shuffled.
     """
-    rows = spark.read.schema(SCHEMA).orc(out).select("doc_id", "n_tokens", "ids",
-                                                     F.col("_metadata.file_name").alias("file"))
-    rows = _crc32(rows)
-    totals = (spark.read.schema(SCHEMA).orc(out).groupBy(F.col("_metadata.file_name").alias("file"))
-              .agg(F.sum("n_tokens").alias("total")))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    starts = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("file_start"))
-    inside = (Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32", "n_tokens")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    run = rows.withColumn("own", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    return run.join(starts, "file").select("doc_id", (F.col("file_start") + F.col("own")).alias("start"),
-                                           F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
+    rows = spark.read.schema(PLACED).orc(out)
+    totals = rows.groupBy("part").agg(F.max(F.col("at") + F.col("n_tokens")).alias("total"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("file_start"))
+    return _crc32(rows).join(starts, "part").select(
+        "doc_id", (F.col("file_start") + F.col("at")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"),
+        "ids_crc32")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.llm import codes, mixing, queries, spelling
+from ratecraft.llm.common import numbered
 
 
 # vector codes ---------------------------------------------------------------------
@@ -216,8 +217,8 @@ def test_mix_spreads_equal_rows(spark):
     total = {r.source: (r.n, r.taken, r.target) for r in got.groupBy("source").agg(
         F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()}
     assert total["s"][0] == 30_000 and abs(total["s"][1] - total["s"][2]) <= 10
-    marks = mixing._numbered(same.select(F.struct("doc_id").alias("row"), "source", F.col("w").cast("long").alias("size")), 1)
-    assert marks.select("mark").distinct().count() == 30_000
+    copies = numbered(same).select("copy").collect()
+    assert sorted(r["copy"] for r in copies) == list(range(30_000))
 
 
 def test_mix_of_nothing_and_of_empty_texts(spark, nasty, empty):

@@ -58,6 +58,43 @@ def test_token_files_hold_the_ids_in_order(spark, nasty, empty, tmp):
     assert token_files.positions(spark, f"{tmp}/e").count() == 0
 
 
+def test_token_files_with_repeated_and_hot_ids(spark, tmp):
+    """A third of the rows without an id, ids with several texts, and repeated rows: starts are those of the files."""
+    import glob
+
+    import pyarrow.orc as orc
+
+    rows = [(None, f"text {i % 400}") for i in range(700)] + [(None, "same text")] * 700
+    rows += [(i % 500, f"other {i}") for i in range(1500)] + [(7, "twice"), (7, "twice"), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    token_files.write_token_files(df, f"{tmp}/t", BYTE_BPE, end_id=2, files=8)
+    tables = [orc.read_table(f) for f in glob.glob(f"{tmp}/t/*.orc")]
+    tables = sorted((t for t in tables if t.num_rows), key=lambda t: t["part"][0].as_py())
+    assert max(t.num_rows for t in tables) < len(rows) / 3
+    want, at, last = [], 0, -1
+    for t in tables:
+        for doc, ids in zip(t["doc_id"].to_pylist(), t["ids"].to_pylist()):
+            assert (doc if doc is not None else -1) >= last
+            last = doc if doc is not None else -1
+            want.append((doc, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+            at += len(ids)
+    got = [tuple(r) for r in token_files.positions(spark, f"{tmp}/t").orderBy("start").collect()]
+    assert got == want and len(got) == len(rows)
+
+
+def test_packing_spreads_equal_rows(spark):
+    rows = [(None, None, None, 3)] * 6000 + [(1, "a", "c", 5)] * 1000
+    df = spark.createDataFrame(rows, "doc_id long, source string, cluster string, n int")
+    got = packing.pack(df, F.col("n"), 10, F.col("source"), F.col("cluster"), shard_rows=500).collect()
+    sizes, bins = {}, {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+        bins.setdefault((r.shard, r.bin), []).append(r)
+    assert len(got) == 7000 and max(sizes.values()) < 800
+    for held in bins.values():
+        assert sum(r["size"] for r in held) <= 10 and sum(r.id == 1 for r in held) <= 1
+
+
 def test_token_counts_equal_the_library(spark, nasty, empty):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     vocab = [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
