@@ -215,8 +215,9 @@ kept AS (SELECT * FROM w WHERE NOT EXISTS (
   SELECT 1 FROM x WHERE x.pos < x.n_turns AND x.pos = w.n_turns AND x.pre = w.pre))
 SELECT k.conv_id, (row_number() OVER (PARTITION BY k.conv_id ORDER BY min(p.pos)) - 1)::INT AS segment,
        k.n_turns, k.copies, string_agg(p.part, '' ORDER BY p.pos) AS rendered
-FROM kept k JOIN p ON p.conv_id = k.conv_id
-GROUP BY k.conv_id, p.chunk, k.n_turns, k.copies
+FROM kept k JOIN (SELECT *, (pos - min(pos) OVER (PARTITION BY conv_id, chunk)) // 256 AS cut FROM p) p
+  ON p.conv_id = k.conv_id
+GROUP BY k.conv_id, p.chunk, p.cut, k.n_turns, k.copies
 """,
     "op11_vector_codes": _codes_sql(),
     "op12_spelling_variants": """

@@ -134,3 +134,23 @@ def test_graph_recall(spark):
     got, _ = Graph(x).search(x[:200], 48)
     true = np.argsort(-(x[:200] @ x.T), axis=1)[:, :10]
     assert np.mean([len(set(t) & set(g[:10])) / 10 for t, g in zip(true, got)]) >= 0.9
+
+
+def test_one_id_with_two_vectors_is_two_rows(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.99, 0.01, 0.0]
+    rows = [(5, a), (5, b), (9, c), (9, c), (2, b), (None, a), (7, None), (7, a)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.id if r.id is not None else -1, r.n_links, r.component) for r in embedding_groups(df).collect())
+    # equal vectors under several ids are linked too; a repeated row is one vector
+    assert got == [(-1, 0, None), (2, 1, 2), (5, 1, 2), (5, 2, 5), (7, 0, 7), (7, 2, 5), (9, 2, 5), (9, 2, 5)]
+
+
+def test_a_graph_that_misses_nodes_is_answered_exactly():
+    from ratecraft.llm.embedding_dedup import _Shard
+
+    rng = np.random.default_rng(3)
+    vecs = np.repeat(rng.normal(size=(20, 8)), 10, axis=0) + 1e-3 * rng.normal(size=(200, 8))
+    shard = _Shard(0.95, 0.98, 4, np.arange(200), vecs, np.ones(200, dtype=np.int64))
+    shard.graph.search = lambda x, beam: (np.full((len(x), 1), -1), np.zeros((len(x), 1)))
+    (out,) = shard.answer(np.arange(200), vecs)
+    assert out.column(2).to_pylist() == [9] * 200

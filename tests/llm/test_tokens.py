@@ -211,3 +211,16 @@ def test_collapse_keeps_maximal_conversations(spark):
     assert kept == {k: [len(convs[k]), n, text(convs[k])] for k, n in ((3, 2), (5, 1), (6, 1), (7, 2), (9, 1), (10, 1))}
     assert max(r.segment for r in got if r.conv_id == 10) == 4
     assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+def test_chat_with_null_and_equal_turns(spark):
+    """Turns without a number, or with one number, are cut every 256 and all kept in order."""
+    rows = [(1, None, "user", f"t{i:04}") for i in range(700)] + [(2, 5, "user", "same")] * 1000 + [(3, 5, "user", "same")] * 999
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    got = chat.format_conversations(df).orderBy("conv_id", "segment").collect()
+    assert [(r.conv_id, r.segment, r.n_turns) for r in got] == [(1, k, 700) for k in range(3)] + [(2, k, 1000) for k in range(4)]
+
+    def text(of):
+        return "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for t in of)
+    assert "".join(r.rendered for r in got if r.conv_id == 1) == text(f"t{i:04}" for i in range(700))
+    assert "".join(r.rendered for r in got if r.conv_id == 2) == text(["same"] * 1000)
