@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratecraft.operators.paging import PageIndex
 from ratecraft.operators.windows import row_index
 
 
@@ -38,20 +39,15 @@ def top_k_arrays(df: DataFrame, key: str, order: Sequence[Column], k: int,
     return agg.select(key, F.transform("_arr", lambda s: F.struct(*[s[f].alias(f) for f in fields])).alias(out))
 
 
-def paginate(df: DataFrame, order: Sequence[str], page: int, per_page: int = 10,
-             rows_per_chunk: int | None = None) -> DataFrame:
+def paginate(df: DataFrame, order: Sequence[str], page: int, per_page: int = 10) -> DataFrame:
     """Rows ``[(page-1)*per_page, page*per_page)`` of the total ``order`` (nulls first).
 
-    One plan for every depth: positions from the distributed row index, so no
-    task holds a prefix of the table.  Page 0 or a page past the end is empty.
+    For one page of a table that no index holds yet; keep the ``PageIndex`` to
+    read more of them.  Page 0 or a page past the end is empty.
     """
     if per_page < 1:
         raise ValueError("per_page must be >= 1")
-    if page < 1:
-        return df.limit(0)
-    lo = (page - 1) * per_page
-    idx = row_index(df, order, name="_pos", rows_per_chunk=rows_per_chunk)
-    return idx.filter((F.col("_pos") >= lo) & (F.col("_pos") < lo + per_page)).drop("_pos")
+    return PageIndex.build(df, order).page(page, per_page).select(*df.columns)
 
 
 def page_numbers(df: DataFrame, order: Sequence[str], per_page: int = 10,

@@ -13,7 +13,7 @@ from ratecraft.operators import joins as J
 from ratecraft.operators import topk as TK
 from ratecraft.operators import windows as W
 from ratecraft.plans.catalog import query
-from ratecraft.plans.pages import page_response, titles
+from ratecraft.plans.pages import page_index, page_response, titles
 from ratecraft.schemas import create_table_if_absent, drop_table, mapping_to_schema
 from ratecraft.session import work_dir
 from ratecraft.sources import files as FS
@@ -234,7 +234,7 @@ def t2_page_response(spark, sf):
         user={"userId": "user_id", "age": "age", "gender": "gender", "occupation": "occupation"},
         movie={"movieId": "item_id", "title": "title", "genres": "genres"},
         rating="rating", timestamp=epoch_seconds())
-    return page_response(e, PAGE_ORDER, rec, page=7, per_page=10)
+    return page_response(page_index(e, PAGE_ORDER, rec), page=7, per_page=10)
 
 
 @query("K7_json_records", f"""

@@ -47,13 +47,13 @@ def test_separator_is_an_argument(spark, tmp):
 
 
 def test_page_response_edges(spark):
-    from ratecraft.plans.pages import page_response
+    from ratecraft.plans.pages import page_index, page_response
     df = spark.range(25).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    rec = F.struct(F.col("v").alias("v"))
-    p3 = page_response(df, ["k"], rec, page=3, per_page=10).orderBy("position").collect()
+    index = page_index(df, ["k"], F.struct(F.col("v").alias("v")))
+    p3 = page_response(index, page=3, per_page=10).orderBy("position").collect()
     assert [r.position for r in p3] == [1, 2, 3, 4, 5] and all(r.total_pages == 3 for r in p3)
     assert p3[0].json == '{"v":40}'
-    assert page_response(df, ["k"], rec, page=4, per_page=10).count() == 0   # past the last page
-    assert page_response(df, ["k"], rec, page=0, per_page=10).count() == 0
-    deep = page_response(df, ["k"], rec, page=2, per_page=10)
+    assert page_response(index, page=4, per_page=10).count() == 0   # past the last page
+    assert page_response(index, page=0, per_page=10).count() == 0
+    deep = page_response(index, page=2, per_page=10)
     assert [r.json for r in deep.orderBy("position").collect()][0] == '{"v":20}'

@@ -47,12 +47,11 @@ def test_every_row_gets_one_position_and_no_chunk_is_large(spark):
     n = 4000
     for name, (kind, values) in _orders(n).items():
         df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], f"{kind}, i int")
-        chunked, rows = W.in_chunks(df, ["k", "i"], rows_per_chunk=200)
-        assert rows == n
-        assert max(r["count"] for r in chunked.groupBy("_chunk").count().collect()) <= 200, name
-        got = [r.i for r in W.row_index(df, ["k", "i"], chunked=chunked).orderBy("row_idx").collect()]
+        laid = W.in_order(df, ["k", "i"], parts=20)
+        assert max(r["count"] for r in laid.groupBy("_part").count().collect()) <= n / 8, name
+        got = [r.i for r in W.row_index(df, ["k", "i"]).orderBy("row_idx").collect()]
         assert got == [r.i for r in df.orderBy("k", "i").collect()], name
-        folds = W.contiguous_kfold(df, ["k", "i"], 4, rows_per_chunk=200).groupBy("fold").count().collect()
+        folds = W.contiguous_kfold(df, ["k", "i"], 4).groupBy("fold").count().collect()
         assert {r.fold: r["count"] for r in folds} == {f: n // 4 for f in range(1, 5)}
 
 
@@ -61,13 +60,15 @@ def test_running_stats_keeps_null_keys_and_null_orders(spark):
                                "k int, o int, i int")
     w = Window.partitionBy("k").orderBy("o", "i")
     exp = {r.i: r.c for r in df.select("i", F.row_number().over(w).alias("c")).collect()}
-    got = W.running_stats(df, ["k"], ["o", "i"], rows_per_chunk=20).collect()
+    got = W.running_stats(df, ["k"], ["o", "i"]).collect()
+    assert len(got) == 400 and {r.i: r.run_count for r in got} == exp
+    got = W.running_stats(df, ["k"], ["o", "i"], "i", rows_per_chunk=20).collect()
     assert len(got) == 400 and {r.i: r.run_count for r in got} == exp
 
 
 def test_row_index_is_a_permutation_in_order(spark):
     df = _events(spark, n=1500)
-    got = W.row_index(df, ["seq"], rows_per_chunk=100).orderBy("seq").select("row_idx").collect()
+    got = W.row_index(df, ["seq"]).orderBy("seq").select("row_idx").collect()
     assert [r.row_idx for r in got] == list(range(1500))
 
 
@@ -84,13 +85,13 @@ def test_leave_n_out_matches_rule_with_and_without_cap(spark):
     rows = [(i, rnd.randrange(30)) for i in range(2000)]
     df = spark.createDataFrame(rows, "seq long, user_id long")
     for start, stop, cap in [(1, 10, 0), (11, 20, 100), (1, 10, 100000)]:
-        got = W.leave_n_out(df, "user_id", ["seq"], start, stop, cap, rows_per_chunk=200)
+        got = W.leave_n_out(df, "user_id", ["seq"], start, stop, cap)
         assert sorted((r.seq, r.is_test) for r in got.collect()) == _expected_test_rows(rows, start, stop, cap)
 
 
 def test_contiguous_kfold_blocks(spark):
     df = spark.range(100).withColumnRenamed("id", "seq")
-    got = {r.seq: r.fold for r in W.contiguous_kfold(df, ["seq"], 5, rows_per_chunk=20).collect()}
+    got = {r.seq: r.fold for r in W.contiguous_kfold(df, ["seq"], 5).collect()}
     assert all(got[i] == i // 20 + 1 for i in range(100))
 
 
@@ -106,6 +107,44 @@ def test_pages_follow_the_order_at_every_depth(spark):
     df = spark.createDataFrame([(None if i % 10 == 0 else i, i) for i in range(100)], "o int, i int")
     want = [r.i for r in df.orderBy("o", "i").collect()]
     for page in (1, 2, 7, 10):
-        got = paginate(df, ["o", "i"], page, 10, rows_per_chunk=15).orderBy("o", "i").collect()
+        got = paginate(df, ["o", "i"], page, 10).orderBy("o", "i").collect()
         assert [r.i for r in got] == want[10 * page - 10:10 * page]
     assert paginate(df, ["o", "i"], 11, 10).count() == 0 and paginate(df, ["o", "i"], 0, 10).count() == 0
+
+
+def scanned_rows(df) -> int:
+    """Rows that the file scans of a DataFrame put out, from its run's own metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") and "Adaptive" in plan.nodeName() else plan
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        metric = leaves.apply(i).metrics().get("numOutputRows")
+        total += metric.get().value() if metric.isDefined() else 0
+    return total
+
+
+def test_a_page_reads_its_file_only(spark, tmp):
+    from ratecraft.operators.paging import PageIndex
+    n = 100_000
+    df = spark.range(n).select(F.when(F.col("id") % 10 > 0, F.col("id") * 7919 % n).alias("o"), F.col("id").alias("i"))
+    PageIndex.build(df, ["o", "i"], f"{tmp}/index", parts=200)
+    index = PageIndex(spark, f"{tmp}/index")  # as another session would open it
+    want = [r.i for r in df.orderBy(F.asc_nulls_first("o"), "i").collect()]
+    assert index.total() == n and index.fences.count() >= 150
+    for page in (1, 2, 3000, 10_000):
+        got = index.page(page, 10)
+        assert [(r.position, r.i) for r in got.orderBy("position").collect()] == list(
+            enumerate(want[10 * page - 10:10 * page], 10 * page - 10))
+        assert scanned_rows(index.page(page, 10)) < n / 100
+    across = index.slice(400, 1600).collect()  # several files
+    assert sorted((r.position, r.i) for r in across) == list(enumerate(want[400:1600], 400))
+    assert index.page(10_001).count() == 0 and index.page(0).count() == 0
+    some = df.where("o = 5001").first()
+    assert want[index.place_of(5001)] == some.i and index.place_of(n) == n
+
+
+def test_page_index_of_an_empty_table(spark, tmp):
+    from ratecraft.operators.paging import PageIndex
+    index = PageIndex.build(spark.createDataFrame([], "o int, i int"), ["o"], f"{tmp}/none")
+    assert index.total() == 0 and index.page(1).count() == 0
