@@ -8,12 +8,10 @@ and as a review) and, inside one ``foreachBatch``, writes
 * per-movie partial counts (n, sum, latest title/genres)  -> AdditiveTable
 * per-user activity partials (n, latest profile)           -> AdditiveTable
 * review rows keyed ``user_movie``                         -> LatestTable
-* per-event running values (count, mean as of the event)   -> change log
 
 Every output is partitioned by ``batch_id`` and overwritten per batch, and a
 commit marker comes last; views show committed batches only, so a failed batch
-is not seen and its re-run is idempotent (Q6).  Running values follow arrival
-from batch to batch and event order inside one, so a late event counts when it
+is not seen and its re-run is idempotent (Q6).  A late event counts when it
 comes and never stops the stream.  And two events
 of one movie in one batch both count (Q3): the batch is rolled up first
 and merged with the stored totals, not read-modify-written per row.
@@ -29,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecraft.functions import columns as C
-from ratecraft.operators.windows import contiguous_kfold, running_stats
+from ratecraft.operators.windows import contiguous_kfold
 from ratecraft.schemas import EVENT_SCHEMA
 from ratecraft.session import work_dir
 from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog
@@ -172,15 +170,11 @@ class RatingTables:
         return r.groupBy(F.col("movie.movieId").cast(self.id_type).alias("item_id")).agg(
             F.count("rating").alias("rating_count"), F.avg("rating").alias("rating_avg"))
 
-    def running(self) -> DataFrame:
-        return self._log("running").rows().drop("batch_id")
-
     def quarantined(self) -> DataFrame:
         return self._log("quarantine").rows()
 
 
-def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
-                  emit_running: bool = True) -> None:
+def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int) -> None:
     """The body of ``foreachBatch``: every write replaces this batch's partition,
     the commit marker is written last."""
     parsed = parse_messages(batch, tables.id_type).persist()
@@ -208,40 +202,19 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int,
                      "occupation").alias("user"))
         tables.reviews.write_batch(reviews, batch_id)
 
-        if emit_running:
-            _emit_running(tables, good, batch_id)
         done = tables.spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch"))
         done.coalesce(1).write.mode("overwrite").parquet(f"{tables.commits_path}/batch_id={int(batch_id)}")
     finally:
         parsed.unpersist()
 
 
-def _emit_running(tables: RatingTables, good: DataFrame, batch_id: int) -> None:
-    """Per event: (count, mean) of its movie as of that event = stored totals
-    of earlier batches + the in-batch running values (skew-safe prefix)."""
-    prior = tables.movies.current(before=batch_id, sums_only=True)
-    good = good.filter(F.col("rating").isNotNull())
-    inb = running_stats(good.select("seq", "ts", "item_id", "rating"), ["item_id"], ["ts", "seq"],
-                        "rating")
-    if prior is None:
-        out = inb.select("seq", "item_id", F.col("run_count").alias("rating_count"),
-                         F.col("run_mean").alias("rating_avg"))
-    else:
-        p = prior.select(F.col("item_id").alias("_pk"), F.col("n").alias("_pn"), F.col("s").alias("_ps"))
-        j = inb.join(p, inb["item_id"] == p["_pk"], "left")
-        n = F.col("_n_run_total")
-        j = j.withColumn("_n_run_total", F.col("run_count") + F.coalesce("_pn", F.lit(0)))
-        s = F.col("run_sum") + F.coalesce("_ps", F.lit(0.0))
-        out = j.select("seq", "item_id", n.alias("rating_count"), (s / n).alias("rating_avg"))
-    tables._log("running").write_batch(out, batch_id)
-
-
 def start_rating_stream(stream: DataFrame, tables: RatingTables, checkpoint: str, *,
                         available_now: bool = True, processing_time: str | None = None,
-                        emit_running: bool = True, query_name: str | None = None):
-    """Start the one query that feeds all outputs (decision Q8)."""
+                        query_name: str | None = None):
+    """Start the one query that feeds the keyed outputs (decision Q8); values as of each event come from
+    the state store (``stateful.start_running_values``)."""
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: process_batch(tables, df, bid, emit_running)))
+         .foreachBatch(lambda df, bid: process_batch(tables, df, bid)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:

@@ -94,14 +94,12 @@ class AdditiveTable(_ChangeLog):
         self.attrs = list(attrs)
         self.order = list(order)
 
-    def current(self, before: int | None = None, sums_only: bool = False) -> DataFrame | None:
-        """Per-key totals (and latest attributes unless ``sums_only``)."""
+    def current(self, before: int | None = None) -> DataFrame | None:
+        """Per-key totals and latest attributes."""
         rows = self.rows(before)
         if rows is None:
             return None
         aggs = [F.sum(s).alias(s) for s in self.sums]
-        if sums_only:
-            return rows.groupBy(*self.keys).agg(*aggs)
         if self.attrs:
             ordkey = F.struct(*[F.col(o) for o in [*self.order, "batch_id"]])
             aggs.append(F.max_by(F.struct(*[F.col(a) for a in self.attrs]), ordkey).alias("_a"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ratecraft.operators import aggregates as A
 from ratecraft.operators import windows as W
 from ratecraft.streaming import fanout as P
+from ratecraft.streaming import stateful as ST
 from ratecraft.streaming.keyed import LatestTable
 
 
@@ -23,6 +24,15 @@ def _messages(spark, n=400):
         "seq", F.col("json").cast("binary").alias("value"))
 
 
+def running(spark, tmp):
+    return {r.seq: (r.item_id, r.rating_count, round(r.rating_avg, 9)) for r in spark.read.parquet(f"{tmp}/run").collect()}
+
+
+def expected_running(parsed):
+    rows = W.running_stats(parsed, ["item_id"], ["seq"], "rating").collect()
+    return {r.seq: (r.item_id, r.run_count, round(r.run_mean, 9)) for r in rows}
+
+
 @pytest.mark.parametrize("n_slices", [1, 2, 7])
 def test_stream_equals_batch(spark, tmp, n_slices):
     msgs = _messages(spark)
@@ -34,9 +44,9 @@ def test_stream_equals_batch(spark, tmp, n_slices):
     got = {r.item_id: (r.rating_count, r.rating_avg) for r in tables.item_stats().collect()}
     assert got.keys() == exp.keys()
     assert all(got[k][0] == exp[k][0] and abs(got[k][1] - exp[k][1]) < 1e-9 for k in exp)
-    run = W.running_stats(parsed, ["item_id"], ["seq"], "rating")
-    exp_run = {r.seq: r.run_count for r in run.collect()}
-    assert {r.seq: r.rating_count for r in tables.running().collect()} == exp_run
+    P.drain(ST.start_running_values(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), f"{tmp}/run",
+                                    f"{tmp}/ck2"))
+    assert running(spark, tmp) == expected_running(parsed)
 
 
 def test_two_events_of_one_movie_in_one_batch_both_count(spark, tmp):
@@ -110,10 +120,34 @@ def test_late_batch_counts_when_it_comes(spark, tmp):
     P.process_batch(tables, msgs.filter("seq >= 20").select("value"), 0)
     P.process_batch(tables, msgs.filter("seq < 20").select("value"), 1)
     assert tables.item_stats().agg(F.sum("rating_count")).first()[0] == 40
-    run = tables.running()
-    assert run.count() == 40
-    last = {r.item_id: r.n for r in run.groupBy("item_id").agg(F.max("rating_count").alias("n")).collect()}
-    assert last == {r.item_id: r.rating_count for r in tables.item_stats().collect()}
+
+
+def test_late_event_has_a_running_row_when_it_comes(spark, tmp):
+    msgs = _messages(spark, 40)
+    for i, part in enumerate(("seq >= 20", "seq < 20")):  # the second start resumes from the checkpoint
+        msgs.filter(part).select("value").write.parquet(f"{tmp}/in/slice={i}")
+        P.drain(ST.start_running_values(P.message_stream(spark, f"{tmp}/in"), f"{tmp}/run", f"{tmp}/ck"))
+    got = running(spark, tmp)
+    parsed, _ = P.split_quarantine(P.parse_messages(msgs))
+    assert len(got) == 40 and got[20] == expected_running(parsed.where("seq >= 20"))[20]
+    totals = {}
+    for item, n, _ in got.values():
+        totals[item] = max(totals.get(item, 0), n)
+    assert totals == {r.item_id: r.rating_count for r in A.item_stats(parsed).collect()}
+    last = max((s for s in got if s < 20 and got[s][0] == 0))  # arrives last of its item
+    assert got[last][1] == totals[0]
+
+
+def test_running_values_cost_the_same_in_every_batch(spark, tmp):
+    """Twenty micro-batches: the state holds a row an item, and a batch reads its own events only."""
+    msgs = _messages(spark, 600)
+    P.write_slices(msgs, ["seq"], 20, f"{tmp}/in", files_per_slice=1)
+    query = ST.start_running_values(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), f"{tmp}/run", f"{tmp}/ck")
+    P.drain(query)
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(batches) == 20 and {p["numInputRows"] for p in batches} == {30}
+    assert {p["stateOperators"][0]["numRowsTotal"] for p in batches} == {7}
+    assert len(running(spark, tmp)) == 600
 
 
 def test_unfinished_batch_is_not_seen(spark, tmp):
@@ -129,11 +163,12 @@ def test_unfinished_batch_is_not_seen(spark, tmp):
 
 def test_unreadable_timestamp_has_a_running_row(spark, tmp):
     bad = json.dumps({**json.loads(_record(1, 2, 9, 1)), "timestamp": "soon"})
-    df = spark.createDataFrame([(_record(0, 1, 9, 5),), (bad,)], "v string").select(
+    no_seq = json.dumps({k: v for k, v in json.loads(_record(2, 3, 9, 3)).items() if k != "seq"})
+    df = spark.createDataFrame([(_record(0, 1, 9, 5),), (bad,), (no_seq,)], "v string").select(
         F.col("v").cast("binary").alias("value"))
-    tables = P.RatingTables(spark, f"{tmp}/out")
-    P.process_batch(tables, df, 0)
-    assert tables.running().count() == 2 and tables.item_stats().first().rating_count == 2
+    df.coalesce(1).write.parquet(f"{tmp}/in")
+    P.drain(ST.start_running_values(P.message_stream(spark, f"{tmp}/in"), f"{tmp}/run", f"{tmp}/ck"))
+    assert running(spark, tmp) == {1: (9, 1, 1.0), 0: (9, 2, 3.0), None: (9, 3, 3.0)}
 
 
 def test_per_pair_latest_option(spark, tmp):
@@ -172,8 +207,8 @@ def test_replay_slice_by_slice_with_several_files(spark, tmp):
         P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck")))
     assert spark.read.parquet(tables.movies.changes_path).select("batch_id").distinct().count() == 3
     parsed, _ = P.split_quarantine(P.parse_messages(msgs))
-    want = {r.seq: r.run_count for r in W.running_stats(parsed, ["item_id"], ["seq"], "rating").collect()}
-    assert {r.seq: r.rating_count for r in tables.running().collect()} == want
+    want = {r.item_id: r.rating_count for r in A.item_stats(parsed).collect()}
+    assert {r.item_id: r.rating_count for r in tables.item_stats().collect()} == want
 
 
 def test_kafka_gets_the_callers_options_only():
