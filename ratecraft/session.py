@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows are handed to Python by bytes, not only by number: long texts must not fill a worker
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    # a batch uploads its own changes, not whole files of state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
