@@ -111,6 +111,11 @@ def control_totals(ratings: DataFrame, declared: DataFrame, user: str = "user_id
     actual = ratings.agg(F.count_distinct(user).alias("users"),
                          F.count_distinct(item).alias("items"),
                          F.count(F.lit(1)).alias("ratings"))
+    return compare_totals(actual, declared)
+
+
+def compare_totals(actual: DataFrame, declared: DataFrame) -> DataFrame:
+    """(what, declared, actual, ok) of one row (users, items, ratings) and a table (what, declared)."""
     long = actual.select(F.explode(F.array(
         *[F.struct(F.lit(w).alias("what"), F.col(w).cast("long").alias("actual"))
           for w in ("users", "items", "ratings")])).alias("m")).select("m.*")

@@ -60,26 +60,3 @@ def page_numbers(df: DataFrame, order: Sequence[str], per_page: int = 10,
 # set operations -----------------------------------------------------------------------
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def overlap_counts(df: DataFrame, part_col: str, keys: Sequence[str]) -> DataFrame:
-    """For every pair of parts (a < b), the number of keys found in both.
-
-    Keys are first reduced to (key, part) distinct rows; a key shared by
-    several parts contributes its (few) part pairs, so no part is paired
-    with whole other parts.
-    """
-    kp = df.select(*keys, part_col).distinct()
-    a, b = kp.alias("a"), kp.alias("b")
-    cond = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    cond.append(F.col(f"a.{part_col}") < F.col(f"b.{part_col}"))
-    pairs = a.join(b, cond, "inner").groupBy(F.col(f"a.{part_col}").alias("part_a"),
-                                             F.col(f"b.{part_col}").alias("part_b")).count()
-    # all part pairs from the (small) set of part ids, built inside one row
-    ids = df.agg(F.array_sort(F.collect_set(part_col)).alias("ids"))
-    grid = ids.select(F.explode(F.flatten(F.transform(
-        "ids", lambda x: F.transform(F.filter("ids", lambda y: y > x),
-                                     lambda y: F.struct(x.alias("part_a"), y.alias("part_b")))))).alias("p")
-                      ).select("p.*")
-    return (grid.join(pairs, ["part_a", "part_b"], "left")
-            .select("part_a", "part_b", F.coalesce("count", F.lit(0)).alias("overlap")))

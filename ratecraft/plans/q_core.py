@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ratecraft.functions import columns as C
 from ratecraft.operators import aggregates as A
+from ratecraft.operators import bitmaps as B
+from ratecraft.operators import fingerprint as FP
 from ratecraft.operators import joins as J
 from ratecraft.operators import topk as TK
 from ratecraft.operators import windows as W
@@ -17,6 +19,8 @@ from ratecraft.plans.pages import page_index, page_response, titles
 from ratecraft.schemas import create_table_if_absent, drop_table, mapping_to_schema
 from ratecraft.session import work_dir
 from ratecraft.sources import files as FS
+from ratecraft.sources.bucketed import write_bucketed
+from ratecraft.sources.observed import write_observed
 from ratecraft.sources.tables import (EVENTS_SQL, ITEM_GENRES, ITEMS_SQL, RATING_ORDER,
                                       RATINGS_SQL, USERS_SQL, events_view, items_view,
                                       ratings_view, table, users_view)
@@ -106,15 +110,13 @@ def s4(spark, sf):
 SELECT CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id,
        CAST(rating AS FLOAT) AS rating, CAST(seq AS INTEGER) AS timestamp FROM {E}""")
 def s5(spark, sf):
-    ev = events_view(spark, sf)
-    folded = W.contiguous_kfold(ev, ["seq"], 5)
-    base = work_dir(spark, "s5")
-    paths = []
-    for i in range(1, 6):  # five files, as the published folds
-        part = folded.filter(F.col("fold") == i).select(
-            "user_id", "item_id", "rating", F.col("seq").alias("timestamp"))
-        paths.append(FS.write_delimited(part, f"{base}/u{i}", "\t"))
-    return TK.union_all([FS.read_ratings(spark, p) for p in paths])
+    folded = W.contiguous_kfold(events_view(spark, sf), ["seq"], 5)
+    path = work_dir(spark, "s5") + "/u"
+    rows = folded.select("user_id", "item_id", "rating", F.col("seq").alias("timestamp"), "fold")
+    if rows.isEmpty():  # no folds: one empty file
+        return FS.read_ratings(spark, FS.write_delimited(rows.drop("fold"), path, "\t"))
+    FS.write_delimited(rows, path, "\t", by=["fold"])  # a folder per fold, as the published files, in one job
+    return TK.union_all([FS.read_ratings(spark, f"{path}/fold={i}") for i in range(1, 6)])
 
 
 @query("S10_P14_point_read_state", f"""
@@ -297,7 +299,8 @@ def p15(spark, sf):
     reviews.write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     hot = TK.top_k(r.groupBy("item_id").count(), [F.desc("count"), F.asc("item_id")], 1).first()
-    hit = stored.filter(F.col("movie.movieId") == F.lit(str(hot["item_id"])))
+    key = F.lit(str(hot["item_id"]) if hot else None)  # no ratings: no key, no rows
+    hit = stored.filter(F.col("movie.movieId") == key)
     return hit.select("review_id", "user.userId", "movie.movieId", "rating")
 
 
@@ -427,7 +430,7 @@ def a4(spark, sf):
     return A.distinct_counts(ratings_view(spark, sf), ["user_id", "item_id"])
 
 
-@query("A5_control_totals", f"""
+A5_SQL = f"""
 WITH d AS (SELECT 'users' AS what, (SELECT count(*) FROM customer) AS declared
            UNION ALL SELECT 'items', (SELECT count(*) FROM part)
            UNION ALL SELECT 'ratings', (SELECT count(*) FROM lineitem)),
@@ -435,12 +438,70 @@ a AS (SELECT 'users' AS what, count(DISTINCT user_id) AS actual FROM {R}
       UNION ALL SELECT 'items', count(DISTINCT item_id) FROM {R}
       UNION ALL SELECT 'ratings', count(*) FROM {R})
 SELECT coalesce(d.what, a.what) AS what, d.declared, a.actual, coalesce(d.declared = a.actual, false) AS ok
-FROM d FULL JOIN a ON d.what = a.what""")
+FROM d FULL JOIN a ON d.what = a.what"""
+
+
+def declared_totals(spark, sf) -> DataFrame:
+    """(what, declared): the rows of the three tables."""
+    return TK.union_all([table(spark, sf, name).agg(F.count(F.lit(1)).alias("declared")).select(F.lit(what).alias("what"), "declared")
+                         for what, name in (("users", "customer"), ("items", "part"), ("ratings", "lineitem"))])
+
+
+@query("A5_control_totals", A5_SQL)
 def a5(spark, sf):
-    declared = (table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("declared")).select(F.lit("users").alias("what"), "declared")
-                .unionByName(table(spark, sf, "part").agg(F.count(F.lit(1)).alias("declared")).select(F.lit("items").alias("what"), "declared"))
-                .unionByName(table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("declared")).select(F.lit("ratings").alias("what"), "declared")))
-    return A.control_totals(ratings_view(spark, sf), declared)
+    return A.control_totals(ratings_view(spark, sf), declared_totals(spark, sf))
+
+
+@query("A4_distinct_ids_of_merged_batches", f"SELECT count(DISTINCT user_id) AS distinct_user_id, count(DISTINCT item_id) AS distinct_item_id FROM {R}")
+def a4_merged(spark, sf):
+    """Four batches, each counted by itself into stored bitmaps; the exact counts come from merging those."""
+    batches = ratings_view(spark, sf, with_order=True).withColumn("batch", F.pmod(F.xxhash64("l_orderkey"), F.lit(4)))
+    path = work_dir(spark, "a4") + "/bitmaps"
+    stored = B.id_bitmaps(batches, ["user_id", "item_id"], ["batch"])
+    stored.write.partitionBy("batch").parquet(path)
+    return B.distinct_ids(spark.read.schema(stored.schema).parquet(path), ["user_id", "item_id"])
+
+
+@query("A3_page_totals_while_writing", f"SELECT count(*) AS total_items, CAST(ceil(count(*) / 10) AS BIGINT) AS total_pages FROM {ENR}")
+def a3_written(spark, sf):
+    """The job that writes the records counts them."""
+    path = work_dir(spark, "a3") + "/records"
+    seen = write_observed(_nested_records(spark, sf), lambda df: FS.write_json(df, path), n=F.count(F.lit(1)))
+    return spark.createDataFrame([(seen["n"], -(-seen["n"] // 10))], "total_items long, total_pages long")
+
+
+@query("A5_control_totals_while_writing", A5_SQL)
+def a5_written(spark, sf):
+    """Ratings counted by the job that stores the id bitmaps, users and items from the bitmaps."""
+    path = work_dir(spark, "a5") + "/bitmaps"
+    seen = write_observed(ratings_view(spark, sf), lambda df: B.id_bitmaps(df, ["user_id", "item_id"]).write.parquet(path),
+                          n=F.count(F.lit(1)))
+    ids = B.distinct_ids(spark.read.parquet(path), ["user_id", "item_id"])
+    actual = ids.select(F.col("distinct_user_id").alias("users"), F.col("distinct_item_id").alias("items"),
+                        F.lit(seen["n"]).cast("long").alias("ratings"))
+    return A.compare_totals(actual, declared_totals(spark, sf))
+
+
+@query("J4_A2_reviewers_on_bucketed_tables", f"""
+WITH act AS (SELECT user_id, count(*) AS activity_count FROM {R} GROUP BY user_id)
+SELECT DISTINCT r.item_id, r.user_id, a.activity_count, u.occupation
+FROM {R} r JOIN act a ON r.user_id = a.user_id JOIN {U} u ON r.user_id = u.user_id""")
+def j4_bucketed(spark, sf):
+    """Ratings and users lie in buckets of the user: counting, both joins and DISTINCT need no shuffle."""
+    r = write_bucketed(ratings_view(spark, sf).select("user_id", "item_id"), ["user_id"], 8)
+    u = write_bucketed(users_view(spark, sf).select("user_id", "occupation"), ["user_id"], 8)
+    return J.reviewers_with_activity(r, A.user_activity(r)).join(u, "user_id").select(
+        "item_id", "user_id", "activity_count", "occupation")
+
+
+@query("J1_J2_enrich_bucketed", f"SELECT user_id, item_id, rating, ts, title, age, gender, occupation FROM {ENR}")
+def j1_bucketed(spark, sf):
+    """Ratings joined to items where both lie, then laid out by user for the join with users."""
+    r = write_bucketed(ratings_view(spark, sf), ["item_id"], 8)
+    i = write_bucketed(items_view(spark, sf).select("item_id", "title"), ["item_id"], 8)
+    by_user = write_bucketed(r.join(i, "item_id"), ["user_id"], 8)
+    u = write_bucketed(users_view(spark, sf).select("user_id", "age", "gender", "occupation"), ["user_id"], 8)
+    return by_user.join(u, "user_id").select("user_id", "item_id", "rating", "ts", "title", "age", "gender", "occupation")
 
 
 @query("A7_min_activity_invariant", f"""
@@ -554,7 +615,21 @@ SELECT a.fold AS part_a, b.fold AS part_b,
 FROM ids a JOIN ids b ON a.fold < b.fold""")
 def u2(spark, sf):
     f = W.contiguous_kfold(events_view(spark, sf), ["seq"], 5)
-    return TK.overlap_counts(f, "fold", ["seq"])
+    return B.overlap_counts(f, "fold", "seq", range(1, 6))
+
+
+@query("U1_folds_make_the_whole", f"SELECT count(*) AS n_left, count(*) AS n_right, true AS same FROM {E}")
+def u1(spark, sf):
+    """Five fold files read back hold exactly the rows of the whole: one fingerprint, no join."""
+    whole = events_view(spark, sf).select("user_id", "item_id", "rating", F.col("seq").alias("timestamp"))
+    return FP.same_rows(s5(spark, sf), whole)
+
+
+@query("U3_train_and_test_make_the_whole", f"SELECT count(*) AS n_left, count(*) AS n_right, true AS same FROM {E}")
+def u3_whole(spark, sf):
+    ev = events_view(spark, sf).select("seq", "user_id", "item_id", "rating")
+    test = W.leave_n_out(ev, "user_id", ["seq"], 1, 10).filter("is_test").drop("is_test")
+    return FP.same_rows(ev, TK.union_all([J.complement(ev, test, ["seq"]), test]))
 
 
 @query("U3_J7_train_is_complement", f"""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 S = T.StringType
 
-# The event record as published (every leaf is a string).
+# The event record as published (every leaf is a string).
 EVENT_SCHEMA = T.StructType([
     T.StructField("movie", T.StructType([
         T.StructField("genres", T.ArrayType(S())),

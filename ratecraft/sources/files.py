@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ratecraft.functions.columns import one_hot_to_array
 
+# The columns of the published files, in their order.
 RATINGS_SCHEMA = T.StructType([
     T.StructField("user_id", T.IntegerType()),
     T.StructField("item_id", T.IntegerType()),
@@ -91,8 +92,9 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
 
 
 # writers ----------------------------------------------------------------------------
-def write_delimited(df: DataFrame, path: str, sep: str, encoding: str = "UTF-8") -> str:
-    (df.write.mode("overwrite").option("sep", sep).option("header", "false")
+def write_delimited(df: DataFrame, path: str, sep: str, encoding: str = "UTF-8", by: Sequence[str] = ()) -> str:
+    """One folder of delimited files, or with ``by`` one per value of those columns, in a single job."""
+    (df.write.partitionBy(*by).mode("overwrite").option("sep", sep).option("header", "false")
      .option("encoding", encoding).option("nullValue", "").csv(path))
     return path
 
