@@ -65,6 +65,43 @@ def parse_json(c: ColumnOrName, schema: T.StructType | str) -> Column:
     return F.from_json(_c(c), schema, {"mode": "PERMISSIVE"})
 
 
+def json_of_literals(c: ColumnOrName) -> Column:
+    r"""JSON text of a record printed as a literal: quotes '..' or "..", None, True, False, escapes \' and \xNN.
+
+    Strings are told from the rest first, so words and quotes inside them stay as they are.
+    """
+    mark = "\u0001"
+    strings = F.regexp_replace(_c(c), r"""'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)["]""", f"{mark}$1$2{mark}")
+
+    def outside(x: Column) -> Column:
+        for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            x = F.regexp_replace(x, rf"\b{word}\b", json)
+        return x
+
+    def inside(x: Column) -> Column:
+        x = F.regexp_replace(F.replace(x, F.lit("\\'"), F.lit("'")), r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+        return F.regexp_replace(x, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')
+
+    pieces = F.transform(F.split(strings, mark), lambda x, i: F.when(i % 2 == 0, outside(x)).otherwise(inside(x)))
+    return F.array_join(pieces, '"')
+
+
+def salvage_json(c: ColumnOrName, schema: T.StructType) -> Column:
+    """``schema`` read field by field: a field of the wrong type is null, and no other field is touched by it.
+
+    Text that is no JSON is tried once more as a printed literal; what cannot be
+    read either way is a null struct.
+    """
+    parsed = F.coalesce(F.try_parse_json(_c(c)), F.try_parse_json(json_of_literals(c)))
+
+    def field(path: str, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.struct(*[field(f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields])
+        return F.try_variant_get(parsed, path, kind.simpleString())
+
+    return F.when(parsed.isNotNull(), field("$", schema))
+
+
 # P7 ---------------------------------------------------------------------------
 def composite_key(*parts: ColumnOrName, sep: str = "_") -> Column:
     """``a_b`` key; null if any part is null (decision Q5, unlike concat_ws)."""

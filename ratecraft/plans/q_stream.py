@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratecraft.functions import columns as C
+from ratecraft.operators import topk as TK
 from ratecraft.plans.catalog import query
 from ratecraft.plans.q_core import GENRES_LIST_SQL, genres_col
 from ratecraft.session import work_dir
@@ -128,6 +129,38 @@ def r2(spark, sf):
     return ST.counts_table(spark, f"{base}/out").current().select("item_id", "rating_count", "rating_avg")
 
 
+def _state(spark, sf, name):
+    base = _replay(spark, sf, name, lambda stream, base: ST.start_state_store_counts(
+        stream, f"{base}/out", f"{base}/ckpt").query)
+    return ST.read_counts(spark, f"{base}/ckpt")
+
+
+@query("S10_read_state_store", f"""
+SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
+def s10_state(spark, sf):
+    """The live state of the keyed stream, read from its checkpoint."""
+    return _state(spark, sf, "s10s")
+
+
+@query("S10_point_read_state_store", f"""
+WITH s AS (SELECT item_id, count(*) AS rating_count FROM {EV_ENR} GROUP BY item_id)
+SELECT item_id, rating_count FROM s ORDER BY rating_count DESC, item_id LIMIT 1""")
+def s10_state_key(spark, sf):
+    """One key of the live state: that of the most rated item."""
+    state = _state(spark, sf, "s10k")
+    rated = event_messages(spark, sf).groupBy(F.col("record.movie.movieId").cast("long").alias("item_id")).count()
+    top = TK.top_k(rated, [F.desc("count"), F.asc("item_id")], 1).first()
+    return state.where(F.col("item_id") == F.lit(top["item_id"] if top else None)).select("item_id", "rating_count")
+
+
+@query("R1_Q5_batch_totals", f"SELECT count(*) AS n_messages, CAST(0 AS BIGINT) AS n_quarantined FROM {EV_ENR}")
+def r1_totals(spark, sf):
+    """Messages and quarantined records of all batches, counted by the jobs that wrote them."""
+    done = _run_rating_stream(spark, sf, "r1t").batches()
+    return done.agg(F.coalesce(F.sum("n_messages"), F.lit(0)).alias("n_messages"),
+                    F.coalesce(F.sum("n_quarantined"), F.lit(0)).alias("n_quarantined"))
+
+
 def _to_files(stream, base):
     return (stream.writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())

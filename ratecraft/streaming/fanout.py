@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ from ratecraft.functions import columns as C
 from ratecraft.operators.windows import contiguous_kfold
 from ratecraft.schemas import EVENT_SCHEMA
 from ratecraft.session import work_dir
-from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog
+from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog, exists
 
 # The published record plus an optional sequence number (an extra field is
 # ignored by readers that do not know it).
@@ -96,11 +96,12 @@ def message_stream(spark: SparkSession, path: str | None = None, *, fmt: str = "
 def parse_messages(df: DataFrame, id_type: str = "long") -> DataFrame:
     """value bytes -> typed, flat event rows (+ the raw text for quarantine).
 
-    Ids become ``id_type``: "long", where other ids go to quarantine, or
-    "string", where they stay as they are.
+    Fields are read one by one, so a bad one costs no other.  Ids become
+    ``id_type``: "long", where other ids go to quarantine, or "string", where they
+    stay as they are.
     """
     txt = df.select(C.payload_text("value").alias("raw"))
-    p = txt.select("raw", C.parse_json("raw", MESSAGE_SCHEMA).alias("d"))
+    p = txt.select("raw", C.salvage_json("raw", MESSAGE_SCHEMA).alias("d"))
     return p.select(
         "raw",
         F.col("d.movie.movieId").try_cast(id_type).alias("item_id"),
@@ -170,6 +171,13 @@ class RatingTables:
         return r.groupBy(F.col("movie.movieId").cast(self.id_type).alias("item_id")).agg(
             F.count("rating").alias("rating_count"), F.avg("rating").alias("rating_avg"))
 
+    def batches(self) -> DataFrame:
+        """(batch, n_messages, n_quarantined) of every committed batch."""
+        schema = "batch long, n_messages long, n_quarantined long"
+        if not exists(self.spark, self.commits_path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.commits_path).select("batch", "n_messages", "n_quarantined")
+
     def quarantined(self) -> DataFrame:
         return self._log("quarantine").rows()
 
@@ -180,7 +188,10 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int) -> None
     parsed = parse_messages(batch, tables.id_type).persist()
     try:
         good, bad = split_quarantine(parsed)
-        tables._log("quarantine").write_batch(bad, batch_id)
+        # the first job over the batch counts its messages, the job that writes the bad records counts those
+        read, held = Observation(), Observation()
+        _, seen_bad = split_quarantine(parsed.observe(read, F.count(F.lit(1)).alias("n")))
+        tables._log("quarantine").write_batch(seen_bad.observe(held, F.count(F.lit(1)).alias("n")), batch_id)
 
         ordkey = F.struct("ts", "seq")
         movies = good.groupBy("item_id").agg(
@@ -202,8 +213,9 @@ def process_batch(tables: RatingTables, batch: DataFrame, batch_id: int) -> None
                      "occupation").alias("user"))
         tables.reviews.write_batch(reviews, batch_id)
 
-        done = tables.spark.range(1).select(F.lit(int(batch_id)).cast("long").alias("batch"))
-        done.coalesce(1).write.mode("overwrite").parquet(f"{tables.commits_path}/batch_id={int(batch_id)}")
+        totals = [F.lit(x).cast("long").alias(c) for c, x in (("batch", int(batch_id)), ("n_messages", read.get["n"]),
+                                                              ("n_quarantined", held.get["n"]))]
+        tables.spark.range(1).select(*totals).coalesce(1).write.mode("overwrite").parquet(f"{tables.commits_path}/batch_id={int(batch_id)}")
     finally:
         parsed.unpersist()
 

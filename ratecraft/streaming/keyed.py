@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ratecraft.operators.windows import latest_per_key
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """True if ``path`` holds at least one entry (a file-system call on the
     driver, no Spark job and no footer reads)."""
     jvm = spark.sparkContext._jvm
@@ -50,14 +50,14 @@ class _ChangeLog:
 
     def rows(self, before: int | None = None) -> DataFrame | None:
         """Logged rows of committed batches (optionally only batches < before)."""
-        if not _exists(self.spark, self.changes_path):
+        if not exists(self.spark, self.changes_path):
             return None
         rows = self.spark.read.parquet(self.changes_path)
         if before is not None:
             rows = rows.filter(F.col("batch_id") < F.lit(before))
         if self.commits is None:
             return rows
-        if not _exists(self.spark, self.commits):
+        if not exists(self.spark, self.commits):
             return rows.limit(0)
         done = self.spark.read.parquet(self.commits).select("batch_id").distinct()
         return rows.join(done, "batch_id", "left_semi")

@@ -53,6 +53,20 @@ def start_state_store_counts(stream: DataFrame, out_path: str, checkpoint: str,
     return StateStoreRun(w.start(), table)
 
 
+# S10 ----------------------------------------------------------------------------------
+def read_counts(spark: SparkSession, checkpoint: str, key: str = "item_id") -> DataFrame:
+    """(key, rating_count, rating_avg) out of the state of ``start_state_store_counts`` itself.
+
+    The last committed batch of the checkpoint is read, one task a state
+    partition; nothing has to be written for it and the stream may go on.  A
+    filter on the key gives the point read.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    n, total = F.col("value.count"), F.col("value.sum")
+    return state.select(F.col(f"key.{key}").alias(key), n.alias("rating_count"),
+                        F.when(n > 0, total / n).alias("rating_avg"))
+
+
 # R3 -----------------------------------------------------------------------------------
 RUNNING_SCHEMA = "seq long, rating_count long, rating_avg double"
 UNSET = -(1 << 63)  # stands for null where rows are put in order

@@ -237,3 +237,48 @@ def test_kafka_gets_the_callers_options_only():
     given = {"kafka.bootstrap.servers": "host:1", "subscribe": "topic"}
     assert P.message_stream(Session, fmt="kafka", options=given).seen == {
         "format": "kafka", "options": given, "select": "value"}
+
+
+def test_good_fields_survive_bad_ones(spark):
+    """Records printed as literals, records with a missing or wrong field, and text that is no record."""
+    user = {"userId": "7", "age": "30", "gender": "F", "occupation": "x"}
+    movie = {"movieId": "9", "title": "It's \"quoted\" \\ caf\u00e9, None: True\u00a0", "genres": ["Drama", "Sci-Fi"]}
+    whole = {"user": user, "movie": movie, "rating": "4", "timestamp": "880000000"}
+
+    def read(text):
+        df = spark.createDataFrame([(text,)], "v string").select(F.col("v").cast("binary").alias("value"))
+        return P.parse_messages(df).drop("raw").first()
+
+    good = read(json.dumps(whole))
+    assert (good.item_id, good.user_id, good.rating, good.title, good.genres) == (9, 7, 4.0, movie["title"], movie["genres"])
+    assert read(str(whole)) == good                                        # printed, with an escaped character
+    no_title = read(str({**whole, "movie": {**movie, "title": None}}))     # a None nulls itself only
+    assert no_title.title is None and no_title.asDict() == {**good.asDict(), "title": None}
+    first_bad = read(json.dumps({"movie": "gone", **{k: v for k, v in whole.items() if k != "movie"}}))
+    assert first_bad.item_id is None and (first_bad.user_id, first_bad.rating, first_bad.age) == (7, 4.0, 30)
+    odd = read(json.dumps({**whole, "user": {**user, "age": ["?"]}, "movie": {**movie, "genres": "Drama"}}))
+    assert odd.age is None and odd.genres is None and (odd.item_id, odd.user_id, odd.title) == (9, 7, movie["title"])
+    assert read(json.dumps({**whole, "user": {**user, "age": 30, "userId": 7}})) == good  # numbers read as text
+    assert set(read("{'user': ").asDict().values()) == set(read("").asDict().values()) == {None}
+
+
+def test_batches_are_counted_by_their_jobs(spark, tmp):
+    msgs = _messages(spark, 50).select("value")
+    tables = P.RatingTables(spark, f"{tmp}/out")
+    assert tables.batches().count() == 0
+    P.process_batch(tables, msgs.union(spark.createDataFrame([(b"no record",)], "value binary")), 0)
+    P.process_batch(tables, msgs.limit(0), 1)
+    assert sorted(tuple(r) for r in tables.batches().collect()) == [(0, 51, 1), (1, 0, 0)]
+
+
+def test_state_is_read_back_from_the_checkpoint(spark, tmp):
+    msgs = _messages(spark, 200)
+    P.write_slices(msgs, ["seq"], 2, f"{tmp}/in", files_per_slice=1)
+    P.drain(ST.start_state_store_counts(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), f"{tmp}/out",
+                                        f"{tmp}/ck").query)
+    state = ST.read_counts(spark, f"{tmp}/ck")
+    want = {r.item_id: (r.rating_count, r.rating_avg) for r in A.item_stats(
+        P.split_quarantine(P.parse_messages(msgs))[0]).collect()}
+    assert {r.item_id: (r.rating_count, r.rating_avg) for r in state.collect()} == want
+    assert [r.rating_count for r in state.where("item_id = 0").collect()] == [want[0][0]]
+    assert state.where("item_id = 999").count() == 0
