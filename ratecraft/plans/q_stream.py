@@ -1,10 +1,10 @@
-"""Registered queries: streams drained from ordered slices of the events.
+"""Registered queries: streams over the pages of the events.
 
-Each query writes the events (joined to item and user attributes, as the
-page service does) as JSON message payloads in ordered slices under the
-shared checkpoint folder, drains the stream with ``availableNow`` after each
-slice (so every slice is one micro-batch and every start but the first
-resumes from the checkpoint), and returns a view of what the stream wrote.
+Each query lays the events (joined to item and user attributes, as the page
+service does) down in order as JSON message payloads behind a page index, and
+replays them: a stream whose offset is the page number takes a quarter of the
+pages in a micro-batch and stops, and every start but the first resumes from the
+checkpoint.  The query returns a view of what the stream wrote.
 """
 
 from __future__ import annotations
@@ -13,21 +13,22 @@ from pyspark.sql import functions as F
 
 from ratecraft.functions import columns as C
 from ratecraft.operators import topk as TK
+from ratecraft.operators.paging import PageIndex
+from ratecraft.operators.windows import contiguous_kfold
 from ratecraft.plans.catalog import query
 from ratecraft.plans.q_core import GENRES_LIST_SQL, genres_col
 from ratecraft.session import work_dir
+from ratecraft.sources.page_stream import page_stream
 from ratecraft.sources.tables import (EVENTS_SQL, ITEMS_SQL, USERS_SQL, events_view,
                                       items_view, users_view)
 from ratecraft.streaming import fanout as P
 from ratecraft.streaming import stateful as ST
+from ratecraft.streaming.keyed import LatestTable
 
-MIN_SLICES, ROWS_PER_SLICE = 4, 5_000_000
+PER_PAGE = 10
+MIN_BATCHES, ROWS_PER_BATCH = 4, 5_000_000
 
 
-def _n_slices(rows: int) -> int:
-    """Slices of about ``ROWS_PER_SLICE`` events, four at least."""
-    return max(MIN_SLICES, -(-rows // ROWS_PER_SLICE))
-
 EV_ENR = (f"(SELECT e.seq, e.item_id, e.user_id, e.rating, date_trunc('second', e.ts) AS ts, i.title, "
           f"array_to_string({GENRES_LIST_SQL}, ',') AS genres_text, u.age, u.gender, u.occupation "
           f"FROM {EVENTS_SQL} e JOIN {ITEMS_SQL} i ON e.item_id = i.item_id "
@@ -53,11 +54,21 @@ def _payload(spark, sf):
     return event_messages(spark, sf).select("seq", F.to_json("record").cast("binary").alias("value"))
 
 
-def _replay(spark, sf, name, start):
-    """Slice by slice: write it, ``start(stream, base)`` a query, drain it.  Returns the base folder."""
-    base, rows = work_dir(spark, name), events_view(spark, sf).count()
-    P.write_slices(_payload(spark, sf), ["seq"], _n_slices(rows), f"{base}/in",
-                   after_each=lambda i: P.drain(start(P.message_stream(spark, f"{base}/in"), base)))
+def _pages(spark, sf, base):
+    """(index of the payloads, pages a micro-batch takes, micro-batches): four at least, of 5 million events at most."""
+    index = PageIndex.build(_payload(spark, sf), ["seq"], f"{base}/in")
+    pages = -(-index.total() // PER_PAGE)
+    step = max(1, min(-(-pages // MIN_BATCHES), ROWS_PER_BATCH // PER_PAGE))
+    return index, step, -(-pages // step)
+
+
+def _replay(spark, sf, name, start, after=lambda i, index, step: None):
+    """Until the pages are through: ``start(stream, base)`` a query, drain it.  Returns the base folder."""
+    base = work_dir(spark, name)
+    index, step, batches = _pages(spark, sf, base)
+    for i in range(max(batches, 1)):
+        P.drain(start(page_stream(index, PER_PAGE, step).select("value"), base))
+        after(i, index, step)
     return base
 
 
@@ -95,7 +106,7 @@ def r5(spark, sf):
 SELECT seq, item_id, count(*) OVER w AS rating_count, avg(rating) OVER w AS rating_avg
 FROM {EV_ENR} WINDOW w AS (PARTITION BY item_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def r3(spark, sf):
-    """(n, sum) per item in the state store: every slice is a micro-batch that resumes from the checkpoint."""
+    """(n, sum) per item in the state store, resumed from the checkpoint for every micro-batch."""
     base = _replay(spark, sf, "r3", lambda stream, base: ST.start_running_values(stream, f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
@@ -103,20 +114,21 @@ def r3(spark, sf):
 @query("R4_R7_restart_and_replay_idempotent", f"""
 SELECT item_id, count(*) AS rating_count, avg(rating) AS rating_avg FROM {EV_ENR} GROUP BY item_id""")
 def r4(spark, sf):
-    """Stop after every slice, re-run an already committed batch (as a retry
+    """Stop after every micro-batch, re-run an already committed one (as a retry
     after a lost executor would), restart from the checkpoint for the next:
     the movie state equals one clean pass."""
-    base = work_dir(spark, "r4")
-    tables = P.RatingTables(spark, f"{base}/out")
+    def tables(base):
+        return P.RatingTables(spark, f"{base}/out")
+
+    def start(stream, base):
+        return P.start_rating_stream(stream, tables(base), f"{base}/ckpt")
 
-    def after(i):
-        P.drain(P.start_rating_stream(P.message_stream(spark, f"{base}/in"), tables, f"{base}/ckpt"))
-        if i == 2:  # a retried batch: batch 1 processed again from its input
-            P.process_batch(tables, spark.read.parquet(f"{base}/in/slice=000002"), 1)
+    def again(i, index, step):
+        if i == 1:  # the second batch processed once more from its pages
+            rows = step * PER_PAGE
+            P.process_batch(tables(index.path.rsplit("/", 1)[0]), index.slice(rows, 2 * rows).select("value"), 1)
 
-    P.write_slices(_payload(spark, sf), ["seq"], _n_slices(events_view(spark, sf).count()), f"{base}/in",
-                   after_each=after)
-    return tables.item_stats().select("item_id", "rating_count", "rating_avg")
+    return tables(_replay(spark, sf, "r4", start, again)).item_stats().select("item_id", "rating_count", "rating_avg")
 
 
 @query("R2_state_store_item_stats", f"""
@@ -178,8 +190,7 @@ def k3(spark, sf):
 
 @query("S7_S9_R8_replay_all_rows_once", f"SELECT seq, item_id, user_id, rating FROM {EV_ENR}")
 def s9(spark, sf):
-    """Ordered slices replayed through a file stream that stops after each and resumes: every row
-    arrives once."""
+    """Pages replayed through a stream that stops after each quarter and resumes: every row arrives once."""
     base = _replay(spark, sf, "s9", lambda stream, base: _to_files(
         P.parse_messages(stream).select("seq", "item_id", "user_id", "rating"), base))
     return spark.read.parquet(f"{base}/out")
@@ -191,10 +202,8 @@ SELECT review_id, rating, seq FROM (
          row_number() OVER (PARTITION BY user_id, item_id ORDER BY seq DESC) AS rn FROM {EVENTS_SQL}) WHERE rn = 1""")
 def k1(spark, sf):
     """Batch upsert: each contiguous fold of the events is one upsert batch."""
-    from ratecraft.operators.windows import contiguous_kfold
-    from ratecraft.streaming.keyed import LatestTable
     events = events_view(spark, sf)
-    n = _n_slices(events.count())
+    n = max(MIN_BATCHES, -(-events.count() // ROWS_PER_BATCH))
     ev = contiguous_kfold(events, ["seq"], n)
     t = LatestTable(spark, work_dir(spark, "k1"), ["review_id"], ["seq"])
     rows = ev.select(C.composite_key("user_id", "item_id").alias("review_id"), "rating", "seq", "fold")

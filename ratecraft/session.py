@@ -7,8 +7,10 @@ are read back from the running session.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,9 +52,14 @@ def build_session(master: str | None = None, app_name: str = "ratecraft",
 
 
 def apply_runtime_defaults(spark: SparkSession) -> None:
-    """Set the SQL-level defaults on an existing session (e.g. the driver's)."""
+    """Set the SQL-level defaults on an existing session (e.g. the driver's), and let its Python
+    workers import this package from where the driver has it, if it is not installed there."""
     for k, v in DEFAULT_CONF.items():
         spark.conf.set(k, v)
+    here, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, here])
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -1,4 +1,4 @@
-"""Rating event streams.
+"""Rating event streams.
 
 One streaming query reads message payloads, parses them against the
 declared record schema, sets aside records whose key parts are missing
@@ -19,7 +19,6 @@ and merged with the stored totals, not read-modify-written per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,9 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecraft.functions import columns as C
-from ratecraft.operators.windows import contiguous_kfold
 from ratecraft.schemas import EVENT_SCHEMA
-from ratecraft.session import work_dir
 from ratecraft.streaming.keyed import AdditiveTable, LatestTable, _ChangeLog, exists
 
 # The published record plus an optional sequence number (an extra field is
@@ -38,37 +35,6 @@ MESSAGE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [T.StructField("seq", T.Stri
 PAYLOAD_SCHEMA = T.StructType([T.StructField("value", T.BinaryType())])
 
 
-# S9 / R8 -----------------------------------------------------------------------------
-def write_slices(df: DataFrame, order: list[str], n_slices: int, path: str,
-                 files_per_slice: int | None = None,
-                 after_each: Callable[[int], None] | None = None) -> list[str]:
-    """Write ``df`` as ``n_slices`` contiguous slices in ``order``, one job
-    per slice and in order, so a file stream meets them oldest first.
-
-    Slice ids come from the distributed row index (no single-task sort) and are
-    laid down once, partitioned by slice.  A slice has as many files as its size
-    calls for, unless ``files_per_slice`` sets fewer.  ``after_each(i)`` runs when
-    slice i (from 1) is in place: a replay drains its stream there, so that every
-    slice is a batch of its own whatever its files.
-    """
-    spark = df.sparkSession
-    sliced = contiguous_kfold(df, order, n_slices, fold_col="_slice")
-    staged = work_dir(spark, "slices") + "/rows"
-    sliced.write.partitionBy("_slice").parquet(staged)
-    rows = spark.read.schema(sliced.schema).parquet(staged)
-    paths = []
-    for i in range(1, n_slices + 1):
-        part = rows.filter(F.col("_slice") == i).drop("_slice")
-        if files_per_slice:
-            part = part.coalesce(files_per_slice)
-        p = f"{path.rstrip('/')}/slice={i:06d}"
-        part.write.mode("overwrite").parquet(p)
-        paths.append(p)
-        if after_each:
-            after_each(i)
-    return paths
-
-
 # S7 / S8 -----------------------------------------------------------------------------
 def message_stream(spark: SparkSession, path: str | None = None, *, fmt: str = "parquet",
                    max_files_per_trigger: int | None = None, options: dict[str, str] | None = None

@@ -33,10 +33,18 @@ def expected_running(parsed):
     return {r.seq: (r.item_id, r.run_count, round(r.run_mean, 9)) for r in rows}
 
 
+def write_slices(msgs, n, path):
+    """Message files in ``n`` contiguous slices, one file each, oldest first."""
+    folded = W.contiguous_kfold(msgs, ["seq"], n)
+    for i in range(1, n + 1):
+        folded.filter(F.col("fold") == i).drop("fold").coalesce(1).write.parquet(f"{path}/slice={i:06d}")
+    return [f"{path}/slice={i:06d}" for i in range(1, n + 1)]
+
+
 @pytest.mark.parametrize("n_slices", [1, 2, 7])
 def test_stream_equals_batch(spark, tmp, n_slices):
     msgs = _messages(spark)
-    P.write_slices(msgs, ["seq"], n_slices, f"{tmp}/in", files_per_slice=1)
+    write_slices(msgs, n_slices, f"{tmp}/in")
     tables = P.RatingTables(spark, f"{tmp}/out")
     P.drain(P.start_rating_stream(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), tables, f"{tmp}/ck"))
     parsed, _ = P.split_quarantine(P.parse_messages(msgs))
@@ -91,7 +99,7 @@ def test_bad_records_are_quarantined(spark, tmp):
 
 def test_restart_from_checkpoint_processes_only_new_slices(spark, tmp):
     msgs = _messages(spark, 200)
-    staged = P.write_slices(msgs, ["seq"], 4, f"{tmp}/staged", files_per_slice=1)
+    staged = write_slices(msgs, 4, f"{tmp}/staged")
     tables = P.RatingTables(spark, f"{tmp}/out")
     for p in staged[:2]:
         spark.read.parquet(p).write.parquet(f"{tmp}/in/{p.rsplit('/', 1)[1]}")
@@ -141,7 +149,7 @@ def test_late_event_has_a_running_row_when_it_comes(spark, tmp):
 def test_running_values_cost_the_same_in_every_batch(spark, tmp):
     """Twenty micro-batches: the state holds a row an item, and a batch reads its own events only."""
     msgs = _messages(spark, 600)
-    P.write_slices(msgs, ["seq"], 20, f"{tmp}/in", files_per_slice=1)
+    write_slices(msgs, 20, f"{tmp}/in")
     query = ST.start_running_values(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), f"{tmp}/run", f"{tmp}/ck")
     P.drain(query)
     batches = [p for p in query.recentProgress if p["numInputRows"]]
@@ -200,15 +208,30 @@ def test_string_ids(spark, tmp):
     assert as_numbers.quarantined().count() == 3
 
 
-def test_replay_slice_by_slice_with_several_files(spark, tmp):
-    msgs = _messages(spark, 300)
+def test_pages_are_replayed_once_over_stops_and_restarts(spark, tmp):
+    """Three starts of one micro-batch each, then none; a running stream takes a step per trigger."""
+    from ratecraft.operators.paging import PageIndex
+    from ratecraft.sources.page_stream import page_stream
+    index = PageIndex.build(_messages(spark, 300), ["seq"], f"{tmp}/pages", parts=5)
     tables = P.RatingTables(spark, f"{tmp}/out")
-    P.write_slices(msgs, ["seq"], 3, f"{tmp}/in", after_each=lambda i: P.drain(
-        P.start_rating_stream(P.message_stream(spark, f"{tmp}/in"), tables, f"{tmp}/ck")))
-    assert spark.read.parquet(tables.movies.changes_path).select("batch_id").distinct().count() == 3
-    parsed, _ = P.split_quarantine(P.parse_messages(msgs))
+    offsets = []
+    for _ in range(4):
+        stream = page_stream(PageIndex(spark, f"{tmp}/pages"), 10, 12).select("value")
+        query = P.start_rating_stream(stream, tables, f"{tmp}/ck")
+        P.drain(query)
+        offsets += [(p["numInputRows"], p["sources"][0]["endOffset"]) for p in query.recentProgress if p["numInputRows"]]
+    assert offsets == [(120, "{'page': 12}"), (120, "{'page': 24}"), (60, "{'page': 30}")]
+    parsed, _ = P.split_quarantine(P.parse_messages(_messages(spark, 300)))
     want = {r.item_id: r.rating_count for r in A.item_stats(parsed).collect()}
     assert {r.item_id: r.rating_count for r in tables.item_stats().collect()} == want
+    query = (page_stream(index, 10, 12).writeStream.format("parquet").option("path", f"{tmp}/rows")
+             .option("checkpointLocation", f"{tmp}/ck2").trigger(processingTime="200 milliseconds").start())
+    try:
+        query.processAllAvailable()
+        assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [120, 120, 60]
+    finally:
+        query.stop()
+    assert sorted(r.seq for r in spark.read.parquet(f"{tmp}/rows").collect()) == list(range(300))
 
 
 def test_kafka_gets_the_callers_options_only():
@@ -273,7 +296,7 @@ def test_batches_are_counted_by_their_jobs(spark, tmp):
 
 def test_state_is_read_back_from_the_checkpoint(spark, tmp):
     msgs = _messages(spark, 200)
-    P.write_slices(msgs, ["seq"], 2, f"{tmp}/in", files_per_slice=1)
+    write_slices(msgs, 2, f"{tmp}/in")
     P.drain(ST.start_state_store_counts(P.message_stream(spark, f"{tmp}/in", max_files_per_trigger=1), f"{tmp}/out",
                                         f"{tmp}/ck").query)
     state = ST.read_counts(spark, f"{tmp}/ck")
