@@ -23,7 +23,7 @@ from .token_counts import SPACE_MARK
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST_TAUGHT = 48  # longer letter runs teach in pieces of this length
-PIECE_BYTES = 2 << 20  # text decided at a time
+PIECE_BYTES = 1 << 19  # text decided at a time
 
 
 def words_of(text: str | None) -> list[str]:
@@ -201,7 +201,7 @@ class Decider:
 
     def __init__(self, model: Model):
         self.model, self.width = model, len(model.languages) + 1
-        self.memo = WordMemo(model.solver(), limit=200_000, dtype=np.float64) if model.languages else None
+        self.memo = WordMemo(model.solver(), limit=150_000, dtype=np.float64) if model.languages else None
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         best, score = np.full(len(texts), -1), np.zeros(len(texts))

@@ -26,7 +26,7 @@ BLOCK = 64
 LONG_WORD = 8  # letters
 COMMON = 512  # terms held as a dense matrix
 BATCH = 64  # queries
-PIECE_BYTES = 2 << 20  # text scored at a time
+PIECE_BYTES = 1 << 19  # text scored at a time
 SLACK = 1e-6  # rounding of sums; bounds are raised by it
 ROUGH = 1e-4  # far above the rounding of a sum in single precision
 
@@ -230,7 +230,7 @@ def _distinct_words(df: DataFrame) -> DataFrame:
     """(word, group, toxic), once per document, of (text, toxic) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(0)):
+            for lo, hi in as_bytes_batches(batch.column(0), PIECE_BYTES):
                 sets = [set(words_of(t)) for t in batch.column(0).slice(lo, hi - lo).to_pylist()]
                 sizes = list(map(len, sets))
                 group = np.repeat([_signature(s) for s in sets], sizes)
@@ -283,7 +283,7 @@ def _document_counts(texts: DataFrame, words: Broadcast) -> pa.Table:
         place = {w: i for i, w in enumerate(words.value)}
         n = np.zeros(len(place), dtype=np.int64)
         for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(0)):
+            for lo, hi in as_bytes_batches(batch.column(0), PIECE_BYTES):
                 n += np.bincount(_cells(batch.column(0).slice(lo, hi - lo).to_pylist(), place)[1], minlength=len(n))
         term = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n[term])], names=["term", "n"])
@@ -353,7 +353,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, place = shared.value, {w: i for i, w in enumerate(words.value)}
         for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(0)):
+            for lo, hi in as_bytes_batches(batch.column(0), PIECE_BYTES):
                 texts, ids = (c.slice(lo, hi - lo) for c in batch.columns)
                 score, evidence = model.score(*_vectors(texts.to_pylist(), place))
                 near = [[{"id": i, "cosine": c, "toxic": int(y)} for i, c, y in zip(*e)] for e in evidence]
