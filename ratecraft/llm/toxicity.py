@@ -1,9 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The index holds every word of a bounded sample of labelled documents.  The most
-common words lie in blocks of examples; the largest weight of each in a block
-bounds the block's scores, so blocks that cannot hold one of the k nearest are
-never read for them.
+The index holds every word of a bounded sample of labelled documents, weighted
+by idf and by how much the word tells of the label.  The largest weight of each
+word in a block of examples bounds the block's scores, so blocks that cannot hold
+one of the k nearest are never read.  The nearest vote, and are the evidence.
 """
 
 from __future__ import annotations
@@ -26,19 +26,23 @@ BLOCK = 64
 LONG_WORD = 8  # letters
 COMMON = 512  # terms held as a dense matrix
 BATCH = 64  # queries
+FIRST = 3  # blocks read before the others are held against the kth score
+FLOOR, LEAST_CHI2, SCALE = 0.1, 6.0, 10.0  # weight of a word by its dependence on the label, see ``term_weights``
 PIECE_BYTES = 1 << 19  # text scored at a time
 SLACK = 1e-6  # rounding of sums; bounds are raised by it
 ROUGH = 1e-4  # far above the rounding of a sum in single precision
 
 
 class BlockMaxIndex:
-    """Unit TF-IDF vectors of labelled examples, searched for the exact k nearest.
-
-    Posting lists hold the rarer terms and are summed in full.  The ``COMMON``
-    most used terms, whose lists would be long, lie as a dense matrix in blocks
-    of examples: a block is multiplied only for the queries whose sum of the
-    rarer terms and block bound can still reach their k nearest.  Weights are
-    kept in single precision and summed in double.
+    """Unit vectors of labelled examples, searched for the exact k nearest.
+
+    Examples lie in blocks of 64.  A term's posting list is cut at the blocks, and
+    each piece keeps its largest weight; the ``COMMON`` most used terms, whose
+    lists hold most examples, lie as a dense matrix with its largest weights per
+    block.  A query adds up these maxima to a bound for every block, reads the
+    ``FIRST`` blocks of largest bound, and then those others whose bound can reach
+    its kth score.  No other posting is read.  Weights are kept in single
+    precision and summed in double; ``blocks_read`` and ``blocks_asked`` count.
     """
 
     def __init__(self, ids: list, toxic: np.ndarray, rows: list[np.ndarray], values: list[np.ndarray], terms: int):
@@ -48,6 +52,8 @@ class BlockMaxIndex:
         self.ids, self.toxic = [ids[i] for i in at], toxic[at]
         rows, values = [rows[i] for i in at], [values[i] for i in at]
         self.n = len(rows)
+        self.blocks = -(-self.n // BLOCK)
+        self.blocks_read = self.blocks_asked = 0
         term = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         example = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
         weight = (np.concatenate(values) if values else np.zeros(0)).astype(np.float32)
@@ -59,47 +65,75 @@ class BlockMaxIndex:
         column = self.place[term]
         self.dense = np.zeros((self.n, len(common)), dtype=np.float32)
         self.dense[example[column >= 0], column[column >= 0]] = weight[column >= 0]
-        self.edges = np.arange(0, self.n, BLOCK)
-        self.bound = (np.maximum.reduceat(self.dense, self.edges, axis=0) if self.n else self.dense).T.astype(float)
+        edges = np.arange(0, self.n, BLOCK)
+        self.bound = (np.maximum.reduceat(self.dense, edges, axis=0) if self.n else self.dense).T.astype(float)
         term, example, weight = term[column < 0], example[column < 0], weight[column < 0]
         order = np.argsort(term, kind="stable")  # examples ascend already
-        self.example, self.weight = example[order], weight[order]
-        self.start = np.searchsorted(term[order], np.arange(terms + 1))
-
-    def _rarer(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
-        size = self.start[row + 1] - self.start[row]
-        at = ragged(self.start[row], size)
-        return np.bincount(self.example[at], weights=self.weight[at] * np.repeat(value, size), minlength=self.n)
+        term, self.example, self.weight = term[order], example[order], weight[order]
+        # pieces of the lists: one per term and block that has it
+        block = self.example // BLOCK
+        cut = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(block) != 0)])) if len(term) else (
+            np.zeros(0, np.int64))
+        self.piece_block = block[cut].astype(np.int16)
+        self.piece_max = np.maximum.reduceat(self.weight, cut) if len(cut) else np.zeros(0, np.float32)
+        self.piece = np.append(cut, len(term)).astype(np.int32)  # places in the lists
+        self.start = np.searchsorted(term[cut], np.arange(terms + 1)).astype(np.int32)  # a term's pieces
+
+    def _read(self, blocks: np.ndarray, pieces, of, query, rare, both) -> None:
+        """Set the scores of the examples of some blocks: by the rarer terms, exact, and by all, to single precision."""
+        here = np.zeros(self.blocks, dtype=bool)
+        here[blocks] = True
+        some = np.flatnonzero(here[self.piece_block[pieces]])
+        first = self.piece[pieces[some]]
+        size = self.piece[pieces[some] + 1] - first
+        at = ragged(first, size)
+        rare += np.bincount(self.example[at], weights=self.weight[at] * np.repeat(of[some], size), minlength=self.n)
+        for lo in (blocks * BLOCK).tolist():
+            both[lo:lo + BLOCK] = rare[lo:lo + BLOCK] + self.dense[lo:lo + BLOCK] @ query
+        self.blocks_read += len(blocks)
 
     def nearest_of(self, rows: list[np.ndarray], values: list[np.ndarray], k: int,
                    without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of every query; common terms are multiplied for ``BATCH`` queries at a time."""
+        """``nearest`` of every query; the bounds by common terms are multiplied for ``BATCH`` queries at a time."""
         if not self.n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(rows)
-        out, last = [], max(self.n - k, 0)  # place of the kth largest in a partition
+        out = []
         for lo in range(0, len(rows), BATCH):
             some = range(lo, min(lo + BATCH, len(rows)))
-            query, sums = np.zeros((len(some), self.dense.shape[1])), np.zeros((len(some), self.n))
+            query = np.zeros((len(some), self.dense.shape[1]))
             for j, i in enumerate(some):
                 column = self.place[rows[i]]
                 query[j, column[column >= 0]] = values[i][column >= 0]
-                sums[j] = self._rarer(rows[i][column < 0], values[i][column < 0])
-                if without is not None and without[i] >= 0:
-                    sums[j, without[i]] = -np.inf
-            need = np.partition(sums, last, axis=1)[:, last]  # weights are positive: scores are no smaller
-            reach = np.maximum.reduceat(sums, self.edges, axis=1) + query @ self.bound + SLACK >= need[:, None]
-            rough, single = np.full(sums.shape, -np.inf, dtype=np.float32), query.astype(np.float32)
-            for b, at in enumerate(self.edges.tolist()):
-                asked = slice(None) if reach[:, b].all() else np.flatnonzero(reach[:, b])
-                rough[asked, at:at + BLOCK] = sums[asked, at:at + BLOCK] + single[asked] @ self.dense[at:at + BLOCK].T
-            need = np.partition(rough, last, axis=1)[:, last] - ROUGH
-            for j in range(len(some)):
-                hit = np.flatnonzero((rough[j] >= need[j]) & (rough[j] > 0))
-                score = sums[j, hit] + self.dense[hit].astype(float) @ query[j]
-                best = np.lexsort((hit, -np.round(score, 12)))[:k]
-                out.append((hit[best], score[best]))
+            bounds = query @ self.bound + SLACK
+            for j, i in enumerate(some):
+                rare = self.place[rows[i]] < 0
+                out.append(self._nearest(rows[i][rare], values[i][rare], query[j], bounds[j], k,
+                                         -1 if without is None else without[i]))
         return out
 
+    def _nearest(self, row, value, query, bound, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        size = self.start[row + 1] - self.start[row]
+        pieces, of = ragged(self.start[row], size), np.repeat(value, size)
+        bound = bound + np.bincount(self.piece_block[pieces], weights=self.piece_max[pieces] * of, minlength=self.blocks)
+        single, rare, both = query.astype(np.float32), np.zeros(self.n), np.zeros(self.n)
+        first = np.argpartition(-bound, FIRST)[:FIRST] if self.blocks > FIRST else np.arange(self.blocks)
+        last = max(self.n - k, 0)  # place of the kth largest in a partition
+        need = 0.0
+        for blocks in (first, None):
+            if blocks is None:
+                reach = (bound >= need - ROUGH) & (bound > SLACK)
+                reach[first] = False
+                blocks = np.flatnonzero(reach)
+            self._read(blocks, pieces, of, single, rare, both)
+            if without >= 0:
+                both[without] = 0.0
+            need = np.partition(both, last)[last]
+        self.blocks_asked += self.blocks
+        hit = np.flatnonzero((both >= need - ROUGH) & (both > 0))
+        score = rare[hit] + self.dense[hit].astype(float) @ query
+        best = np.lexsort((hit, -np.round(score, 12)))[:k]
+        return hit[best], score[best]
+
     def nearest(self, row: np.ndarray, value: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine; ties go to the earlier example."""
         return self.nearest_of([row], [value], k, [without])[0]
@@ -132,46 +166,26 @@ def _logit(p: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Terms with their idf, the indexes of examples, and the calibration of their votes.
-
-    One index holds all words of the examples; its neighbours and cosines are
-    the evidence.  The second holds the telling words alone, so that they are
-    heard in long texts too.  The score is calibrated on the votes of both.
-    """
+    """Terms with idf and class weight, the index of examples, and the calibration of their votes."""
 
-    def __init__(self, idf: np.ndarray, telling: np.ndarray, k: int):
-        self.idf, self.telling, self.k = idf, telling, k  # telling: True for the terms of the second index
-        self.index, self.marks, self.base, self.slopes, self.intercept = None, None, 0.0, np.zeros(2), -30.0
-        self.empty = self.unmarked = 0.0
+    def __init__(self, factor: np.ndarray, k: int):
+        self.factor, self.k = factor, k  # idf times class weight of every term
+        self.index, self.base, self.slopes, self.intercept = None, 0.0, np.zeros(1), -30.0
+        self.empty = 0.0
 
     def vector(self, row: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        value = (1 + np.log(tf, dtype=float)) * self.idf[row]
+        value = (1 + np.log(tf, dtype=float)) * self.factor[row]
         norm = np.sqrt(value @ value)
         return value / norm if norm > 0 else value
 
-    def _marked(self, row: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.telling[row]
-        return row[at], self.vector(row[at], tf[at])
-
-    def _logits(self, index: BlockMaxIndex, near: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        return _logit(np.array([vote(c, index.toxic[best], self.base, self.k) for best, c in near]))
-
     def _asked(self, rows: list[np.ndarray], tfs: list[np.ndarray], ids: list | None = None) -> tuple[list, np.ndarray]:
-        """(neighbours over all words, logits of both votes) of texts with words; ``ids`` are left out of their own vote."""
-        def own(index: BlockMaxIndex, some: list) -> list[int]:
-            place = {d: i for i, d in enumerate(index.ids)}
-            return [place[d] for d in some]
-
-        near = self.index.nearest_of(rows, [self.vector(r, t) for r, t in zip(rows, tfs)], self.k,
-                                     own(self.index, ids) if ids is not None else None)
-        marked = [self._marked(r, t) for r, t in zip(rows, tfs)]
-        some = [i for i, (r, _) in enumerate(marked) if len(r)]
-        told = self.marks.nearest_of([marked[i][0] for i in some], [marked[i][1] for i in some], self.k,
-                                     own(self.marks, [ids[i] for i in some]) if ids is not None else None)
-        votes = np.full((len(rows), 2), _logit(np.array([self.unmarked]))[0])
-        votes[:, 0] = self._logits(self.index, near)
-        votes[some, 1] = self._logits(self.marks, told)
-        return near, votes
+        """(neighbours, logit of their vote) of texts with words; ``ids`` are left out of their own vote."""
+        own = None
+        if ids is not None:
+            place = {d: i for i, d in enumerate(self.index.ids)}
+            own = [place[d] for d in ids]
+        near = self.index.nearest_of(rows, [self.vector(r, t) for r, t in zip(rows, tfs)], self.k, own)
+        return near, _logit(np.array([vote(c, self.index.toxic[best], self.base, self.k) for best, c in near]))[:, None]
 
     def learn(self, ids: list, toxic: np.ndarray, rows: list[np.ndarray], tfs: list[np.ndarray]) -> None:
         """Index the examples and calibrate on votes that leave each example itself out."""
@@ -181,22 +195,17 @@ class Model:
             return float((toxic[some].sum() + self.base) / (some.sum() + 1))
 
         bare = np.array([len(r) == 0 for r in rows], dtype=bool)
-        plain = np.array([not self.telling[r].any() for r in rows], dtype=bool)
-        # texts without a word have no neighbours: their score is the rate among such examples
-        self.empty, self.unmarked = rate(bare), rate(plain & ~bare)
-        full, told = np.flatnonzero(~bare), np.flatnonzero(~plain)
+        self.empty = rate(bare)  # texts without a word have no neighbours: the rate among such examples
+        full = np.flatnonzero(~bare)
         self.index = BlockMaxIndex([ids[i] for i in full], toxic[full], [rows[i] for i in full],
-                                   [self.vector(rows[i], tfs[i]).astype(np.float32) for i in full], len(self.idf))
-        marked = [self._marked(rows[i], tfs[i]) for i in told]
-        self.marks = BlockMaxIndex([ids[i] for i in told], toxic[told], [r for r, _ in marked],
-                                   [v for _, v in marked], len(self.idf))
+                                   [self.vector(rows[i], tfs[i]).astype(np.float32) for i in full], len(self.factor))
         if len(full) and 0 < toxic[full].sum() < len(full):
             votes = [self._asked([rows[i] for i in some], [tfs[i] for i in some], [ids[i] for i in some])[1]
                      for some in np.array_split(full, -(-len(full) // 1024))]
             self.slopes, self.intercept = logistic(np.concatenate(votes), toxic[full].astype(float))
         else:
             # one label only: nothing to calibrate on
-            self.slopes, self.intercept = np.zeros(2), float(_logit(np.array([rate(~bare)]))[0])
+            self.slopes, self.intercept = np.zeros(1), float(_logit(np.array([rate(~bare)]))[0])
 
     def scores(self, rows: list[np.ndarray], tfs: list[np.ndarray]) -> tuple[np.ndarray, dict]:
         """Scores of many texts, and text -> (examples, cosines) of its neighbours."""
@@ -241,23 +250,24 @@ def _distinct_words(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "word string, group long, toxic int")
 
 
-def telling_terms(found: DataFrame, max_terms: int, min_chi2: float, max_share: float) -> list[str]:
-    """Words whose presence depends most on the label, too common ones left out, of (word, group, toxic).
+def term_weights(found: DataFrame) -> DataFrame:
+    """(word, weight) of every word in (word, group, toxic): the class weight inside the TF-IDF cosine.
 
-    Chi-squared with continuity correction.  Documents of one group of copies
-    count once per word, else every word of a copied document would tell.
+    A word weighs ``FLOOR``, and more the more its presence depends on the label:
+    by the root of chi-squared (with continuity correction) above ``LEAST_CHI2``.
+    No word is left out.  Documents of one group of copies count once per word,
+    else every word of a copied document would tell.
     """
     n, t = (found.groupBy("group").agg(F.max("toxic").alias("toxic"))
             .agg(F.count("*").cast("double"), F.coalesce(F.sum("toxic"), F.lit(0)).cast("double")).first())
-    if not 0 < t < n:
-        return []
     counts = found.groupBy("word").agg(F.count("*").cast("double").alias("df"),
                                        F.sum("toxic").cast("double").alias("a"))
+    if not 0 < t < n:  # one label only: every word alike
+        return counts.select("word", F.lit(FLOOR).alias("weight"))
     gap = F.greatest(F.abs(F.col("a") * n - F.col("df") * t) - n / 2, F.lit(0.0))
-    chi2 = gap * gap * n / (t * (n - t) * F.col("df") * (n - F.col("df")))
-    top = (counts.where((F.col("df") >= 2) & (F.col("df") <= max_share * n)).select("word", chi2.alias("chi2"))
-           .where(F.col("chi2") >= min_chi2).orderBy(F.col("chi2").desc(), "word").limit(max_terms))
-    return [r["word"] for r in top.collect()]
+    free = t * (n - t) * F.col("df") * (n - F.col("df"))
+    chi2 = F.when(free > 0, gap * gap * n / F.when(free > 0, free)).otherwise(0.0)  # a word of all groups tells nothing
+    return counts.select("word", (F.sqrt(F.greatest(chi2 - LEAST_CHI2, F.lit(0.0))) / SCALE + FLOOR).alias("weight"))
 
 
 def _cells(texts: list[str | None], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,8 +302,7 @@ def _document_counts(texts: DataFrame, words: Broadcast) -> pa.Table:
 
 
 def _learned(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic", max_examples: int = 12_000, max_terms: int = 4096, min_chi2: float = 15.0,
-             max_share: float = 0.25, k: int = 15) -> tuple[Broadcast, Broadcast]:
+             label_col: str = "toxic", max_examples: int = 12_000, k: int = 15) -> tuple[Broadcast, Broadcast]:
     """The words of the examples and the model, for every task; see ``score_documents`` for the arguments."""
     base = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
@@ -304,16 +313,15 @@ def _learned(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str =
     examples = saved(base.join(known, "id").dropDuplicates(["id"]).select("text", "id", "toxic"), "examples")
     found = saved(_distinct_words(examples.select("text", "toxic")).groupBy("word", "group")
                   .agg(F.max("toxic").alias("toxic")), "words")
-    telling = telling_terms(found, max_terms, min_chi2, max_share)
+    weighed = term_weights(found).toArrow().sort_by("word")  # the words of at most about max_examples texts
     context = docs.sparkSession.sparkContext
-    # the words of at most about max_examples texts
-    words = context.broadcast(sorted(found.select("word").distinct().toArrow().column(0).to_pylist()))
+    words = context.broadcast(weighed.column("word").to_pylist())
+    weight = weighed.column("weight").to_numpy().astype(float)
+    del weighed
     place = {w: i for i, w in enumerate(words.value)}
     counts, seen = _document_counts(base.select("text"), words), np.zeros(len(place))
     seen[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
-    told = np.zeros(len(place), dtype=bool)
-    told[[place[w] for w in telling]] = True
-    model = Model(np.log((1 + base.count()) / (1 + seen)) + 1, told, k)
+    model = Model((np.log((1 + base.count()) / (1 + seen)) + 1) * weight, k)
     taught = examples.orderBy("id").toArrow()  # about max_examples rows
     ids, toxic = taught.column("id").to_pylist(), taught.column("toxic").to_numpy().astype(float)
     parts = [_vectors(texts.slice(lo, hi - lo).to_pylist(), place) for texts in taught.column("text").chunks
@@ -327,7 +335,6 @@ def _learned(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str =
 
 def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", max_examples: int = 12_000,
-                    max_terms: int = 4096, min_chi2: float = 15.0, max_share: float = 0.25,
                     k: int = 15) -> DataFrame:
     """(id, score, predicted, neighbours) for every whole text of ``docs``.
 
@@ -336,19 +343,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, teaches: Column, id_col:
     ``max_examples``, chosen by a hash of the id: the index, which every task
     holds, does not grow with the input.  Every word of the examples is a term;
     words that no example holds are in no vector.  Document frequencies are
-    counted over all documents.  ``neighbours`` is the evidence (id, cosine,
-    label): the ``k`` examples nearest by the cosine over all terms.  ``score``
-    is calibrated on two distance-weighted votes: that of these neighbours, and
-    that of the nearest by the telling terms alone (at most ``max_terms``, see
-    ``telling_terms``).  A null, empty or wordless text, or one without any term,
-    scores the rate of toxic ones among such examples.  Without labels every
+    counted over all documents; a term's idf is multiplied by its class weight
+    (``term_weights``).  ``neighbours`` are the ``k`` examples nearest by cosine
+    (id, cosine, label), and ``score`` is their distance-weighted vote, calibrated.
+    A null, empty or wordless text, or one without any term, scores the rate of
+    toxic ones among such examples.  Without labels every
     score is 0.  Rows with a null id are scored; null labels and null label ids
     teach nothing, a document labelled twice with different values counts as
     toxic; repeated rows come back as given.  No documents give no rows, other
     columns are not read.
     """
-    words, shared = _learned(docs, labels, teaches, id_col, text_col, label_col, max_examples, max_terms, min_chi2,
-                             max_share, k)
+    words, shared = _learned(docs, labels, teaches, id_col, text_col, label_col, max_examples, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, place = shared.value, {w: i for i, w in enumerate(words.value)}

@@ -95,23 +95,82 @@ def test_search_with_rare_and_common_terms_is_exact():
         assert np.allclose(near, np.sort(score)[::-1][:10], atol=1e-6) and np.allclose(score[best], near, atol=1e-6)
 
 
-def test_neighbours_are_nearest_by_all_words(spark):
+def test_neighbours_and_scores_equal_brute_force(spark):
+    """All of it by the plain rule: class weights, cosines over all words, votes that leave the example
+    out, the logistic fit, and scores of labelled and other texts."""
     plain = ["green apples grow on old trees", "old trees stand by green water", "apples fall into water"]
-    rows = [(i, plain[i % 3]) for i in range(12)] + [(i, f"vile slur {plain[i % 3]}") for i in range(12, 18)]
-    rows += [(20, "rare zebra crossing"), (21, "rare zebra crossing"), (22, "old green zebra water")]
+    rows = [(i, f"{plain[i % 3]} w{i} v{i % 7}") for i in range(40)]
+    rows += [(i, f"vile slur {plain[i % 3]} w{i} u{i % 5}") for i in range(40, 60)]
+    rows += [(60, "rare zebra crossing"), (61, "rare zebra crossing"), (62, "old green zebra water"), (63, "vile slur today"),
+             (64, "nothing known"), (65, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i >= 12)) for i in range(21)], "doc_id long, toxic int")
-    got = {r.id: r for r in toxicity.score_documents(docs, labels, F.lit(True), k=4).collect()}
+    labels = {i: int(40 <= i < 60) for i in range(62)}
+    frame = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    got = {r.id: r for r in toxicity.score_documents(docs, frame, F.lit(True), k=4).collect()}
     words = {i: t.split() for i, t in rows}
-    taught = [i for i, _ in rows if i < 21]
-    vocabulary = sorted({w for i in taught for w in words[i]})
-    idf = {w: np.log((1 + len(rows)) / (1 + sum(w in t for t in words.values()))) + 1 for w in vocabulary}
-    unit = {i: (lambda v: v / np.linalg.norm(v))(np.array([idf[w] * (w in t) for w in vocabulary]))
-            for i, t in words.items()}
+    letters = {i: toxicity.words_of(t) for i, t in rows}
+    vocabulary = sorted({w for i in labels for w in letters[i]})
+    groups = {i: toxicity._signature(set(letters[i])) for i in labels}
+    kind = {g: max(labels[i] for i in labels if groups[i] == g) for g in groups.values()}
+    n, t = len(kind), sum(kind.values())
+    factor = {}
+    for w in vocabulary:
+        has = {g: max(labels[i] for i in labels if groups[i] == g and w in letters[i])
+               for g in {groups[i] for i in labels if w in letters[i]}}
+        df, a = len(has), sum(has.values())
+        gap = max(abs(a * n - df * t) - n / 2, 0)
+        chi2 = gap * gap * n / (t * (n - t) * df * (n - df)) if df < n else 0
+        seen = sum(w in x for x in letters.values())
+        factor[w] = (np.log((1 + len(rows)) / (1 + seen)) + 1) * (0.1 + np.sqrt(max(chi2 - 6, 0)) / 10)
+
+    def unit(x):
+        v = np.array([factor[w] * (1 + np.log(x.count(w)) if w in x else 0) for w in vocabulary])
+        return v / (np.linalg.norm(v) or 1)
+
+    units = {i: unit(x) for i, x in letters.items()}
+    base = (t_all := sum(labels.values())) and (t_all + 0.5) / (len(labels) + 1)
+
+    def neighbours(i, out=None):
+        near = sorted(((units[i] @ units[j], j) for j in labels if j != out), key=lambda x: -x[0])[:4]
+        return [(c, j) for c, j in near if c > 1e-12]
+
+    def logit(i, out=None):
+        near = np.array([c for c, _ in neighbours(i, out)])
+        weight = near ** 2 / (1.05 - np.minimum(near, 1))
+        p = (weight @ np.array([labels[j] for _, j in neighbours(i, out)]) + 0.08 * base) / (weight.sum() + 0.08)
+        return np.log(p / (1 - p))
+
+    slope, intercept = toxicity.logistic(np.array([[logit(i, i)] for i in labels]), np.array(list(labels.values()), float))
     for i in words:
-        want = sorted((unit[i] @ unit[j] for j in taught), reverse=True)[:4]
-        assert np.allclose([n.cosine for n in got[i].neighbours], [c for c in want if c > 1e-12], atol=1e-6)
-    assert (got[21].neighbours[0].id, round(got[21].neighbours[0].cosine, 6)) == (20, 1.0)
+        assert np.allclose([x.cosine for x in got[i].neighbours], [c for c, _ in neighbours(i)], atol=1e-6)
+        if neighbours(i):
+            want = 1 / (1 + np.exp(-(slope[0] * logit(i) + intercept)))
+            assert abs(got[i].score - want) < 1e-3 and got[i].predicted == int(got[i].score >= 0.5)
+    assert (got[61].neighbours[0].id, round(got[61].neighbours[0].cosine, 6)) == (60, 1.0)
+    assert got[63].predicted == 1 and got[62].predicted == 0
+    assert got[64].score == got[65].score and not got[64].neighbours
+
+
+def test_bounds_skip_blocks():
+    """Clear groups of examples: a query reads few of the blocks, and the answer is exact."""
+    rng = np.random.default_rng(2)
+    rows, values = [], []
+    for g in range(40):
+        for _ in range(64):
+            r = np.unique(np.concatenate([g * 30 + rng.choice(30, 8), 1200 + rng.choice(300, 5)]))
+            v = np.where(r < 1200, 1.0, 0.05) * (0.5 + rng.random(len(r)))
+            rows.append(r)
+            values.append(v / np.linalg.norm(v))
+    index = toxicity.BlockMaxIndex(list(range(len(rows))), np.zeros(len(rows)), rows, values, 1500)
+    dense = np.zeros((len(rows), 1500))
+    for i, (r, v) in enumerate(zip(rows, values)):
+        dense[index.ids.index(i), r] = v
+    own = [index.ids.index(i) for i in range(0, len(rows), 50)]
+    for i, (best, near) in zip(own, index.nearest_of(rows[::50], values[::50], 10, own)):
+        score = dense @ dense[i]
+        score[i] = -1
+        assert np.allclose(near, np.sort(score)[::-1][:10], atol=1e-6)
+    assert index.blocks_read < 0.25 * index.blocks_asked
 
 
 def test_toxicity_held_out_and_awkward_rows(spark, nasty, empty):
