@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from ratecraft.session import work_dir
 
 
+def saved_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``saved``, and the folder, for whoever discards it."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(f"{path}/rows")
+    return spark.read.schema(df.schema).parquet(f"{path}/rows"), path
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -21,10 +29,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     executor memory.  The folder is left to whoever owns the checkpoint root,
     because the returned DataFrame still reads it.
     """
-    spark = df.sparkSession
-    path = work_dir(spark, name) + "/rows"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return saved_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``saved_at`` that no DataFrame in use reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def held_out(doc_id: Column) -> Column:

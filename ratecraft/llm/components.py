@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved_at
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,8 +18,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     comes to the driver.  Links with a null end and links of a node to itself
     are left out, repeated links count once, no links give no rows.
     """
-    edges = saved(links.where((F.col(a) != F.col(b)))
-                  .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links")
+    edges, path = saved_at(links.where((F.col(a) != F.col(b)))
+                           .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links")
     before = None
     while True:
         mark = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -34,4 +34,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         joined = large.join(low, "a")
         small = joined.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             joined.select("a", "m"))
-        edges = saved(small.distinct(), "links")
+        old = path
+        edges, path = saved_at(small.distinct(), "links")
+        discard(links.sparkSession, old)  # a round reads the one before only

@@ -247,7 +247,54 @@ def test_pipeline_stages_take_awkward_documents(spark, k):
     assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
-def test_packing_matches_the_operator(spark):
-    docs = table(spark, SMALL, "documents")
-    got = queries.op2_best_fit_packing(spark, SMALL)
-    assert got.select("doc_id").distinct().count() == docs.count() and packing.HOT_SHARE > 1
+def test_packing_query_follows_the_plain_rule(spark):
+    """Every bin of the query against best fit by trying all open bins: sources, clusters, words, places."""
+    import re
+    docs = {r.doc_id: r for r in table(spark, SMALL, "documents").collect()}
+    got = queries.op2_best_fit_packing(spark, SMALL).collect()
+    words = {i: len(re.findall(r"\S+", r.text or "")) for i, r in docs.items()}
+    cluster = {i: re.sub(r"\s+", " ", r.text.lower()) for i, r in docs.items()}
+    pieces, bins = {}, {}
+    for r in got:
+        pieces[r.doc_id] = pieces.get(r.doc_id, 0) + r.n_words
+        bins.setdefault((r.shard, r.bin), []).append(r)
+    assert pieces == words and {r.shard for r in got} == {0}
+    for held in bins.values():
+        held.sort(key=lambda r: r.bin_offset)
+        assert [r.bin_offset for r in held] == [sum(x.n_words for x in held[:k]) for k in range(len(held))]
+        assert sum(r.n_words for r in held) <= queries.PACK_CAPACITY
+        assert len({docs[r.doc_id].source for r in held}) == len({cluster[r.doc_id] for r in held}) == len(held)
+    open_bins, want = [], {}
+    rest = {i: w % queries.PACK_CAPACITY for i, w in words.items()}
+    last = {r.doc_id: (r.bin, r.bin_offset) for r in got if r.n_words == rest[r.doc_id] and r.n_words < queries.PACK_CAPACITY}
+    for i in sorted(rest, key=lambda i: (-rest[i], -words[i], i)):  # longest pieces first, then documents, then by id
+        if not rest[i]:
+            continue
+        fits = [b for b in open_bins if b["room"] >= rest[i] and docs[i].source not in b["sources"]
+                and cluster[i] not in b["clusters"]]
+        best = min(fits, key=lambda b: (b["room"], b["n"]), default=None)
+        if best is None:
+            best = {"room": queries.PACK_CAPACITY, "sources": set(), "clusters": set(), "n": len(open_bins)}
+            open_bins.append(best)
+        want[i] = (best["n"], queries.PACK_CAPACITY - best["room"])
+        best["room"] -= rest[i]
+        best["sources"].add(docs[i].source)
+        best["clusters"].add(cluster[i])
+    whole = max((b for _, b in bins if not any(r.n_words < queries.PACK_CAPACITY for r in bins[0, b])), default=-1) + 1
+    assert {i: (b - whole, at) for i, (b, at) in last.items()} == want
+
+
+def test_language_filter_keeps_what_prediction_says(spark, nasty, empty):
+    model = langid.fit(table(spark, SMALL, "documents").where(~held_out(F.col("doc_id"))), PIECES)
+    short = ["de", "no", "on", "information", "la", "un", "der", "the", "important", "12", "", None, "general plan"]
+    docs = spark.createDataFrame(list(enumerate(short)), "doc_id long, text string")
+    found = {r.id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
+    sizes = set()
+    for least in (0.0, 0.5, 0.9, 1.1):
+        want = {i for i, (lang, score) in found.items() if lang != "und" and score >= least}
+        assert {r.doc_id for r in langid.keep_known(docs, model, least).collect()} == want
+        sizes.add(len(want))
+    assert max(sizes) == 10 and len(sizes) >= 3
+    kept = langid.keep_known(nasty, model, 0.0)
+    assert kept.columns == nasty.columns and kept.count() == langid.predict(nasty, model).where("lang_pred <> 'und'").count()
+    assert langid.keep_known(empty, model, 0.5).count() == 0
