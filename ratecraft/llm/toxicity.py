@@ -24,25 +24,31 @@ from .langid import words_of
 
 BLOCK = 64
 LONG_WORD = 8  # letters
-COMMON = 512  # terms held as a dense matrix
-BATCH = 64  # queries
+COMMON = 512  # terms with long lists, held as a dense matrix
+BATCH = 128  # queries
 FIRST = 3  # blocks read before the others are held against the kth score
 FLOOR, LEAST_CHI2, SCALE = 0.1, 6.0, 10.0  # weight of a word by its dependence on the label, see ``term_weights``
 PIECE_BYTES = 1 << 19  # text scored at a time
-SLACK = 1e-6  # rounding of sums; bounds are raised by it
 ROUGH = 1e-4  # far above the rounding of a sum in single precision
 
 
+def _kth(values: np.ndarray, k: int) -> np.ndarray:
+    """The kth largest of every row, 0 where there are fewer."""
+    at = values.shape[1] - k
+    return np.partition(values, at, axis=1)[:, at] if at >= 0 else np.zeros(len(values), dtype=values.dtype)
+
+
 class BlockMaxIndex:
     """Unit vectors of labelled examples, searched for the exact k nearest.
 
-    Examples lie in blocks of 64.  A term's posting list is cut at the blocks, and
-    each piece keeps its largest weight; the ``COMMON`` most used terms, whose
-    lists hold most examples, lie as a dense matrix with its largest weights per
-    block.  A query adds up these maxima to a bound for every block, reads the
-    ``FIRST`` blocks of largest bound, and then those others whose bound can reach
-    its kth score.  No other posting is read.  Weights are kept in single
-    precision and summed in double; ``blocks_read`` and ``blocks_asked`` count.
+    Examples lie in blocks of 64.  The ``COMMON`` longest posting lists are cut at
+    the blocks, with the largest weight of each in every block; they hold most
+    examples, so they lie as a dense matrix.  The other lists are about as short
+    as such a table of maxima would be, and are read: their sums, exact, and the
+    maxima of the long ones bound every block.  A query multiplies the ``FIRST``
+    blocks of largest bound, and then those others whose bound can reach its kth
+    score.  Weights are kept in single precision and summed in double;
+    ``blocks_read`` and ``blocks_asked`` count.
     """
 
     def __init__(self, ids: list, toxic: np.ndarray, rows: list[np.ndarray], values: list[np.ndarray], terms: int):
@@ -52,7 +58,6 @@ class BlockMaxIndex:
         self.ids, self.toxic = [ids[i] for i in at], toxic[at]
         rows, values = [rows[i] for i in at], [values[i] for i in at]
         self.n = len(rows)
-        self.blocks = -(-self.n // BLOCK)
         self.blocks_read = self.blocks_asked = 0
         term = np.concatenate(rows) if rows else np.zeros(0, np.int32)
         example = np.repeat(np.arange(self.n, dtype=np.int32), [len(r) for r in rows])
@@ -65,75 +70,64 @@ class BlockMaxIndex:
         column = self.place[term]
         self.dense = np.zeros((self.n, len(common)), dtype=np.float32)
         self.dense[example[column >= 0], column[column >= 0]] = weight[column >= 0]
-        edges = np.arange(0, self.n, BLOCK)
-        self.bound = (np.maximum.reduceat(self.dense, edges, axis=0) if self.n else self.dense).T.astype(float)
+        self.edges = np.arange(0, self.n, BLOCK)
+        self.bound = (np.maximum.reduceat(self.dense, self.edges, axis=0) if self.n else self.dense).T.astype(float)
         term, example, weight = term[column < 0], example[column < 0], weight[column < 0]
         order = np.argsort(term, kind="stable")  # examples ascend already
-        term, self.example, self.weight = term[order], example[order], weight[order]
-        # pieces of the lists: one per term and block that has it
-        block = self.example // BLOCK
-        cut = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(block) != 0)])) if len(term) else (
-            np.zeros(0, np.int64))
-        self.piece_block = block[cut].astype(np.int16)
-        self.piece_max = np.maximum.reduceat(self.weight, cut) if len(cut) else np.zeros(0, np.float32)
-        self.piece = np.append(cut, len(term)).astype(np.int32)  # places in the lists
-        self.start = np.searchsorted(term[cut], np.arange(terms + 1)).astype(np.int32)  # a term's pieces
-
-    def _read(self, blocks: np.ndarray, pieces, of, query, rare, both) -> None:
-        """Set the scores of the examples of some blocks: by the rarer terms, exact, and by all, to single precision."""
-        here = np.zeros(self.blocks, dtype=bool)
-        here[blocks] = True
-        some = np.flatnonzero(here[self.piece_block[pieces]])
-        first = self.piece[pieces[some]]
-        size = self.piece[pieces[some] + 1] - first
-        at = ragged(first, size)
-        rare += np.bincount(self.example[at], weights=self.weight[at] * np.repeat(of[some], size), minlength=self.n)
-        for lo in (blocks * BLOCK).tolist():
-            both[lo:lo + BLOCK] = rare[lo:lo + BLOCK] + self.dense[lo:lo + BLOCK] @ query
-        self.blocks_read += len(blocks)
+        self.example, self.weight = example[order], weight[order]
+        self.start = np.searchsorted(term[order], np.arange(terms + 1)).astype(np.int32)
+
+    def _rarer(self, row: np.ndarray, value: np.ndarray) -> np.ndarray:
+        size = self.start[row + 1] - self.start[row]
+        at = ragged(self.start[row], size)
+        return np.bincount(self.example[at], weights=self.weight[at] * np.repeat(value, size), minlength=self.n)
+
+    def _multiply(self, asked: np.ndarray, query: np.ndarray, rare: np.ndarray, both: np.ndarray) -> None:
+        """Scores of the examples in the asked blocks [query, block], to single precision: a block for all its queries."""
+        for b, lo in enumerate(self.edges.tolist()):
+            some = np.flatnonzero(asked[:, b])
+            if len(some):
+                hi = min(lo + BLOCK, self.n)
+                both[some, lo:hi] = rare[some, lo:hi] + query[some] @ self.dense[lo:hi].T
+        self.blocks_read += int(asked.sum())
 
     def nearest_of(self, rows: list[np.ndarray], values: list[np.ndarray], k: int,
                    without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of every query; the bounds by common terms are multiplied for ``BATCH`` queries at a time."""
+        """``nearest`` of every query, ``BATCH`` queries at a time."""
         if not self.n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(rows)
-        out = []
+        out, width = [], len(self.edges) * BLOCK
         for lo in range(0, len(rows), BATCH):
             some = range(lo, min(lo + BATCH, len(rows)))
-            query = np.zeros((len(some), self.dense.shape[1]))
+            query, rare = np.zeros((len(some), self.dense.shape[1])), np.zeros((len(some), self.n))
             for j, i in enumerate(some):
                 column = self.place[rows[i]]
                 query[j, column[column >= 0]] = values[i][column >= 0]
-            bounds = query @ self.bound + SLACK
-            for j, i in enumerate(some):
-                rare = self.place[rows[i]] < 0
-                out.append(self._nearest(rows[i][rare], values[i][rare], query[j], bounds[j], k,
-                                         -1 if without is None else without[i]))
+                rare[j] = self._rarer(rows[i][column < 0], values[i][column < 0])
+            single, both = query.astype(np.float32), np.zeros((len(some), width), dtype=np.float32)
+            if without is not None:
+                left_out = np.array([without[i] for i in some])
+                out_of = np.flatnonzero(left_out >= 0)
+                rare[out_of, left_out[out_of]] = -np.inf
+            bound = np.maximum.reduceat(rare, self.edges, axis=1) + query @ self.bound
+            first = np.zeros(bound.shape, dtype=bool)
+            top = np.argpartition(-bound, min(FIRST, bound.shape[1]) - 1, axis=1)[:, :FIRST]
+            np.put_along_axis(first, top, True, axis=1)
+            self._multiply(first, single, rare, both)
+            held = np.take_along_axis(both.reshape(len(some), -1, BLOCK), top[:, :, None], axis=1).reshape(len(some), -1)
+            need = _kth(held, k) - ROUGH
+            self._multiply((bound >= need[:, None]) & (bound > 0) & ~first, single, rare, both)
+            self.blocks_asked += bound.size
+            able = both[:, :self.n] >= np.maximum(need, np.finfo(np.float32).tiny)[:, None]
+            for j in range(len(some)):
+                hit = np.flatnonzero(able[j])
+                near = both[j, hit]
+                hit = hit[near >= _kth(near[None], k)[0] - ROUGH]
+                score = rare[j, hit] + self.dense[hit].astype(float) @ query[j]
+                best = np.lexsort((hit, -np.round(score, 12)))[:k]
+                out.append((hit[best], score[best]))
         return out
 
-    def _nearest(self, row, value, query, bound, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
-        size = self.start[row + 1] - self.start[row]
-        pieces, of = ragged(self.start[row], size), np.repeat(value, size)
-        bound = bound + np.bincount(self.piece_block[pieces], weights=self.piece_max[pieces] * of, minlength=self.blocks)
-        single, rare, both = query.astype(np.float32), np.zeros(self.n), np.zeros(self.n)
-        first = np.argpartition(-bound, FIRST)[:FIRST] if self.blocks > FIRST else np.arange(self.blocks)
-        last = max(self.n - k, 0)  # place of the kth largest in a partition
-        need = 0.0
-        for blocks in (first, None):
-            if blocks is None:
-                reach = (bound >= need - ROUGH) & (bound > SLACK)
-                reach[first] = False
-                blocks = np.flatnonzero(reach)
-            self._read(blocks, pieces, of, single, rare, both)
-            if without >= 0:
-                both[without] = 0.0
-            need = np.partition(both, last)[last]
-        self.blocks_asked += self.blocks
-        hit = np.flatnonzero((both >= need - ROUGH) & (both > 0))
-        score = rare[hit] + self.dense[hit].astype(float) @ query
-        best = np.lexsort((hit, -np.round(score, 12)))[:k]
-        return hit[best], score[best]
-
     def nearest(self, row: np.ndarray, value: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine; ties go to the earlier example."""
         return self.nearest_of([row], [value], k, [without])[0]
