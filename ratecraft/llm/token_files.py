@@ -61,7 +61,7 @@ def tokenise(df: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for lo, hi in as_bytes_batches(batch.column(1)):
+            for lo, hi in as_bytes_batches(batch.column(1), 1 << 20):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
                 flat, counts = _encoder(path).encode(texts)
                 ends = np.cumsum(counts)
