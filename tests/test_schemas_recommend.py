@@ -169,3 +169,23 @@ def test_short_list_titles_and_minimum_activity(spark):
     acts = spark.createDataFrame([(1,), (1,), (2,)], "user_id long")
     assert {tuple(r) for r in A.min_activity(acts, minimum=2).collect()} == {(1, 2, True), (2, 1, False)}
     assert [tuple(r) for r in A.min_activity_violations(acts, minimum=2).collect()] == [(2, 1)]
+
+
+def test_equal_lengths_are_screened_not_sorted(monkeypatch):
+    """Items of one length rule nothing out: every block is scored, but only the first one is searched for its
+    best items; later ones are compared with the list so far.  Scores that single precision cannot tell apart count."""
+    from ratecraft.operators import factors
+    rng = np.random.default_rng(8)
+    items = rng.normal(size=(6 * factors.BLOCK, 8))
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    users = rng.normal(size=(40, 8))
+    items[3000:3200] = items[11] * (1 + np.arange(200) * 1e-10)[:, None]
+    calls, plain = [], np.partition
+    monkeypatch.setattr(factors.np, "partition", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    scores, ids = np.full((40, 10), -np.inf), np.full((40, 10), np.iinfo(np.int64).max)
+    scored, _ = factors._Group(np.arange(len(items)), items, 0.0).scan(users, 10, scores, ids)
+    exact = users @ items.T
+    assert (scored == len(items)).all() and len(calls) == 1
+    for u in range(40):
+        assert np.allclose(scores[u], np.sort(exact[u])[::-1][:10], rtol=1e-14)
+        assert set(ids[u]) == set(np.argsort(-exact[u])[:10])
