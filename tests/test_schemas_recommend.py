@@ -189,3 +189,22 @@ def test_equal_lengths_are_screened_not_sorted(monkeypatch):
     for u in range(40):
         assert np.allclose(scores[u], np.sort(exact[u])[::-1][:10], rtol=1e-14)
         assert set(ids[u]) == set(np.argsort(-exact[u])[:10])
+
+
+def test_fits_of_a_cross_validation_leave_few_shuffle_files(spark):
+    import time
+
+    def files():
+        store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (store.apply(i).getName() for i in range(store.size()))
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+    folded = M.prepare(_planted(spark, 40, 30)[1]).withColumn(
+        "fold", (F.col("item_id") % 3 + F.col("user_id")) % 3 + 1)
+    before = files()
+    M.kfold_als(folded, ranks=(2,), iters=(4,), regs=(0.02, 0.1, 1.0))
+    for _ in range(20):  # Spark deletes them in the background
+        left = {n.split("_")[1] for n in files() - before}
+        if len(left) <= 30:
+            break
+        time.sleep(0.5)
+    assert len(left) <= 30  # shuffles; the ten fits make over a hundred
