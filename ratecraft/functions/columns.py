@@ -92,7 +92,18 @@ def salvage_json(c: ColumnOrName, schema: T.StructType) -> Column:
     Text that is no JSON is tried once more as a printed literal; what cannot be
     read either way is a null struct.
     """
-    parsed = F.coalesce(F.try_parse_json(_c(c)), F.try_parse_json(json_of_literals(c)))
+    return variant_fields(salvage_variant(c), schema)
+
+
+def salvage_variant(c: ColumnOrName) -> Column:
+    """Text as a variant: JSON, or else a printed literal; null if it is neither."""
+    return F.coalesce(F.try_parse_json(_c(c)), F.try_parse_json(json_of_literals(c)))
+
+
+def variant_fields(c: ColumnOrName, schema: T.StructType) -> Column:
+    """``schema`` read field by field from a variant; a null variant is a null struct.  Select the variant as a
+    column of its own before: an expression given here is evaluated once a field."""
+    parsed = _c(c)
 
     def field(path: str, kind: T.DataType) -> Column:
         if isinstance(kind, T.StructType):

@@ -19,6 +19,8 @@ from pyspark.sql.types import StructType
 from ratecraft.operators.windows import in_order
 from ratecraft.session import work_dir
 
+GROUP_BYTES = 8 << 20  # of a row group: readers of a range of places skip the other groups by their statistics
+
 
 class PageIndex:
     """A table in a total order, under one folder: ``rows`` by part, ``fences`` one row a part."""
@@ -42,7 +44,7 @@ class PageIndex:
         spark = df.sparkSession
         path = (path or work_dir(spark, "pages")).rstrip("/")
         placed = in_order(df, order, parts)
-        placed.write.partitionBy("_part").parquet(f"{path}/rows")
+        placed.write.partitionBy("_part").option("parquet.block.size", str(GROUP_BYTES)).parquet(f"{path}/rows")
         spark.createDataFrame([(placed.schema.json(),)], "schema string").coalesce(1).write.text(f"{path}/schema")
         laid = spark.read.schema(placed.schema).parquet(f"{path}/rows")
         sizes = laid.groupBy("_part").agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"))

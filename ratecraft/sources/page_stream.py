@@ -2,7 +2,9 @@
 
 Each trigger reads the next ``pagesPerTrigger`` pages; the checkpoint remembers
 the last page, so a stopped stream goes on with the one after it.  The page
-index says which files hold a range of pages, and tasks read those ranges.
+index says which files hold a range of pages, and tasks read those ranges, of
+``TASK_ROWS`` rows each: how many tasks share a trigger follows from its rows,
+not from the files.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from pyspark.sql.types import StructType
 
 from ratecraft.operators.paging import PageIndex
 
+TASK_ROWS = 25_000
+
 
 @dataclass
 class _Run(InputPartition):
@@ -44,8 +48,10 @@ class _PageReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[_Run]:
         self.last = end["page"]
         lo, hi = (o["page"] * self.per_page for o in (start, end))
-        return [_Run(part, max(lo - first, 0), min(hi - first, n)) for part, first, n in self.fences
+        held = [(part, max(lo - first, 0), min(hi - first, n)) for part, first, n in self.fences
                 if first < hi and first + n > lo]
+        return [_Run(part, at, min(at + TASK_ROWS, end)) for part, begin, end in held
+                for at in range(begin, end, TASK_ROWS)]
 
     def read(self, partition: _Run) -> Iterator:
         import pyarrow.compute as pc

@@ -67,7 +67,8 @@ def parse_messages(df: DataFrame, id_type: str = "long") -> DataFrame:
     stay as they are.
     """
     txt = df.select(C.payload_text("value").alias("raw"))
-    p = txt.select("raw", C.salvage_json("raw", MESSAGE_SCHEMA).alias("d"))
+    # the text is parsed once, in a step of its own, and not once a field
+    p = txt.select("raw", C.salvage_variant("raw").alias("v")).select("raw", C.variant_fields("v", MESSAGE_SCHEMA).alias("d"))
     return p.select(
         "raw",
         F.col("d.movie.movieId").try_cast(id_type).alias("item_id"),

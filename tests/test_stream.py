@@ -305,3 +305,19 @@ def test_state_is_read_back_from_the_checkpoint(spark, tmp):
     assert {r.item_id: (r.rating_count, r.rating_avg) for r in state.collect()} == want
     assert [r.rating_count for r in state.where("item_id = 0").collect()] == [want[0][0]]
     assert state.where("item_id = 999").count() == 0
+
+
+def test_rows_of_a_trigger_are_dealt_to_tasks_by_number(spark):
+    """Two files, three tasks' worth of rows in one of them: the file does not bound the tasks."""
+    from ratecraft.sources.page_stream import TASK_ROWS, _PageReader
+    big = 3 * TASK_ROWS
+    reader = _PageReader("unused", None, [[0, 0, 7], [1, 7, big]], 10, big)
+    runs = reader.partitions({"page": 0}, {"page": -(-(big + 7) // 10)})
+    assert max(r.hi - r.lo for r in runs) <= TASK_ROWS
+    assert [(r.part, r.lo, r.hi) for r in runs] == [(0, 0, 7)] + [(1, k * TASK_ROWS, (k + 1) * TASK_ROWS) for k in range(3)]
+
+
+def test_a_message_is_parsed_once_not_once_a_field(spark):
+    rows = spark.range(3).select(F.encode(F.lit("{}"), "utf-8").alias("value"))
+    plan = P.parse_messages(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") <= 2  # as JSON, and as a printed literal
