@@ -19,7 +19,7 @@ from ratecraft.plans.pages import page_index, page_response, titles
 from ratecraft.schemas import create_table_if_absent, drop_table, mapping_to_schema
 from ratecraft.session import work_dir
 from ratecraft.sources import files as FS
-from ratecraft.sources.bucketed import write_bucketed
+from ratecraft.sources.bucketed import buckets_for, write_bucketed
 from ratecraft.sources.observed import write_observed
 from ratecraft.sources.tables import (EVENTS_SQL, ITEM_GENRES, ITEMS_SQL, RATING_ORDER,
                                       RATINGS_SQL, USERS_SQL, events_view, items_view,
@@ -488,8 +488,9 @@ SELECT DISTINCT r.item_id, r.user_id, a.activity_count, u.occupation
 FROM {R} r JOIN act a ON r.user_id = a.user_id JOIN {U} u ON r.user_id = u.user_id""")
 def j4_bucketed(spark, sf):
     """Ratings and users lie in buckets of the user: counting, both joins and DISTINCT need no shuffle."""
-    r = write_bucketed(ratings_view(spark, sf).select("user_id", "item_id"), ["user_id"], 8)
-    u = write_bucketed(users_view(spark, sf).select("user_id", "occupation"), ["user_id"], 8)
+    n = buckets_for(table(spark, sf, "lineitem").count())
+    r = write_bucketed(ratings_view(spark, sf).select("user_id", "item_id"), ["user_id"], n)
+    u = write_bucketed(users_view(spark, sf).select("user_id", "occupation"), ["user_id"], n)
     return J.reviewers_with_activity(r, A.user_activity(r)).join(u, "user_id").select(
         "item_id", "user_id", "activity_count", "occupation")
 
@@ -497,10 +498,11 @@ def j4_bucketed(spark, sf):
 @query("J1_J2_enrich_bucketed", f"SELECT user_id, item_id, rating, ts, title, age, gender, occupation FROM {ENR}")
 def j1_bucketed(spark, sf):
     """Ratings joined to items where both lie, then laid out by user for the join with users."""
-    r = write_bucketed(ratings_view(spark, sf), ["item_id"], 8)
-    i = write_bucketed(items_view(spark, sf).select("item_id", "title"), ["item_id"], 8)
-    by_user = write_bucketed(r.join(i, "item_id"), ["user_id"], 8)
-    u = write_bucketed(users_view(spark, sf).select("user_id", "age", "gender", "occupation"), ["user_id"], 8)
+    n = buckets_for(table(spark, sf, "lineitem").count())
+    r = write_bucketed(ratings_view(spark, sf), ["item_id"], n)
+    i = write_bucketed(items_view(spark, sf).select("item_id", "title"), ["item_id"], n)
+    by_user = write_bucketed(r.join(i, "item_id"), ["user_id"], n)
+    u = write_bucketed(users_view(spark, sf).select("user_id", "age", "gender", "occupation"), ["user_id"], n)
     return by_user.join(u, "user_id").select("user_id", "item_id", "rating", "ts", "title", "age", "gender", "occupation")
 
 

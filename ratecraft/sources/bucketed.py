@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame
 
 from ratecraft.session import work_dir
 
+LEAST_BUCKETS, ROWS_PER_BUCKET = 8, 1_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for tables that join where they lie, the largest of ``rows`` rows: a task holds one bucket,
+    so their number grows with the rows and not a bucket's size."""
+    return max(LEAST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+
 
 def write_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str | None = None,
                    path: str | None = None) -> DataFrame:

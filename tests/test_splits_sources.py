@@ -58,3 +58,9 @@ def test_json_round_trip(spark, tmp):
     assert js == '{"user":{"userId":"1"},"movie":{"movieId":"2","title":"x","genres":["A"]},"rating":"4.0","timestamp":"1000000000"}'
     FS.write_json(df.select(rec.alias("record")).select("record.*"), f"{tmp}/j")
     assert spark.read.json(f"{tmp}/j").count() == 1
+
+
+def test_buckets_grow_with_the_rows():
+    from ratecraft.sources.bucketed import ROWS_PER_BUCKET, buckets_for
+    assert buckets_for(0) == buckets_for(8 * ROWS_PER_BUCKET) == 8
+    assert buckets_for(216_000_000) * ROWS_PER_BUCKET >= 216_000_000
