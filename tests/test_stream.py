@@ -318,6 +318,6 @@ def test_rows_of_a_trigger_are_dealt_to_tasks_by_number(spark):
 
 
 def test_a_message_is_parsed_once_not_once_a_field(spark):
-    rows = spark.range(3).select(F.encode(F.lit("{}"), "utf-8").alias("value"))
+    rows = spark.range(3).select(F.col("id").cast("string").cast("binary").alias("value"))
     plan = P.parse_messages(rows)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parse_json") <= 2  # as JSON, and as a printed literal
+    assert 1 <= plan.lower().replace("_", "").count("parsejson") <= 2  # as JSON, and as a printed literal
