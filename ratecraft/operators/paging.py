@@ -34,9 +34,11 @@ class PageIndex:
 
     @classmethod
     def build(cls, df: DataFrame, order: Sequence[str], path: str | None = None,
-              parts: int | None = None) -> PageIndex:
+              parts: int | None = None, columns: Sequence[Column] | None = None) -> PageIndex:
         """Lay ``df`` down in ``order`` (nulls first) under ``path``, a work folder unless given.
 
+        ``columns`` to keep besides the order (default: all) are made after the shuffle, of plain columns.
+
         ``parts`` files, or as many as the session's shuffle partitions hold the
         rows in.  Any number of pages can be read afterwards, also by another
         session with ``PageIndex(spark, path)``.
@@ -44,6 +46,8 @@ class PageIndex:
         spark = df.sparkSession
         path = (path or work_dir(spark, "pages")).rstrip("/")
         placed = in_order(df, order, parts)
+        if columns is not None:
+            placed = placed.select(*order, *columns, "_part", "_at")
         placed.write.partitionBy("_part").option("parquet.block.size", str(GROUP_BYTES)).parquet(f"{path}/rows")
         spark.createDataFrame([(placed.schema.json(),)], "schema string").coalesce(1).write.text(f"{path}/schema")
         laid = spark.read.schema(placed.schema).parquet(f"{path}/rows")

@@ -25,7 +25,7 @@ def titles(items: DataFrame, limit: int | None = None) -> DataFrame:
 
 def page_index(rows: DataFrame, order: Sequence[str], record: Column, path: str | None = None) -> PageIndex:
     """The records of the page service, laid down in order once for any number of pages."""
-    return PageIndex.build(rows.select(*order, record.alias("_record")), order, path)
+    return PageIndex.build(rows, order, path, columns=[record.alias("_record")])
 
 
 def page_response(index: PageIndex, page: int, per_page: int = 10) -> DataFrame:

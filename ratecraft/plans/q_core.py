@@ -228,10 +228,10 @@ SELECT CAST(7 AS BIGINT) AS page, CAST(ceil((SELECT count(*) FROM e) / 10) AS BI
 FROM p WHERE pos >= 60 AND pos < 70""")
 def t2_page_response(spark, sf):
     """Page 7 (10 per page) of the page service: records in total order."""
-    r = ratings_view(spark, sf, with_order=True)
-    it = items_view(spark, sf).select("item_id", "title", genres_col().alias("genres"))
     us = users_view(spark, sf).select("user_id", "age", "gender", "occupation")
-    e = r.join(it, "item_id").join(us, "user_id")
+    r = ratings_view(spark, sf, with_order=True, users=us)
+    it = items_view(spark, sf).select("item_id", "title", genres_col().alias("genres"))
+    e = r.join(it, "item_id")
     rec = C.nest_record(
         user={"userId": "user_id", "age": "age", "gender": "gender", "occupation": "occupation"},
         movie={"movieId": "item_id", "title": "title", "genres": "genres"},

@@ -57,3 +57,38 @@ def test_page_response_edges(spark):
     assert page_response(index, page=0, per_page=10).count() == 0
     deep = page_response(index, page=2, per_page=10)
     assert [r.json for r in deep.orderBy("position").collect()][0] == '{"v":20}'
+
+
+def test_page_records_are_made_after_the_shuffle(spark, monkeypatch):
+    from ratecraft.operators import paging
+    from ratecraft.plans.pages import page_index, page_response
+    shuffled, placed = [], paging.in_order
+    monkeypatch.setattr(paging, "in_order", lambda df, *a: shuffled.append(df.columns) or placed(df, *a))
+    df = spark.range(25).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("v"))
+    index = page_index(df, ["k"], F.struct(F.col("k"), F.col("v").alias("v")))
+    assert shuffled == [["k", "v"]] and index.rows.columns == ["k", "_record", "_at", "_part"]
+    rows = page_response(index, page=3, per_page=10).orderBy("position").collect()
+    assert [r.json for r in rows] == [f'{{"k":{i},"v":"t{i}"}}' for i in range(20, 25)]
+
+
+def test_users_joined_to_the_orders_give_the_same_ratings(spark, tmp):
+    """Repeated, missing and null users, orders and line items."""
+    import datetime as dt
+
+    from ratecraft.sources.tables import ratings_view
+    spark.createDataFrame([(1, 7), (2, 8), (2, 8), (3, None), (None, 7), (4, 9)],
+                          "o_orderkey long, o_custkey long").write.parquet(f"{tmp}/orders.parquet")
+    day = dt.date(2020, 1, 2)
+    lines = [(o, n, p, 5, float(n), 1.0, 0.0, 0.0, "A", "F", day)
+             for o in (1, 2, 3, 4, 5, None) for n, p in ((1, 10), (2, 11), (2, 11), (3, None))]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate date").write.parquet(f"{tmp}/lineitem.parquet")
+    users = spark.createDataFrame([(7, 30, "F"), (8, 31, None), (8, 32, "M"), (None, 1, "F")],
+                                  "user_id long, age int, gender string")
+    for ordered in (False, True):
+        after = ratings_view(spark, tmp, ordered).join(users, "user_id")
+        got = ratings_view(spark, tmp, ordered, users)
+        assert set(got.columns) == set(after.columns)
+        assert sorted(map(str, got.select(after.columns).collect())) == sorted(map(str, after.collect()))
+        assert got.count() == 4 + 4 * 4
