@@ -466,7 +466,8 @@ def a4_merged(spark, sf):
 def a3_written(spark, sf):
     """The job that writes the records counts them."""
     path = work_dir(spark, "a3") + "/records"
-    seen = write_observed(_nested_records(spark, sf), lambda df: FS.write_json(df, path), n=F.count(F.lit(1)))
+    seen = write_observed(_nested_records(spark, sf), lambda df: FS.write_json(df, path, "gzip"),
+                          n=F.count(F.lit(1)))
     return spark.createDataFrame([(seen["n"], -(-seen["n"] // 10))], "total_items long, total_pages long")
 
 

@@ -105,6 +105,7 @@ def to_json_lines(df: DataFrame, col: str = "record") -> DataFrame:
     return df.select(F.to_json(F.col(col)).alias("json"))
 
 
-def write_json(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, compression: str = "none") -> str:
+    """JSON lines; ``compression`` as Spark names it, which readers tell from the file names."""
+    df.write.mode("overwrite").json(path, compression=compression)
     return path

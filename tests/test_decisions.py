@@ -92,3 +92,16 @@ def test_users_joined_to_the_orders_give_the_same_ratings(spark, tmp):
         assert set(got.columns) == set(after.columns)
         assert sorted(map(str, got.select(after.columns).collect())) == sorted(map(str, after.collect()))
         assert got.count() == 4 + 4 * 4
+
+
+def test_json_lines_compressed_are_the_same_records(spark, tmp):
+    import os
+
+    from ratecraft.sources import files as FS
+    df = spark.range(50).select(F.struct(F.col("id"), F.lit("ä\n").alias("t")).alias("record"))
+    FS.write_json(df, f"{tmp}/plain")
+    FS.write_json(df, f"{tmp}/packed", "gzip")
+    assert all(n.endswith(".json.gz") for n in os.listdir(f"{tmp}/packed") if n.startswith("part-"))
+    assert all(n.endswith(".json") for n in os.listdir(f"{tmp}/plain") if n.startswith("part-"))
+    assert (sorted(map(str, spark.read.schema(df.schema).json(f"{tmp}/packed").collect()))
+            == sorted(map(str, df.collect())))
