@@ -208,3 +208,25 @@ def test_fits_of_a_cross_validation_leave_few_shuffle_files(spark):
             break
         time.sleep(0.5)
     assert len(left) <= 30  # shuffles; the ten fits make over a hundred
+
+
+def test_grid_fits_take_blocks_by_rows_and_the_best_model_all(spark, monkeypatch):
+    """Small fits run side by side in one block each; the best model, fitted alone, has a block per core."""
+    ratings = M.prepare(_planted(spark, 40, 30)[1])
+    made, fit = [], M.ALS.fit
+
+    def seen(self, dataset, params=None):
+        model = fit(self, dataset, params)
+        if params:
+            parent = model._java_obj.parent()
+            made.append((int(parent.getNumUserBlocks()), int(parent.getNumItemBlocks()), int(parent.getMaxIter())))
+        return model
+    monkeypatch.setattr(M.ALS, "fit", seen)
+    cores = spark.sparkContext.defaultParallelism
+    model, table = M.tune_als(ratings, ranks=(1, 2), iters=(1, 2), regs=(0.1,))
+    assert table.count() == 4 and len(made) == 5
+    assert {m[:2] for m in made[:4]} == {(1, 1)} and made[4][:2] == (cores, cores)
+    monkeypatch.setattr(M, "FIT_ROWS", 1)
+    made.clear()
+    M.tune_als(ratings, ranks=(1,), iters=(1,), regs=(0.1,))
+    assert {m[:2] for m in made} == {(cores, cores)}
